@@ -2,8 +2,11 @@
 
 A window over the supply point would sort all rows of one point in a single task. Here each value is
 a maximum per point, reduced before the shuffle, and joined back; a hot point then costs one partial
-row per task, and AQE splits the join. The rows are grouped whole, volumes included, so that both
-sides of the join read the same columns and Spark can reuse one exchange for them.
+row per task, and AQE splits the join.
+
+Spark shares one exchange between the two sides of that join only if both read the same columns of the
+rows. So ``latest_keys`` takes the maximum of whole rows, volumes included, and tests in the join that
+no row is newer than the newest, which always holds but keeps the day column on the other side too.
 """
 
 from __future__ import annotations
@@ -36,15 +39,23 @@ def _newest_cancellation(day: str) -> Column:
     return F.max(F.when(cancelled.isNotNull(), F.struct(*ranked, cancelled.alias("cancelled"))))
 
 
-def _attach(rows: DataFrame, values: Sequence[Column], outputs: Sequence[Column]) -> DataFrame:
+def _attach(
+    rows: DataFrame,
+    values: Sequence[Column],
+    outputs: Sequence[Column],
+    holds: Column | None = None,
+) -> DataFrame:
     per_point = (
         rows.groupBy(F.col("quote_mpan").alias(_POINT)).agg(*values).select(_POINT, *outputs)
     )
-    return rows.join(per_point, F.col("quote_mpan").eqNullSafe(F.col(_POINT))).drop(_POINT)
+    same_point = F.col("quote_mpan").eqNullSafe(F.col(_POINT))
+    return rows.join(per_point, same_point if holds is None else same_point & holds).drop(_POINT)
 
 
 def latest_keys(rows: DataFrame, day: str = "delivery_date") -> DataFrame:
     """Rows plus the newest keys, the newest known cancellation date and the any-cancelled flag."""
+    newest_day = F.col("_newest_day")
+    not_newer = F.col(day).isNull() | newest_day.isNull() | (F.col(day) <= newest_day)
     return _attach(
         rows,
         [
@@ -56,8 +67,10 @@ def latest_keys(rows: DataFrame, day: str = "delivery_date") -> DataFrame:
             *(F.col(f"{_NEWEST}.{key}").alias(f"last_{key}") for key in KEYS),
             F.col("last_agreement_cancelled_flag"),
             F.col("_cancellation.cancelled").alias("last_agreement_cancellation_date"),
+            F.col(f"{_NEWEST}.{day}").alias("_newest_day"),
         ],
-    )
+        holds=not_newer,
+    ).drop("_newest_day")
 
 
 def latest_cancellation(rows: DataFrame, day: str = "delivery_date") -> DataFrame:

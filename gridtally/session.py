@@ -10,14 +10,16 @@ SEMANTICS = {
     "spark.sql.ansi.enabled": "true",
 }
 
-# Speed and skew depend on these. A hot join key is split by AQE; forceOptimizeSkewedJoin lets it
-# split even where the next aggregate would have reused the join's partitioning, at the price of one
-# more exchange that is added only when a hot key is really seen.
+# Speed and skew depend on these. Aggregates always shuffle on all their keys, after a partial pass,
+# instead of inheriting the partitioning of the join before them: that one may follow a single hot key
+# (a supply point, a contract) and would put its whole group in one task. With no aggregate relying on
+# a join's partitioning, AQE is also free to split the hot partitions of every join.
 SCALE = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    "spark.sql.requireAllClusterKeysForDistribution": "true",
     "spark.sql.exchange.reuse": "true",
 }
 
