@@ -7,6 +7,7 @@ window functions, the OR filter as one predicate.
 from __future__ import annotations
 
 from fixtures.warehouse import CONTRACT_PARAMS, OVERRIDES, WINDOW
+from gridtally.plans.reports import ACTUAL_NAMES, COMMON_NAMES, FORECAST_NAMES
 
 _LO = f"TIMESTAMP '{WINDOW.start}'"
 _HI = f"TIMESTAMP '{WINDOW.end}'"
@@ -53,7 +54,9 @@ def _generation_key(rows: str) -> str:
     )
 
 
-# Common table expressions: name -> (names it reads, body). The first seven are the input tables.
+INPUTS = ("contracts", "customers", "costs", "daily", "monthly", "settlement")
+
+# Common table expressions: name -> (names it reads, body). INPUTS derive the six input tables.
 _CTES: dict[str, tuple[tuple[str, ...], str]] = {
     "lines": (
         (),
@@ -274,8 +277,12 @@ _CTES: dict[str, tuple[tuple[str, ...], str]] = {
         SELECT t.contract_key, t.agreement_number, t.agreement_start_date, t.agreement_end_date,
                t.contract_reference, t.quote_model, m.mpan,
                row_number() OVER (PARTITION BY t.contract_reference || m.mpan
-                                  ORDER BY t.agreement_number DESC NULLS FIRST, t.contract_key DESC)
-                   AS rn
+                                  ORDER BY t.agreement_number DESC NULLS FIRST,
+                                           t.contract_key DESC NULLS LAST,
+                                           t.agreement_start_date DESC NULLS LAST,
+                                           t.agreement_end_date DESC NULLS LAST,
+                                           t.quote_model DESC NULLS LAST,
+                                           m.mpan DESC NULLS LAST) AS rn
         FROM touching t JOIN monthly m ON t.contract_key = m.contract_key""",
     ),
     "forecast": (
@@ -329,28 +336,33 @@ def _display(columns: str, names: dict[str, str]) -> str:
     return ", ".join(f'{c.split(".")[1]} AS "{names[c.split(".")[1]]}"' for c in columns.split(", "))
 
 
-def _with(*names: str) -> str:
-    """WITH clause holding ``names`` and all they read, dependencies first."""
+def _with_clause(names: tuple[str, ...], given: tuple[str, ...]) -> str:
+    """WITH clause holding ``names`` and all they read, dependencies first, but for ``given``."""
     order: list[str] = []
 
     def add(name: str) -> None:
+        if name in order or name in given:
+            return
         for needed in _CTES[name][0]:
             add(needed)
-        if name not in order:
-            order.append(name)
+        order.append(name)
 
     for name in names:
         add(name)
+    if not order:
+        return ""
     return "WITH " + ",\n".join(f"{name} AS ({_CTES[name][1]})" for name in order) + "\n"
 
 
-def _all(name: str, columns: str = "*", where: str | None = None) -> str:
-    tail = f" WHERE {where}" if where else ""
-    return _with(name) + f"SELECT {columns} FROM {name}{tail}"
+def oracles(given: tuple[str, ...] = ()) -> dict[str, str]:
+    """One statement per query. Names in ``given`` are tables that exist already."""
 
+    def _with(*names: str) -> str:
+        return _with_clause(names, given)
 
-def oracles() -> dict[str, str]:
-    from gridtally.plans.reports import ACTUAL_NAMES, COMMON_NAMES, FORECAST_NAMES
+    def _all(name: str, columns: str = "*", where: str | None = None) -> str:
+        tail = f" WHERE {where}" if where else ""
+        return _with(name) + f"SELECT {columns} FROM {name}{tail}"
 
     names = {**COMMON_NAMES, **ACTUAL_NAMES, **FORECAST_NAMES}
     newest_only = "contract_key, mpan, agreement_number, agreement_start_date, agreement_end_date, " \
