@@ -21,7 +21,8 @@ def spark(tmp_path_factory):
         .appName("gridtally-tests")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
-        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.shuffle.partitions", "4")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.warehouse.dir", str(scratch / "warehouse"))
         .getOrCreate()
     )
