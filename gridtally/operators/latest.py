@@ -3,10 +3,6 @@
 A window over the supply point would sort all rows of one point in a single task. Here each value is
 a maximum per point, reduced before the shuffle, and joined back; a hot point then costs one partial
 row per task, and AQE splits the join.
-
-Spark shares one exchange between the two sides of that join only if both read the same columns of the
-rows. So ``latest_keys`` takes the maximum of whole rows, volumes included, and tests in the join that
-no row is newer than the newest, which always holds but keeps the day column on the other side too.
 """
 
 from __future__ import annotations
@@ -20,6 +16,7 @@ KEYS = ("contract_key", "meter_key", "customer_key", "product_key")
 
 _POINT = "_point"
 _NEWEST = "_newest"
+_NEWEST_DAY = "_newest_day"
 
 
 def _recency(day: str) -> list[Column]:
@@ -27,65 +24,77 @@ def _recency(day: str) -> list[Column]:
     return [F.col(day).isNull(), F.col(day), *(F.col(key) for key in KEYS)]
 
 
-def _newest_row(rows: DataFrame, day: str) -> Column:
-    ranked = [part.alias(f"by_{i}") for i, part in enumerate(_recency(day))]
-    carried = [F.col(name) for name in rows.columns]
-    return F.max(F.struct(*ranked, *carried))
+def _ranked(day: str, *carried: Column) -> Column:
+    return F.struct(*(part.alias(f"by_{i}") for i, part in enumerate(_recency(day))), *carried)
+
+
+def _newest_row(day: str) -> Column:
+    return F.max(_ranked(day, F.col(day).alias("day"), *(F.col(key) for key in KEYS)))
 
 
 def _newest_cancellation(day: str) -> Column:
     cancelled = F.col("agreement_cancellation_date")
-    ranked = [part.alias(f"by_{i}") for i, part in enumerate(_recency(day))]
-    return F.max(F.when(cancelled.isNotNull(), F.struct(*ranked, cancelled.alias("cancelled"))))
-
-
-def _attach(
-    rows: DataFrame,
-    values: Sequence[Column],
-    outputs: Sequence[Column],
-    holds: Column | None = None,
-) -> DataFrame:
-    per_point = (
-        rows.groupBy(F.col("quote_mpan").alias(_POINT)).agg(*values).select(_POINT, *outputs)
-    )
-    same_point = F.col("quote_mpan").eqNullSafe(F.col(_POINT))
-    return rows.join(per_point, same_point if holds is None else same_point & holds).drop(_POINT)
+    return F.max(F.when(cancelled.isNotNull(), _ranked(day, cancelled.alias("cancelled"))))
 
 
-def latest_keys(rows: DataFrame, day: str = "delivery_date") -> DataFrame:
-    """Rows plus the newest keys, the newest known cancellation date and the any-cancelled flag."""
-    newest_day = F.col("_newest_day")
-    not_newer = F.col(day).isNull() | newest_day.isNull() | (F.col(day) <= newest_day)
-    return _attach(
+def _per_point(rows: DataFrame, values: Sequence[Column], outputs: Sequence[Column]) -> DataFrame:
+    return rows.groupBy(F.col("quote_mpan").alias(_POINT)).agg(*values).select(_POINT, *outputs)
+
+
+def _same_point() -> Column:
+    return F.col("quote_mpan").eqNullSafe(F.col(_POINT))
+
+
+def latest_per_point(rows: DataFrame, day: str = "delivery_date") -> DataFrame:
+    """Per supply point: newest day and keys, newest known cancellation date, any-cancelled flag."""
+    return _per_point(
         rows,
         [
-            _newest_row(rows, day).alias(_NEWEST),
+            _newest_row(day).alias(_NEWEST),
             F.max("agreement_cancelled_flag").alias("last_agreement_cancelled_flag"),
             _newest_cancellation(day).alias("_cancellation"),
         ],
         [
+            F.col(f"{_NEWEST}.day").alias(_NEWEST_DAY),
             *(F.col(f"{_NEWEST}.{key}").alias(f"last_{key}") for key in KEYS),
             F.col("last_agreement_cancelled_flag"),
             F.col("_cancellation.cancelled").alias("last_agreement_cancellation_date"),
-            F.col(f"{_NEWEST}.{day}").alias("_newest_day"),
         ],
-        holds=not_newer,
-    ).drop("_newest_day")
+    )
+
+
+def attach_latest(rows: DataFrame, per_point: DataFrame, day: str = "delivery_date") -> DataFrame:
+    """Rows plus the values of ``latest_per_point``.
+
+    That no row is newer than the newest is part of the join condition. It always holds, but it keeps
+    the day column among those read of ``rows``. So when ``per_point`` comes from the same aggregated
+    rows, both sides read the same columns of them and Spark runs that aggregate's shuffle once.
+    """
+    newest_day = F.col(_NEWEST_DAY)
+    not_newer = F.col(day).isNull() | newest_day.isNull() | (F.col(day) <= newest_day)
+    return rows.join(per_point, _same_point() & not_newer).drop(_POINT, _NEWEST_DAY)
+
+
+def latest_keys(rows: DataFrame, day: str = "delivery_date") -> DataFrame:
+    """Rows plus the newest keys, the newest known cancellation date and the any-cancelled flag."""
+    return attach_latest(rows, latest_per_point(rows, day), day)
 
 
 def latest_cancellation(rows: DataFrame, day: str = "delivery_date") -> DataFrame:
     """Rows plus the newest cancellation date known for their supply point."""
-    return _attach(
+    per_point = _per_point(
         rows,
         [_newest_cancellation(day).alias("_cancellation")],
         [F.col("_cancellation.cancelled").alias("last_agreement_cancellation_date")],
     )
+    return rows.join(per_point, _same_point()).drop(_POINT)
 
 
 def any_cancelled(rows: DataFrame) -> DataFrame:
     """Rows plus 'Y' if any contract of their supply point was cancelled."""
-    return _attach(
+    per_point = _per_point(
         rows,
         [F.max("agreement_cancelled_flag").alias("last_agreement_cancelled_flag")],
         [F.col("last_agreement_cancelled_flag")],
     )
+    return rows.join(per_point, _same_point()).drop(_POINT)

@@ -18,7 +18,7 @@ from gridtally.operators.daily import (
     with_ltf_flag,
     zero_outside_agreement,
 )
-from gridtally.operators.latest import latest_keys
+from gridtally.operators.latest import attach_latest, latest_per_point
 from gridtally.operators.monthly import volumes_to_mwh
 from gridtally.operators.selection import select_mpans
 from gridtally.params import ContractVolumeParams
@@ -54,4 +54,8 @@ def contract_month_volumes(
         *(F.sum(name).alias(name) for name in VOLUMES),
         F.max("delivery_date").alias("last_day"),
     )
-    return volumes_to_mwh(latest_keys(months, day="last_day").drop("last_day"), _MWH_NAMES, REPORT_MWH)
+    # A sum of volumes without nulls is not null, so this drops nothing. It makes the newest keys read
+    # the same columns as the months they are joined to, and so share the exchange of the monthly sum.
+    newest = latest_per_point(months.dropna(subset=list(VOLUMES)), day="last_day")
+    reported = attach_latest(months, newest, day="last_day").drop("last_day")
+    return volumes_to_mwh(reported, _MWH_NAMES, REPORT_MWH)

@@ -20,6 +20,9 @@ SCALE = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.requireAllClusterKeysForDistribution": "true",
+    # Hash instead of sorting both sides of a shuffled join when every partition of one side was
+    # measured to fit; a fact then joins its small sides without being sorted each time.
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
     "spark.sql.exchange.reuse": "true",
 }
 
