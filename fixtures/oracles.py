@@ -393,8 +393,7 @@ def oracles(given: tuple[str, ...] = ()) -> dict[str, str]:
         + f"SELECT DISTINCT {validity} FROM ranked WHERE rn = 1 AND ({_RENEWABLE} OR {_OVERRIDE})",
         "renewable_or_override_loose": _with("ranked")
         + f"SELECT DISTINCT {validity} FROM ranked WHERE rn = 1 AND {_RENEWABLE} "
-        "UNION SELECT contract_key, TIMESTAMP '0001-01-01 00:00:00', TIMESTAMP '9999-12-31 00:00:00' "
-        f"FROM touching WHERE {_OVERRIDE}",
+        f"UNION SELECT contract_key, {_LO}, {_HI} FROM touching WHERE {_OVERRIDE}",
         # Daily volumes.
         "contract_effective_dates": _all("effective"),
         "ltf_flag": _all("ltf"),

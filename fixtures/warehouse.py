@@ -43,8 +43,8 @@ def _quote(customer: Column) -> Column:
     return F.concat(F.lit("Q"), F.lpad(customer.cast("string"), 8, "0"))
 
 
-def _ymd(moment: Column) -> Column:
-    return F.date_format(moment, "yyyyMMdd")
+def _ymd(year: Column, month: Column, day: Column) -> Column:
+    return (year * 10000 + month * 100 + day).cast("string")
 
 
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,6 +66,7 @@ def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_extendedprice").cast(KWH).alias("p"),
         F.year("l_shipdate").alias("ship_year"),
         F.month("l_shipdate").alias("ship_month"),
+        _ymd(F.year("o_orderdate"), F.month("o_orderdate"), F.day("o_orderdate")).alias("won_key"),
     )
 
 
@@ -99,7 +100,7 @@ def _costs(lines: DataFrame) -> DataFrame:
         F.col("point").alias("quote_mpan"),
         F.when(F.col("meter") % 10 == 0, "other").otherwise("59b1").alias("costcomponent_key"),
         F.col("ship_year").alias("year"),
-        _ymd(F.col("o_orderdate")).alias("contract_won_date_key"),
+        F.col("won_key").alias("contract_won_date_key"),
     )
 
 
@@ -115,8 +116,8 @@ def _daily(lines: DataFrame) -> DataFrame:
         F.col("o_custkey").alias("customer_key"),
         F.col("l_suppkey").alias("product_key"),
         F.col("point").alias("quote_mpan"),
-        F.date_format("l_shipdate", "yyyyMM01").alias("delivery_date_key"),
-        _ymd(F.col("o_orderdate")).alias("contract_won_date_key"),
+        _ymd(F.col("ship_year"), F.col("ship_month"), F.lit(1)).alias("delivery_date_key"),
+        F.col("won_key").alias("contract_won_date_key"),
         F.concat(F.lit("P"), F.col("ship_month").cast("string")).alias("fin_rep_period"),
         F.lit("2002-01-01").alias("snapshot_date"),
         F.when(F.col("l_returnflag") != "N", number).alias("itron_forecast_key_lt"),

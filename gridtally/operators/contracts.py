@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import datetime
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -12,9 +11,6 @@ from gridtally.functions.keys import agreement_group
 from gridtally.functions.predicates import is_override, is_renewable, ntz, overlaps_window
 from gridtally.params import FiscalWindow
 
-_EARLIEST = datetime(1, 1, 1)
-_LATEST = datetime(9999, 12, 31)
-
 
 def contract_effective_dates(contracts: DataFrame) -> DataFrame:
     """Agreement dates, ended early when cancelled.
@@ -97,15 +93,16 @@ def admit_loose(
 ) -> DataFrame:
     """As ``admit_strict``, but an override escapes the newest and the date test.
 
-    Overridden contracts that touch the window are admitted for all time, whatever their rank.
+    Overridden contracts that touch the window are admitted for all of it, whatever their rank.
     """
+    first_month = window.start.replace(day=1, hour=0, minute=0, second=0, microsecond=0)
     always = (
         agreements_in_window(contracts, window)
         .where(is_override(F.col("contract_reference"), overrides))
         .select(
             "contract_key",
-            ntz(_EARLIEST).alias("valid_from"),
-            ntz(_LATEST).alias("valid_to"),
+            ntz(first_month).alias("valid_from"),
+            ntz(window.end).alias("valid_to"),
         )
     )
     renewable = _validity(agreements.where(is_renewable(F.col("quote_model"))))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from gridtally import (
     ContractVolumeParams,
+    FiscalWindow,
     RenewableParams,
     actual_volumes_renewable,
     contract_month_volumes,
@@ -184,6 +185,19 @@ def test_override_reads_the_quote_of_the_contract_not_of_the_volume(spark):
     assert forecast_volumes_renewable(w, PARAMS).collect() == []
 
 
+def test_override_covers_a_window_that_starts_within_a_month(spark):
+    window = FiscalWindow(datetime(2023, 6, 15), datetime(2023, 7, 15))
+    params = RenewableParams(window=window, overrides=(OVERRIDE,))
+    w = warehouse(
+        spark,
+        customers=[CUSTOMER],
+        contracts=[agreement("c1", OVERRIDE, quote_model=None)],
+        monthly=[month_row("c1", month=m) for m in (5, 6, 7, 8)],
+    )
+    months = [r["delivery_month"].month for r in forecast_volumes_renewable(w, params).collect()]
+    assert sorted(months) == [6, 7]
+
+
 # Ranks and ties.
 
 
