@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from gridtally.functions.keys import generation_key
 from gridtally.operators.contracts import admit_strict, latest_agreement
 from gridtally.operators.monthly import ACTUAL_COLUMNS, settlement_readings
+from gridtally.operators.small_sides import small_side
 from gridtally.params import RenewableParams
 from gridtally.sources.warehouse import Warehouse
 
@@ -21,7 +22,7 @@ def actual_volumes_renewable(
     is the one many-to-many join; the agreement dates are part of its condition.
     """
     agreements = latest_agreement(warehouse.contracts, warehouse.monthly, params.window)
-    admitted = admit_strict(agreements, params.overrides)
+    admitted = small_side(admit_strict(agreements, params.overrides))
     supplies = (
         warehouse.monthly.select(
             "contract_key", "customer_key", "contract_reference", "quote_mpan", "meter_key"

@@ -21,6 +21,7 @@ from gridtally.operators.daily import (
 from gridtally.operators.latest import attach_latest, latest_per_point
 from gridtally.operators.monthly import volumes_to_mwh
 from gridtally.operators.selection import select_mpans
+from gridtally.operators.small_sides import small_side
 from gridtally.params import ContractVolumeParams
 from gridtally.sources.warehouse import Warehouse
 
@@ -46,7 +47,7 @@ def contract_month_volumes(
     contract and day. The newest keys are found after the monthly sum, from each month's last day:
     the other columns they need are constant within a month row.
     """
-    mpans = select_mpans(warehouse.costs, params)
+    mpans = small_side(select_mpans(warehouse.costs, params))
     volumes = dedup_volumes(warehouse.daily, mpans)
     chosen = choose_volumes(with_ltf_flag(volumes, warehouse.daily))
     cut = zero_outside_agreement(chosen, contract_effective_dates(warehouse.contracts))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from gridtally.functions.dates import month_start
 from gridtally.operators.contracts import admit_loose, admit_strict, latest_agreement
 from gridtally.operators.monthly import FORECAST_COLUMNS, forecast_sums, price_customers
+from gridtally.operators.small_sides import small_side
 from gridtally.params import RenewableParams
 from gridtally.sources.warehouse import Warehouse
 
@@ -28,7 +29,7 @@ def forecast_volumes_renewable(
         admitted = admit_strict(agreements, params.overrides)
     else:
         admitted = admit_loose(agreements, warehouse.contracts, params.window, params.overrides)
-    rows, terms = warehouse.monthly.alias("rows"), admitted.alias("terms")
+    rows, terms = warehouse.monthly.alias("rows"), small_side(admitted).alias("terms")
     in_force = month_start(F.col("rows.year"), F.col("rows.month")).between(
         F.col("terms.valid_from"), F.col("terms.valid_to")
     )

@@ -24,6 +24,7 @@ def spark(tmp_path_factory):
         .config("spark.sql.shuffle.partitions", "4")
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.warehouse.dir", str(scratch / "warehouse"))
+        .config("spark.checkpoint.dir", str(scratch / "checkpoints"))
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")

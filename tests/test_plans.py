@@ -13,7 +13,7 @@ from gridtally import (
     contract_month_volumes,
     forecast_volumes_renewable,
 )
-from gridtally.operators import contracts, monthly, selection
+from gridtally.operators import contracts, monthly, selection, small_sides
 from gridtally.sources.warehouse import TABLES, conform
 
 PLANS = {
@@ -38,8 +38,9 @@ def loaded(spark, sf_small, tmp_path_factory):
 
 
 @pytest.fixture
-def without_broadcast(spark):
+def without_broadcast(spark, monkeypatch):
     """As for tables too large to broadcast."""
+    monkeypatch.setattr(small_sides, "MAX_BROADCAST_BYTES", 0)
     names = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
     for name in names:
         spark.conf.set(name, "-1")
@@ -80,7 +81,7 @@ def test_no_row_leaves_the_jvm(loaded, name):
 
 
 @pytest.mark.parametrize("name", PLANS)
-def test_no_pairwise_joins_and_no_forced_broadcast(loaded, without_broadcast, name):
+def test_no_pairwise_joins_and_no_unmeasured_broadcast(loaded, without_broadcast, name):
     plan = planned(PLANS[name](loaded))
     assert not re.search(r"Cartesian|NestedLoop|Broadcast", plan)
 
@@ -160,6 +161,40 @@ def test_every_aggregate_is_partial_before_its_shuffle(loaded, without_broadcast
     assert finals >= 3
 
 
+def test_small_supply_points_spare_the_shuffle_of_all_daily_rows(loaded):
+    plan = planned(PLANS["contract"](loaded))
+    lines = plan.splitlines()
+    semi = [i for i, line in enumerate(lines) if "BroadcastHashJoin" in line and "LeftSemi" in line]
+    assert semi
+    for i in semi:
+        below = lines[i + 1 : i + 5]
+        assert any("FileScan" in line for line in below)
+        assert not any("- Exchange" in line for line in below)
+
+
+def test_side_is_broadcast_by_its_measured_size(spark, monkeypatch):
+    side = spark.range(1000).selectExpr("lpad(id, 13, '0') AS quote_mpan")
+    rows = spark.range(10).selectExpr("lpad(id, 13, '0') AS quote_mpan")
+    for limit, marked in [(1000 * 61, True), (1000 * 61 - 1, False)]:
+        monkeypatch.setattr(small_sides, "MAX_BROADCAST_BYTES", limit)
+        joined = rows.join(small_sides.small_side(side), "quote_mpan", "left_semi")
+        text = joined._jdf.queryExecution().analyzed().toString()
+        assert ("ResolvedHint" in text) == marked
+        assert joined.count() == 10
+
+
+def test_checkpoint_folder_is_the_one_the_session_names(spark):
+    assert small_sides._can_checkpoint(spark)
+    folder = spark.conf.get("spark.checkpoint.dir")
+    assert folder in spark.sparkContext.getCheckpointDir()
+
+
+def test_side_stays_lazy_without_a_shared_folder(spark, monkeypatch):
+    monkeypatch.setattr(small_sides, "_can_checkpoint", lambda session: False)
+    side = spark.range(3)
+    assert small_sides.small_side(side) is side
+
+
 def test_fiscal_window_of_any_length(spark):
     from datetime import datetime
 

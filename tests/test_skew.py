@@ -13,6 +13,7 @@ from gridtally import (
     contract_month_volumes,
     forecast_volumes_renewable,
 )
+from gridtally.operators import small_sides
 
 HOT = "xxhash64(product_key, meter_key, quote_mpan) % 3 = 0"
 
@@ -38,7 +39,8 @@ SETTINGS = {
 
 
 @pytest.fixture
-def small_partitions(spark):
+def small_partitions(spark, monkeypatch):
+    monkeypatch.setattr(small_sides, "MAX_BROADCAST_BYTES", 0)
     before = {name: spark.conf.get(name, None) for name in SETTINGS}
     for name, value in SETTINGS.items():
         spark.conf.set(name, value)
