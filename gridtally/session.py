@@ -18,6 +18,7 @@ SCALE = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "96MB",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.requireAllClusterKeysForDistribution": "true",
     # Hash instead of sorting both sides of a shuffled join when every partition of one side was
