@@ -111,7 +111,8 @@ def settled_months(
         .join(customers.select("customer_key"), "customer_key", "left_semi")
     )
     joined = supplies.join(settlement_readings(settlement, window), "meter_key")
-    return with_generation_key(joined).withColumnRenamed("contract_reference", "quote_id").drop("quote_mpan")
+    keyed = with_generation_key(joined).drop("quote_mpan")
+    return keyed.withColumnRenamed("contract_reference", "quote_id")
 
 
 def forecast_sums(monthly: DataFrame, window: FiscalWindow) -> DataFrame:
@@ -123,7 +124,7 @@ def forecast_sums(monthly: DataFrame, window: FiscalWindow) -> DataFrame:
     )
 
 
-def price_customers(sums: DataFrame, customers: DataFrame) -> DataFrame:
+def per_customer(sums: DataFrame, customers: DataFrame) -> DataFrame:
     """Forecast sums as MWh, once per company number of their customer.
 
     Summing first and joining the customer after gives the same result on far fewer rows. A customer
@@ -140,14 +141,15 @@ def price_customers(sums: DataFrame, customers: DataFrame) -> DataFrame:
             for name, kwh in FORECAST_COLUMNS.items()
         ),
     )
-    return with_generation_key(scaled).withColumnRenamed("contract_reference", "quote_id").drop("quote_mpan")
+    keyed = with_generation_key(scaled).drop("quote_mpan")
+    return keyed.withColumnRenamed("contract_reference", "quote_id")
 
 
 def forecast_months(
     monthly: DataFrame, customers: DataFrame, window: FiscalWindow
 ) -> DataFrame:
     """Base, short-term and long-term forecast MWh per contract, meter and month of the window."""
-    return price_customers(forecast_sums(monthly, window), customers)
+    return per_customer(forecast_sums(monthly, window), customers)
 
 
 def validity_join(volumes: DataFrame, agreements: DataFrame) -> DataFrame:

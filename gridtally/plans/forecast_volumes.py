@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from gridtally.functions.dates import month_start
 from gridtally.operators.contracts import admit_loose, admit_strict, latest_agreement
-from gridtally.operators.monthly import FORECAST_COLUMNS, forecast_sums, price_customers
+from gridtally.operators.monthly import FORECAST_COLUMNS, forecast_sums, per_customer
 from gridtally.operators.small_sides import small_side
 from gridtally.params import RenewableParams
 from gridtally.sources.warehouse import Warehouse
@@ -37,7 +37,7 @@ def forecast_volumes_renewable(
         terms, (F.col("rows.contract_key") == F.col("terms.contract_key")) & in_force, "left_semi"
     )
     return (
-        price_customers(forecast_sums(reported, params.window), warehouse.customers)
+        per_customer(forecast_sums(reported, params.window), warehouse.customers)
         .select(
             "contract_key",
             "customer_key",
