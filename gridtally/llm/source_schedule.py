@@ -10,7 +10,7 @@ from gridtally.llm.common import WORD, stored
 BLOCK_WORDS = 4_096
 MAX_REPEATS = 3
 # Sums of sizes within a source are built from chunks of about so many documents.
-CHUNK_ROWS = 20_000
+CHUNK_ROWS = 2_000
 # Slots are matched to sources by ranges of so many points, and ranked within chunks of so many slots.
 RANGE_POINTS = 1_024
 CHUNK_SLOTS = 65_536

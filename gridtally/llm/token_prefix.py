@@ -15,9 +15,9 @@ from pyspark.sql.functions import pandas_udf
 # Fixed values of byte-level BPE: the pieces a text is split into before merging.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
-_MEMO = 500_000
+_MEMO = 150_000
 _PAIRS = 1_000_000
-_MEMO_BYTES = 32
+_MEMO_LETTERS = 32
 
 
 def _byte_letters() -> dict[str, int]:
@@ -27,6 +27,26 @@ def _byte_letters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(others)}
 
 
+class _Totals(dict):
+    """The last entries of the tables of pieces met before; the older half is forgotten in turn."""
+
+    def __init__(self, vocabulary: Vocabulary):
+        super().__init__()
+        self.vocabulary = vocabulary
+        self.older: dict[str, int] = {}
+
+    def __missing__(self, piece: str) -> int:
+        total = self.older.get(piece)
+        if total is None:
+            total = self.vocabulary.piece(piece)[-1]
+        if len(piece) <= _MEMO_LETTERS:
+            if len(self) >= _MEMO:
+                self.older = dict(self)
+                self.clear()
+            self[piece] = total
+        return total
+
+
 class Vocabulary:
     """A byte-level BPE vocabulary read from the JSON text of a tokenizer file.
 
@@ -48,10 +68,14 @@ class Vocabulary:
         for rank, (left, right) in enumerate(pairs):
             a, b = (bytes(letters[c] for c in part) for part in (left, right))
             self.ranks[self.ids[a], self.ids[b]] = (rank, self.ids[a + b])
-        self.longest = max(map(len, self.ids))
+        # The longest token that ends with given three bytes; any other token has at most two.
+        self.reach: dict[bytes, int] = {}
+        for token in self.ids:
+            if len(token) > 2:
+                self.reach[token[-3:]] = max(self.reach.get(token[-3:], 0), len(token))
         self.special = [t["content"] for t in content.get("added_tokens", []) if t["content"]]
         self.stable_pairs: dict[tuple[int, int], bool] = {}
-        self.memo: dict[str, bytes] = {}
+        self.totals = _Totals(self)
 
     @cached_property
     def pattern(self):
@@ -96,24 +120,22 @@ class Vocabulary:
         are stable side by side; exactly one last token is. So each entry follows from an earlier one.
         """
         counts, last = [0], [-1]
-        token_of, stable = self.ids.get, self.stable_pairs.get
+        token_of, reach, stable = self.ids.get, self.reach.get, self.stable_pairs.get
         for end in range(1, len(raw) + 1):
-            for start in range(max(0, end - self.longest), end):
+            start = max(0, end - reach(raw[end - 3 : end], 2)) if end > 2 else 0
+            while True:
                 token = token_of(raw[start:end])
-                if token is None:
-                    continue
-                fits = stable((last[start], token))
-                if fits or fits is None and self.stable(last[start], token):
-                    counts.append(counts[start] + 1)
-                    last.append(token)
-                    break
+                if token is not None:
+                    fits = stable((last[start], token))
+                    if fits or fits is None and self.stable(last[start], token):
+                        break
+                start += 1
+            counts.append(counts[start] + 1)
+            last.append(token)
         return counts
 
-    def piece(self, piece: str) -> list[int] | bytes:
+    def piece(self, piece: str) -> list[int]:
         """``counts`` at the ends of the characters of a piece: entry i is for i characters."""
-        known = self.memo.get(piece)
-        if known is not None:
-            return known
         raw = piece.encode()
         counts = self.counts(raw)
         if len(raw) != len(piece):
@@ -122,19 +144,11 @@ class Vocabulary:
                 at += len(char.encode())
                 ends.append(at)
             counts = [counts[end] for end in ends]
-        if len(raw) <= _MEMO_BYTES:
-            if len(self.memo) >= _MEMO:
-                self.memo.clear()
-            counts = self.memo[piece] = bytes(counts)
         return counts
 
     def plain(self, text: str) -> int:
         """Tokens of a text without special tokens."""
-        get, memo, total = self.piece, self.memo, 0
-        for piece in self.pattern.findall(text):
-            known = memo.get(piece)
-            total += known[-1] if known is not None else get(piece)[-1]
-        return total
+        return sum(map(self.totals.__getitem__, self.pattern.findall(text)))
 
     def count(self, text: str | None) -> int:
         """Tokens of a whole text; none for null or empty ones."""
@@ -149,25 +163,28 @@ class Vocabulary:
 class PrefixTable:
     """The exact token count of every prefix of one text, found without encoding it again.
 
-    Kept are the ends of its pieces with the tokens up to there, and the vocabulary's table for each
+    Kept are the ends of its pieces with the tokens up to there; the vocabulary has a table for each
     piece. Characters are code points. A prefix may split its last pieces otherwise than the text does
-    (white space before a word, a contraction, a special token): its last few pieces are split again,
-    and their tokens looked up.
+    (white space before a word, a contraction, a special token): its last few pieces are split again.
     """
 
-    def __init__(self, vocabulary: Vocabulary, text: str | None):
+    def __init__(self, vocabulary: Vocabulary, text: str | None, budget: int | None = None):
+        """With a ``budget``, only as much of the table as ``cut`` needs for it."""
         self.vocabulary, self.text = vocabulary, text or ""
         self.ends, self.tokens, self.starts_anew = [0], [0], [0]
         at = total = 0
         pattern = vocabulary.special_pattern
         marks = [m.span() for m in pattern.finditer(self.text)] if pattern else []
         for start, end in [*marks, (len(self.text), len(self.text))]:
-            for piece in vocabulary.pattern.findall(self.text[at:start]):
+            for found in vocabulary.pattern.finditer(self.text, at, start):
+                piece = found.group()
                 at += len(piece)
-                total += vocabulary.piece(piece)[-1]
+                total += vocabulary.totals[piece]
                 self.ends.append(at)
                 self.tokens.append(total)
                 self.starts_anew.append(self.starts_anew[-1])
+                if budget is not None and self.tokens[-2] > budget:
+                    return
             if end > start:
                 at, total = end, total + 1
                 self.ends.append(at)
@@ -228,7 +245,7 @@ def token_counts(text: Column, vocabulary_json: str, budget: int) -> Column:
             rows = []
             for text in texts:
                 tokens = vocabulary.count(text)
-                cut = len(text or "") if tokens <= budget else PrefixTable(vocabulary, text).cut(budget)
+                cut = len(text or "") if tokens <= budget else PrefixTable(vocabulary, text, budget).cut(budget)
                 rows.append((tokens, cut))
             yield pd.DataFrame(rows, columns=["n_tokens", "cut"])
 
