@@ -299,6 +299,10 @@ _CTES: dict[str, tuple[tuple[str, ...], str]] = {
     ),
 }
 
+_ROW_NUMBER = """row_number() OVER (PARTITION BY contract_reference || mpan
+    ORDER BY agreement_number DESC NULLS FIRST, contract_key DESC NULLS LAST,
+             agreement_start_date DESC NULLS LAST, agreement_end_date DESC NULLS LAST,
+             quote_model DESC NULLS LAST, mpan DESC NULLS LAST)"""
 _ACTUAL_OUT = (
     "s.contract_key, s.customer_key, s.generation_key, s.quote_id, s.mpan, s.meter_type, "
     "s.delivery_month, " + ", ".join(f"s.{name}" for name in _ACTUAL)
@@ -389,9 +393,20 @@ def oracles(given: tuple[str, ...] = ()) -> dict[str, str]:
         "agreement_overlap": _all("touching"),
         "renewable_filter": _all("contracts", where=_RENEWABLE),
         "quote_override": _all("contracts", where=_OVERRIDE),
-        "renewable_or_override_strict": _with("ranked")
+        "renewable_or_override_strict": _with("forecast", "ranked")
+        + "SELECT DISTINCT f.* FROM forecast f JOIN ranked a ON a.contract_key = f.contract_key "
+        "WHERE a.rn = 1 AND f.delivery_month BETWEEN a.agreement_start_date AND a.agreement_end_date "
+        f"AND ({_RENEWABLE} OR {_OVERRIDE})",
+        "renewable_or_override_loose": _with("forecast", "ranked")
+        + "SELECT DISTINCT f.* FROM forecast f JOIN ranked a ON a.contract_key = f.contract_key "
+        "WHERE a.rn = 1 AND f.delivery_month BETWEEN a.agreement_start_date AND a.agreement_end_date "
+        f"AND {_RENEWABLE} OR {_OVERRIDE}",
+        "ranked_agreements": _with("touching", "monthly")
+        + f"SELECT {newest_only}, {_ROW_NUMBER} AS row_num FROM touching t "
+        "JOIN (SELECT DISTINCT contract_key, mpan FROM monthly) m USING (contract_key)",
+        "admitted_contracts_strict": _with("ranked")
         + f"SELECT DISTINCT {validity} FROM ranked WHERE rn = 1 AND ({_RENEWABLE} OR {_OVERRIDE})",
-        "renewable_or_override_loose": _with("ranked")
+        "admitted_contracts_loose": _with("ranked")
         + f"SELECT DISTINCT {validity} FROM ranked WHERE rn = 1 AND {_RENEWABLE} "
         f"UNION SELECT contract_key, {_LO}, {_HI} FROM touching WHERE {_OVERRIDE}",
         # Daily volumes.

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridtally.functions.keys import agreement_group
@@ -44,15 +44,15 @@ def agreements_in_window(contracts: DataFrame, window: FiscalWindow) -> DataFram
     )
 
 
-def latest_agreement(
+def ranked_agreements(
     contracts: DataFrame, monthly: DataFrame, window: FiscalWindow
 ) -> DataFrame:
-    """The newest agreement per quote and supply point, among those that touch the window.
+    """All agreements that touch the window, numbered from the newest per quote and supply point.
 
     An agreement without a number is the newest; ties go to the greatest contract key. The monthly
     fact only tells which supply points a contract has, so its pairs are made distinct before the
-    join. The filter on rank 1 lets Spark keep one row per group and task ahead of the shuffle, so a
-    hot group, the null one included, never gathers in one task.
+    join. To number all ranks a task must sort the whole of a group; the reports only read rank 1, for
+    which a filter on ``row_num`` lets Spark keep one row per group and task ahead of the shuffle.
     """
     supplied = monthly.select("contract_key", "mpan").distinct()
     rows = agreements_in_window(contracts, window).join(supplied, "contract_key")
@@ -66,13 +66,59 @@ def latest_agreement(
         F.col("quote_model").desc_nulls_last(),
         F.col("mpan").desc_nulls_last(),
     )
-    return (
-        rows.withColumn("row_num", F.row_number().over(newest_first))
-        .where(F.col("row_num") == 1)
-        .drop("row_num")
+    return rows.withColumn("row_num", F.row_number().over(newest_first))
+
+
+def latest_agreement(
+    contracts: DataFrame, monthly: DataFrame, window: FiscalWindow
+) -> DataFrame:
+    """The newest agreement per quote and supply point, among those that touch the window.
+
+    The filter on rank 1 keeps a hot group, the null one included, from gathering in one task.
+    """
+    ranked = ranked_agreements(contracts, monthly, window)
+    return ranked.where(F.col("row_num") == 1).drop("row_num")
+
+
+def renewable_or_override_strict(
+    volumes: DataFrame, ranked: DataFrame, overrides: Sequence[str]
+) -> DataFrame:
+    """Distinct volumes whose contract's newest agreement covers their month and is chosen.
+
+    ``ranked`` is the result of ``ranked_agreements``; chosen is renewable or overridden.
+    """
+    newest = ranked.where(F.col("row_num") == 1)
+    chosen = is_renewable(F.col("quote_model")) | is_override(F.col("contract_reference"), overrides)
+    return _admitted(volumes, newest.where(chosen), _covers_month())
+
+
+def renewable_or_override_loose(
+    volumes: DataFrame, ranked: DataFrame, overrides: Sequence[str]
+) -> DataFrame:
+    """As ``renewable_or_override_strict``, but an override of any rank admits all months."""
+    newest = (F.col("row_num") == 1) & is_renewable(F.col("quote_model")) & _covers_month()
+    overridden = is_override(F.col("contract_reference"), overrides)
+    return _admitted(volumes, ranked, newest | overridden)
+
+
+def _covers_month() -> Column:
+    return F.col("delivery_month").between(
+        F.col("agreement_start_date"), F.col("agreement_end_date")
     )
 
 
+def _admitted(volumes: DataFrame, agreements: DataFrame, admitted: Column) -> DataFrame:
+    terms = agreements.select(
+        "contract_key",
+        "agreement_start_date",
+        "agreement_end_date",
+        "contract_reference",
+        "quote_model",
+        "row_num",
+    ).distinct()
+    return volumes.join(terms, "contract_key").where(admitted).select(*volumes.columns).distinct()
+
+
 def admit_strict(agreements: DataFrame, overrides: Sequence[str]) -> DataFrame:
     """Contracts to report, each within its agreement: newest, and renewable or overridden.
 

@@ -95,8 +95,9 @@ def settled_months(
     """Actual readings with every contract their meter is supplied under.
 
     Both sides are made distinct before they meet on the meter, so no pair is made twice and the
-    result needs no grouping: readings differ in their own columns, supplies in theirs. The customer
-    is only an existence test.
+    result needs no grouping: readings differ in their own columns, supplies in theirs. The company
+    number of the customer is part of the grain, though not of the result: a customer listed under
+    two numbers gives two rows.
     """
     supplies = (
         monthly.select(
@@ -108,7 +109,8 @@ def settled_months(
             "meter_key",
         )
         .distinct()
-        .join(customers.select("customer_key"), "customer_key", "left_semi")
+        .join(customers.select("customer_key", "companyno").distinct(), "customer_key")
+        .drop("companyno")
     )
     joined = supplies.join(settlement_readings(settlement, window), "meter_key")
     keyed = with_generation_key(joined).drop("quote_mpan")

@@ -18,27 +18,32 @@ def not_null_keys(rows: DataFrame, keys: Sequence[str] = ROW_KEYS) -> DataFrame:
     return rows.dropna(subset=list(keys))
 
 
-def select_mpans(costs: DataFrame, params: ContractVolumeParams) -> DataFrame:
+def select_mpans(
+    costs: DataFrame, params: ContractVolumeParams, excluded: DataFrame | None = None
+) -> DataFrame:
     """Distinct supply points billed for the cost component, by year or by the date won.
 
-    The date range is tested twice: as text, which orders like the dates and reaches the Parquet
-    reader, then on the parsed date, which raises on a malformed key inside the range.
+    A won date is parsed strictly: any malformed key of the component, in a row the year alone does not
+    admit, raises. ``excluded`` is a frame whose ``quote_mpan`` is left out besides those of ``params``,
+    for lists too long to be literals.
     """
     if any(mpan is None for mpan in params.excluded_mpans):
         raise ValueError("excluded_mpans holds a null, which would exclude every supply point")
     recent = F.col("year") >= params.year_from
-    won_key = F.col("contract_won_date_key")
-    won_text = won_key.between(f"{params.won_from:%Y%m%d}", f"{params.won_to:%Y%m%d}")
-    won_date = parse_date_key(won_key).between(params.won_from, params.won_to)
+    won = parse_date_key(F.col("contract_won_date_key")).between(params.won_from, params.won_to)
     kept = (
         costs.where(F.col("costcomponent_key") == params.cost_component)
         .where(F.col("quote_mpan").isNotNull())
-        .where(recent | won_text)
-        .where(recent | won_date)
+        .where(recent | won)
     )
     if params.excluded_mpans:
         kept = kept.where(~F.col("quote_mpan").isin(list(params.excluded_mpans)))
-    return kept.select("quote_mpan").distinct()
+    points = kept.select("quote_mpan").distinct()
+    if excluded is None:
+        return points
+    known = F.coalesce("quote_mpan", F.raise_error(F.lit("excluded holds a null quote_mpan")))
+    listed = excluded.select(known.alias("quote_mpan"))
+    return points.join(listed.distinct(), "quote_mpan", "left_anti")
 
 
 def mpan_semi_join(rows: DataFrame, mpans: DataFrame) -> DataFrame:

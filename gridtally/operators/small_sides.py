@@ -1,14 +1,12 @@
-"""Join sides that are usually small but may not be.
+"""Join sides that are usually small but may not be, prepared ahead of a plan.
 
-Left to itself Spark shuffles the fact of such a join, since it cannot tell beforehand that the side
-(a distinct, a rank) comes out small. Here the side is computed once, stored reliably, measured, and
-broadcast only if the measured size allows; otherwise the join shuffles as before.
+Plans are lazy: AQE broadcasts a side that comes out small, but only after the exchange of the other side
+has begun. A caller that runs a plan often, or over very large facts, can compute such a side first and
+pass it in: its size is known then, and a small one spares the facts their exchange altogether.
 """
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,30 +14,30 @@ MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 _ROW_OVERHEAD = 48  # a hash table's bytes per row besides its values
 
 
-def small_side(side: DataFrame) -> DataFrame:
-    """``side``, stored, and marked for broadcast if all of it takes at most ``MAX_BROADCAST_BYTES``.
+def prepare_side(side: DataFrame) -> DataFrame:
+    """Run ``side``, store it and mark it for broadcast if it takes at most ``MAX_BROADCAST_BYTES``.
 
-    Runs ``side`` when called. Where the session has no shared checkpoint folder it is returned as is.
+    A larger side is returned as it was given, still lazy: Spark then sees its filters and may build a
+    runtime filter from them. The stored rows stay in the session's checkpoint folder until that is
+    deleted, or until Spark's cleaner drops them where
+    ``spark.cleaner.referenceTracking.cleanCheckpoints`` is set. The folder must be one that all
+    executors share: without one, or with a folder of this machine on a cluster, this raises.
     """
-    if not _can_checkpoint(side.sparkSession):
-        return side
+    _require_shared_folder(side.sparkSession)
     stored = side.checkpoint()
     widest = [F.max(F.octet_length(F.col(name).cast("string"))) for name in stored.columns]
     rows, *widths = stored.agg(F.count("*"), *widest).first()
     size = rows * (_ROW_OVERHEAD + sum(width or 0 for width in widths))
-    return F.broadcast(stored) if size <= MAX_BROADCAST_BYTES else stored
-
+    return F.broadcast(stored) if size <= MAX_BROADCAST_BYTES else side
 
-def _can_checkpoint(spark: SparkSession) -> bool:
-    """Whether a checkpoint folder is set, after setting the one the session names.
 
-    A folder of this machine is used only when the whole session runs on this machine.
-    """
+def _require_shared_folder(spark: SparkSession) -> None:
     context = spark.sparkContext
+    folder = context.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if folder is None:
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    machine_only = folder.startswith(("file:/tmp/", "file:///tmp/", "/tmp/"))
+    if machine_only and not context.master.startswith("local"):
+        raise ValueError(f"{folder} is a folder of one machine; a cluster needs a shared one")
     if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None and context.master.startswith("local"):
-            folder = tempfile.mkdtemp(prefix="gridtally-")
-        if folder is not None:
-            context.setCheckpointDir(folder)
-    return context.getCheckpointDir() is not None
+        context.setCheckpointDir(folder)

@@ -8,21 +8,29 @@ from pyspark.sql import functions as F
 from gridtally.functions.keys import generation_key
 from gridtally.operators.contracts import admit_strict, latest_agreement
 from gridtally.operators.monthly import ACTUAL_COLUMNS, settlement_readings
-from gridtally.operators.small_sides import small_side
 from gridtally.params import RenewableParams
 from gridtally.sources.warehouse import Warehouse
 
 
+def admitted_contracts(warehouse: Warehouse, params: RenewableParams) -> DataFrame:
+    """The contracts that may be reported, with the dates of their agreements."""
+    agreements = latest_agreement(warehouse.contracts, warehouse.monthly, params.window)
+    return admit_strict(agreements, params.overrides)
+
+
 def actual_volumes_renewable(
-    warehouse: Warehouse, params: RenewableParams = RenewableParams()
+    warehouse: Warehouse,
+    params: RenewableParams = RenewableParams(),
+    admitted: DataFrame | None = None,
 ) -> DataFrame:
     """10 columns, distinct.
 
     The admitted contracts cut the supplies down before these meet the readings on the meter, which
-    is the one many-to-many join; the agreement dates are part of its condition.
+    is the one many-to-many join; the agreement dates are part of its condition. Readings of other meters
+    are left out before they are made distinct. ``admitted`` is ``admitted_contracts`` of the same
+    parameters if the caller has prepared it.
     """
-    agreements = latest_agreement(warehouse.contracts, warehouse.monthly, params.window)
-    admitted = small_side(admit_strict(agreements, params.overrides))
+    admitted = admitted_contracts(warehouse, params) if admitted is None else admitted
     supplies = (
         warehouse.monthly.select(
             "contract_key", "customer_key", "contract_reference", "quote_mpan", "meter_key"
@@ -31,7 +39,9 @@ def actual_volumes_renewable(
         .distinct()
         .join(warehouse.customers.select("customer_key"), "customer_key", "left_semi")
     )
-    readings = settlement_readings(warehouse.settlement, params.window)
+    meters = supplies.select("meter_key").distinct()
+    supplied = warehouse.settlement.join(meters, "meter_key", "left_semi")
+    readings = settlement_readings(supplied, params.window)
     in_force = F.col("delivery_month").between(F.col("valid_from"), F.col("valid_to"))
     return (
         supplies.join(readings, "meter_key")

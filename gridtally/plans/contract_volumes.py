@@ -21,7 +21,6 @@ from gridtally.operators.daily import (
 from gridtally.operators.latest import attach_latest, latest_per_point
 from gridtally.operators.monthly import volumes_to_mwh
 from gridtally.operators.selection import select_mpans
-from gridtally.operators.small_sides import small_side
 from gridtally.params import ContractVolumeParams
 from gridtally.sources.warehouse import Warehouse
 
@@ -38,16 +37,19 @@ _MWH_NAMES = {
 
 
 def contract_month_volumes(
-    warehouse: Warehouse, params: ContractVolumeParams = ContractVolumeParams()
+    warehouse: Warehouse,
+    params: ContractVolumeParams = ContractVolumeParams(),
+    mpans: DataFrame | None = None,
 ) -> DataFrame:
     """24 columns: 11 keys, supply point, 6 volumes, 6 newest values of the supply point.
 
     Differs from chaining the operators one by one in two ways that leave the result as it is. The
     daily sum is left out, since sums of sums equal one sum and the agreement cut depends only on
     contract and day. The newest keys are found after the monthly sum, from each month's last day:
-    the other columns they need are constant within a month row.
+    the other columns they need are constant within a month row. ``mpans`` is ``select_mpans`` of the same
+    parameters if the caller has prepared it.
     """
-    mpans = small_side(select_mpans(warehouse.costs, params))
+    mpans = select_mpans(warehouse.costs, params) if mpans is None else mpans
     volumes = dedup_volumes(warehouse.daily, mpans)
     chosen = choose_volumes(with_ltf_flag(volumes, warehouse.daily))
     cut = zero_outside_agreement(chosen, contract_effective_dates(warehouse.contracts))

@@ -8,28 +8,35 @@ from pyspark.sql import functions as F
 from gridtally.functions.dates import month_start
 from gridtally.operators.contracts import admit_loose, admit_strict, latest_agreement
 from gridtally.operators.monthly import FORECAST_COLUMNS, forecast_sums, per_customer
-from gridtally.operators.small_sides import small_side
 from gridtally.params import RenewableParams
 from gridtally.sources.warehouse import Warehouse
 
 
+def admitted_contracts(
+    warehouse: Warehouse, params: RenewableParams, strict: bool = False
+) -> DataFrame:
+    """The contracts that may be reported, with the dates between which they are."""
+    agreements = latest_agreement(warehouse.contracts, warehouse.monthly, params.window)
+    if strict:
+        return admit_strict(agreements, params.overrides)
+    return admit_loose(agreements, warehouse.contracts, params.window, params.overrides)
+
+
 def forecast_volumes_renewable(
     warehouse: Warehouse,
     params: RenewableParams = RenewableParams(),
     strict: bool = False,
+    admitted: DataFrame | None = None,
 ) -> DataFrame:
     """16 columns, distinct.
 
     By default override quotes skip the newest-agreement and date tests; ``strict`` applies both to
     them too. The admission test reads only grouping columns, so it runs before the sums, as a semi
-    join that cannot repeat a row.
+    join that cannot repeat a row. ``admitted`` is ``admitted_contracts`` of the same parameters if the
+    caller has prepared it.
     """
-    agreements = latest_agreement(warehouse.contracts, warehouse.monthly, params.window)
-    if strict:
-        admitted = admit_strict(agreements, params.overrides)
-    else:
-        admitted = admit_loose(agreements, warehouse.contracts, params.window, params.overrides)
-    rows, terms = warehouse.monthly.alias("rows"), small_side(admitted).alias("terms")
+    admitted = admitted_contracts(warehouse, params, strict) if admitted is None else admitted
+    rows, terms = warehouse.monthly.alias("rows"), admitted.alias("terms")
     in_force = month_start(F.col("rows.year"), F.col("rows.month")).between(
         F.col("terms.valid_from"), F.col("terms.valid_to")
     )

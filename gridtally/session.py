@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Results depend on these two.
 SEMANTICS = {
@@ -19,7 +19,11 @@ SCALE = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "96MB",
+    # A partition of twice the median is split, in parts of about the median, if it is over 96 MB.
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2.0",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # A side that comes out smaller than this when run is broadcast; AQE measures it.
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
     "spark.sql.requireAllClusterKeysForDistribution": "true",
     # Hash instead of sorting both sides of a shuffled join when every partition of one side was
     # measured to fit; a fact then joins its small sides without being sorted each time.
@@ -27,24 +31,46 @@ SCALE = {
     "spark.sql.exchange.reuse": "true",
 }
 
-_TARGET_PARTITION_BYTES = 256 * 1024 * 1024
-_MAX_PARTITIONS = 20_000
+# About this much of a shuffle goes to one partition at first; AQE joins small ones afterwards.
+TARGET_PARTITION_BYTES = 256 * 1024 * 1024
+# Rows in a shuffle take several times the space of the compressed columns they were read from.
+_EXPANSION = 4
+_INITIAL = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 
 
-def configure(spark: SparkSession, shuffle_bytes: int | None = None) -> SparkSession:
-    """Apply the settings to ``spark``.
+def configure(
+    spark: SparkSession, *frames: DataFrame, shuffle_bytes: int | None = None
+) -> SparkSession:
+    """Apply the settings to ``spark``, and size its shuffles.
 
-    ``shuffle_bytes`` is the expected size of the largest shuffle. When given, AQE starts from enough
-    partitions for about 256 MB each (never fewer than the session already has) and coalesces the
-    small ones afterwards; otherwise the cluster's own ``spark.sql.shuffle.partitions`` stands.
+    ``shuffle_bytes`` is the expected size of the largest shuffle. Where it is not given it is taken
+    from the size of the files that ``frames`` read; the loaders do the same for the tables they load.
     """
     for key, value in {**SEMANTICS, **SCALE}.items():
         spark.conf.set(key, value)
-    if shuffle_bytes is not None:
-        wanted = -(-shuffle_bytes // _TARGET_PARTITION_BYTES)
-        current = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        spark.conf.set(
-            "spark.sql.adaptive.coalescePartitions.initialPartitionNum",
-            str(max(current, min(wanted, _MAX_PARTITIONS))),
-        )
+    if shuffle_bytes is None:
+        shuffle_bytes = _EXPANSION * max((_read_bytes(frame) for frame in frames), default=0)
+    raise_partitions(spark, shuffle_bytes)
     return spark
+
+
+def raise_partitions(spark: SparkSession, shuffle_bytes: int) -> None:
+    """Let AQE start from enough partitions for ``shuffle_bytes``; never from fewer than it does."""
+    wanted = -(-shuffle_bytes // TARGET_PARTITION_BYTES)
+    current = spark.conf.get(_INITIAL, None) or spark.conf.get("spark.sql.shuffle.partitions")
+    if wanted > int(current):
+        spark.conf.set(_INITIAL, str(wanted))
+
+
+def size_shuffles(*frames: DataFrame) -> None:
+    """Raise the shuffle partitions of the frames' session to fit the largest of them."""
+    for frame in frames:
+        raise_partitions(frame.sparkSession, _EXPANSION * _read_bytes(frame))
+
+
+def _read_bytes(frame: DataFrame) -> int:
+    """The size of all that ``frame`` reads, by Spark's statistics. Runs no job."""
+    leaves = frame._jdf.queryExecution().analyzed().collectLeaves()
+    sizes = (int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size()))
+    # A source without statistics reports the largest possible size, which says nothing.
+    return sum(size for size in sizes if size < 1 << 62)

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gridtally.session import size_shuffles
 from gridtally.sources import schemas
 
 # Attribute of Warehouse -> (table name, declared schema).
@@ -64,11 +65,25 @@ class Warehouse:
 
     @classmethod
     def from_parquet(
-        cls, spark: SparkSession, root: str, paths: Mapping[str, str] | None = None
+        cls,
+        spark: SparkSession,
+        root: str,
+        paths: Mapping[str, str] | None = None,
+        declared: bool = False,
+        unique: bool = False,
     ) -> Warehouse:
-        """Read ``root/<table name>`` for each table; ``paths`` overrides single tables by name."""
+        """Read ``root/<table name>`` for each table; ``paths`` overrides single tables by name.
+
+        ``declared`` reads with the declared schemas, without a look at any footer, for files that have
+        those types; else columns of other types are cast. ``unique`` runs ``check_unique``.
+        """
         paths = paths or {}
-        return cls._load(lambda name: spark.read.parquet(paths.get(name, f"{root}/{name}")))
+
+        def read(name: str, schema: T.StructType) -> DataFrame:
+            reader = spark.read.schema(schema) if declared else spark.read
+            return reader.parquet(paths.get(name, f"{root}/{name}"))
+
+        return cls._load(read, unique)
 
     @classmethod
     def from_catalog(
@@ -76,17 +91,29 @@ class Warehouse:
         spark: SparkSession,
         database: str | None = None,
         names: Mapping[str, str] | None = None,
+        unique: bool = False,
     ) -> Warehouse:
         """Read catalog tables or views; ``names`` gives the full name of single tables."""
         names = names or {}
         prefix = f"{database}." if database else ""
-        return cls._load(lambda name: spark.table(names.get(name, prefix + name)))
+        return cls._load(lambda name, _: spark.table(names.get(name, prefix + name)), unique)
+
+    def check_unique(self) -> None:
+        """Raise if a customer or contract is listed more than once. Runs a job for each."""
+        for attribute, key in (("customers", "customer_key"), ("contracts", "contract_key")):
+            found = duplicate_keys(getattr(self, attribute), key).first()
+            if found is not None:
+                raise ValueError(f"{TABLES[attribute][0]} lists {key} {found[0]} {found[1]} times")
 
     @classmethod
-    def _load(cls, read) -> Warehouse:
-        return cls(
+    def _load(cls, read, unique: bool) -> Warehouse:
+        warehouse = cls(
             **{
-                attribute: conform(read(name), schema, name)
+                attribute: conform(read(name, schema), schema, name)
                 for attribute, (name, schema) in TABLES.items()
             }
         )
+        size_shuffles(*(getattr(warehouse, attribute) for attribute in TABLES))
+        if unique:
+            warehouse.check_unique()
+        return warehouse

@@ -19,7 +19,7 @@ from gridtally.functions import predicates
 from gridtally.functions.keys import company_code, generation_key
 from gridtally.functions.volumes import REPORT_MWH, mwh
 from gridtally.operators import contracts, daily, latest, monthly, selection
-from gridtally.params import FISCAL_2023, RENEWABLE_OVERRIDES
+from gridtally.params import COST_COMPONENT_KEY, FISCAL_2023, RENEWABLE_OVERRIDES
 from gridtally.sources import schemas
 from gridtally.sources.warehouse import conform
 
@@ -514,3 +514,60 @@ def test_flag_is_the_minimum_over_all_rows(spark):
     df = frame(spark, schemas.FACT_CONSUMPTION_DAILY, [*rows, day_row(contract_key=None)])
     flags = {r["delivery_date_key"]: r["has_ltf"] for r in daily.ltf_flag(df).collect()}
     assert flags == {"20230601": "N", "20230602": "Y"}
+
+
+# Rows of the second round.
+
+
+@pytest.mark.parametrize("key", ["x9990101", "1998-12-20", " 19990101", "1999/01/01", "199901"])
+def test_malformed_won_key_raises_wherever_it_sorts(spark, key):
+    w = warehouse(
+        spark,
+        costs=[{"quote_mpan": "m1", "costcomponent_key": COST_COMPONENT_KEY, "year": 2000, "contract_won_date_key": key}],
+    )
+    with pytest.raises(Exception, match="CANNOT_PARSE|INVALID|could not be parsed"):
+        selection.select_mpans(w.costs, ContractVolumeParams()).collect()
+
+
+def test_excluded_supply_points_may_be_a_frame(spark):
+    w = warehouse(
+        spark,
+        costs=[
+            {"quote_mpan": f"m{i}", "costcomponent_key": COST_COMPONENT_KEY, "year": 2023} for i in range(4)
+        ],
+    )
+    listed = spark.createDataFrame([("m1",), ("m3",), ("m3",)], "quote_mpan string")
+    kept = selection.select_mpans(w.costs, ContractVolumeParams(excluded_mpans=("m0",)), listed)
+    assert [r.quote_mpan for r in kept.collect()] == ["m2"]
+    with pytest.raises(Exception, match="excluded holds a null"):
+        nulls = spark.createDataFrame([(None,)], "quote_mpan string")
+        selection.select_mpans(w.costs, ContractVolumeParams(), nulls).collect()
+
+
+def test_two_company_numbers_give_two_settled_rows(spark):
+    w = warehouse(
+        spark,
+        customers=[{**CUSTOMER, "companyno": "1"}, {**CUSTOMER, "companyno": "2"}, {**CUSTOMER, "companyno": "2"}],
+        contracts=[agreement()],
+        monthly=[month_row()],
+        settlement=[reading()],
+    )
+    assert monthly.settled_months(w.settlement, w.monthly, w.customers, FISCAL_2023).count() == 2
+
+
+def test_every_rank_is_numbered(spark):
+    w = warehouse(
+        spark,
+        contracts=[{**agreement(), "contract_key": f"k{n}", "agreement_number": n} for n in (1, 3, 2)],
+        monthly=[{**month_row(), "contract_key": f"k{n}"} for n in (1, 2, 3, 3)],
+    )
+    ranked = contracts.ranked_agreements(w.contracts, w.monthly, FISCAL_2023).collect()
+    assert {(r.agreement_number, r.row_num) for r in ranked} == {(3, 1), (2, 2), (1, 3)}
+    assert len(ranked) == 3
+
+
+def test_repeated_customers_are_reported_on_request(spark):
+    w = warehouse(spark, customers=[CUSTOMER, CUSTOMER])
+    with pytest.raises(ValueError, match="dim_customer lists customer_key"):
+        w.check_unique()
+    warehouse(spark, customers=[CUSTOMER], contracts=[agreement()]).check_unique()

@@ -40,13 +40,13 @@ def loaded(spark, sf_small, tmp_path_factory):
 @pytest.fixture
 def without_broadcast(spark, monkeypatch):
     """As for tables too large to broadcast."""
-    monkeypatch.setattr(small_sides, "MAX_BROADCAST_BYTES", 0)
     names = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    before = {name: spark.conf.get(name, None) for name in names}
     for name in names:
         spark.conf.set(name, "-1")
     yield
-    for name in names:
-        spark.conf.unset(name)
+    for name, value in before.items():
+        spark.conf.unset(name) if value is None else spark.conf.set(name, value)
 
 
 @pytest.fixture(autouse=True)
@@ -90,8 +90,7 @@ def test_supply_point_filters_reach_the_scan(loaded):
     plan = planned(selection.select_mpans(loaded.costs, CONTRACT_PARAMS))
     pushed = scan(plan, "costcomponent_key").split("PushedFilters: ")[1]
     assert "EqualTo(costcomponent_key,59b1)" in pushed
-    assert "GreaterThanOrEqual(contract_won_date_key,19980913)" in pushed
-    assert "LessThanOrEqual(contract_won_date_key,19990921)" in pushed
+    assert "IsNotNull(quote_mpan)" in pushed
 
 
 def test_flag_scan_reads_only_rows_without_forecast_key(loaded, without_broadcast):
@@ -162,7 +161,8 @@ def test_every_aggregate_is_partial_before_its_shuffle(loaded, without_broadcast
 
 
 def test_small_supply_points_spare_the_shuffle_of_all_daily_rows(loaded):
-    plan = planned(PLANS["contract"](loaded))
+    mpans = small_sides.prepare_side(selection.select_mpans(loaded.costs, CONTRACT_PARAMS))
+    plan = planned(contract_month_volumes(loaded, CONTRACT_PARAMS, mpans))
     lines = plan.splitlines()
     semi = [i for i, line in enumerate(lines) if "BroadcastHashJoin" in line and "LeftSemi" in line]
     assert semi
@@ -177,22 +177,61 @@ def test_side_is_broadcast_by_its_measured_size(spark, monkeypatch):
     rows = spark.range(10).selectExpr("lpad(id, 13, '0') AS quote_mpan")
     for limit, marked in [(1000 * 61, True), (1000 * 61 - 1, False)]:
         monkeypatch.setattr(small_sides, "MAX_BROADCAST_BYTES", limit)
-        joined = rows.join(small_sides.small_side(side), "quote_mpan", "left_semi")
+        joined = rows.join(small_sides.prepare_side(side), "quote_mpan", "left_semi")
         text = joined._jdf.queryExecution().analyzed().toString()
         assert ("ResolvedHint" in text) == marked
         assert joined.count() == 10
 
 
-def test_checkpoint_folder_is_the_one_the_session_names(spark):
-    assert small_sides._can_checkpoint(spark)
-    folder = spark.conf.get("spark.checkpoint.dir")
-    assert folder in spark.sparkContext.getCheckpointDir()
+def test_prepared_side_needs_a_shared_folder(spark, monkeypatch):
+    class Cluster:
+        master = "spark://host:7077"
+
+        @staticmethod
+        def getCheckpointDir():
+            return "file:/tmp/somewhere"
+
+    class Session:
+        sparkContext = Cluster
+
+    with pytest.raises(ValueError, match="one machine"):
+        small_sides._require_shared_folder(Session)
+    small_sides._require_shared_folder(spark)
+    assert spark.conf.get("spark.checkpoint.dir") in spark.sparkContext.getCheckpointDir()
+
+
+@pytest.mark.parametrize("name", PLANS)
+def test_building_a_plan_starts_no_job(spark, loaded, name):
+    spark.sparkContext.setJobGroup(f"build-{name}", "build")
+    try:
+        PLANS[name](loaded)
+        assert not spark.sparkContext.statusTracker().getJobIdsForGroup(f"build-{name}")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_prepared_sides_give_the_same_rows(loaded):
+    from helpers import spark_multiset
+
+    from gridtally.plans import actual_volumes, forecast_volumes
+
+    mpans = small_sides.prepare_side(selection.select_mpans(loaded.costs, CONTRACT_PARAMS))
+    admitted = small_sides.prepare_side(actual_volumes.admitted_contracts(loaded, RENEWABLE_PARAMS))
+    terms = small_sides.prepare_side(forecast_volumes.admitted_contracts(loaded, RENEWABLE_PARAMS))
+    prepared = {
+        "contract": contract_month_volumes(loaded, CONTRACT_PARAMS, mpans),
+        "actual": actual_volumes_renewable(loaded, RENEWABLE_PARAMS, admitted),
+        "loose": forecast_volumes_renewable(loaded, RENEWABLE_PARAMS, admitted=terms),
+    }
+    for name, result in prepared.items():
+        assert spark_multiset(result) == spark_multiset(PLANS[name](loaded))
 
 
-def test_side_stays_lazy_without_a_shared_folder(spark, monkeypatch):
-    monkeypatch.setattr(small_sides, "_can_checkpoint", lambda session: False)
-    side = spark.range(3)
-    assert small_sides.small_side(side) is side
+def test_settlement_is_cut_to_supplied_meters_before_its_distinct(loaded, without_broadcast):
+    lines = planned(PLANS["actual"](loaded)).splitlines()
+    semi = [i for i, line in enumerate(lines) if "LeftSemi" in line and "meter_key" in line]
+    assert semi
+    assert any("settlement_site_volume_kwh" in line and "FileScan" in line for line in lines[semi[0] :])
 
 
 def test_fiscal_window_of_any_length(spark):
@@ -209,14 +248,35 @@ def test_fiscal_window_of_any_length(spark):
         assert {tuple(r) for r in kept} == {p for p in months if first <= p <= last}
 
 
-def test_configure_sizes_the_shuffle(spark):
-    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-    try:
-        configure(spark, shuffle_bytes=10 * 1024**4)
-        assert int(spark.conf.get(key)) == 20_000
-        configure(spark, shuffle_bytes=1024**4)
-        assert int(spark.conf.get(key)) == 4096
-        configure(spark, shuffle_bytes=1)
-        assert spark.conf.get(key) == spark.conf.get("spark.sql.shuffle.partitions")
-    finally:
-        spark.conf.unset(key)
+INITIAL = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+
+
+@pytest.fixture
+def fresh_sizes(spark):
+    spark.conf.unset(INITIAL)
+    yield
+    spark.conf.unset(INITIAL)
+
+
+@pytest.mark.parametrize("tib", [1, 10, 100, 1000])
+def test_partitions_follow_the_shuffle_at_any_size(spark, fresh_sizes, tib):
+    configure(spark, shuffle_bytes=tib * 1024**4)
+    assert int(spark.conf.get(INITIAL)) == tib * 4096
+
+
+def test_small_shuffles_keep_the_partitions_of_the_session(spark, fresh_sizes):
+    configure(spark, shuffle_bytes=1)
+    assert spark.conf.get(INITIAL, None) is None
+
+
+def test_large_tables_raise_the_partitions_by_themselves(spark, loaded, fresh_sizes, monkeypatch):
+    from gridtally import session
+
+    monkeypatch.setattr(session, "TARGET_PARTITION_BYTES", 1024)
+    configure(spark)
+    assert spark.conf.get(INITIAL, None) is None
+    configure(spark, loaded.daily)
+    by_daily = int(spark.conf.get(INITIAL))
+    assert by_daily > 100
+    session.size_shuffles(loaded.customers)
+    assert int(spark.conf.get(INITIAL)) == by_daily

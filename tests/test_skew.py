@@ -13,7 +13,7 @@ from gridtally import (
     contract_month_volumes,
     forecast_volumes_renewable,
 )
-from gridtally.operators import small_sides
+from gridtally.session import SCALE
 
 HOT = "xxhash64(product_key, meter_key, quote_mpan) % 3 = 0"
 
@@ -33,14 +33,15 @@ SETTINGS = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
     "spark.sql.adaptive.coalescePartitions.minPartitionSize": "4k",
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "32k",
-    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": SCALE[
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor"
+    ],
     "spark.sql.files.maxPartitionBytes": "128k",
 }
 
 
 @pytest.fixture
-def small_partitions(spark, monkeypatch):
-    monkeypatch.setattr(small_sides, "MAX_BROADCAST_BYTES", 0)
+def small_partitions(spark):
     before = {name: spark.conf.get(name, None) for name in SETTINGS}
     for name, value in SETTINGS.items():
         spark.conf.set(name, value)
