@@ -18,6 +18,7 @@ PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S
 _MEMO = 150_000
 _PAIRS = 1_000_000
 _MEMO_LETTERS = 32
+_LONG = 32
 
 
 def _byte_letters() -> dict[str, int]:
@@ -215,6 +216,13 @@ class PrefixTable:
         k = bisect_right(self.tokens, max(0, budget)) - 1
         best = self.ends[k]
         upto = self.ends[min(k + 1, len(self.ends) - 1)]
+        if upto - best > _LONG and self.starts_anew[k + 1] != upto:
+            # All beginnings of a long piece but the shortest are pieces too: its table has their counts.
+            within = self.vocabulary.piece(self.text[best:upto])
+            for characters in range(upto - best, _LONG, -1):
+                if self.tokens[k] + within[characters] <= budget:
+                    return best + characters
+            upto = best + _LONG
         for characters in range(upto, best, -1):
             if self.count(characters) <= budget:
                 return characters

@@ -1,0 +1,144 @@
+"""Quality, personal data and toxicity."""
+
+import hashlib
+import re
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from gridtally.llm import pii_semicrf as pii
+from gridtally.llm import quality_gam, queries, toxicity_fm
+from gridtally.llm.common import table
+
+
+def _held(spark, sf_dir, name, column, divisor, value):
+    scored = queries.QUERIES[name](spark, sf_dir)
+    labels = table(spark, sf_dir, "labels")
+    rows = scored.join(labels, "doc_id").where("held_out").select(column, "score", "predicted", "doc_id").collect()
+    assert all(zlib.crc32(str(r.doc_id).encode()) % divisor == value for r in rows)
+    assert all(0 <= r.score <= 1 for r in rows)
+    return rows
+
+
+def test_quality_of_held_out_documents(spark, sf_medium):
+    rows = _held(spark, sf_medium, "op1_quality_gam", "quality", 4, 2)
+    assert np.mean([r.predicted == r.quality for r in rows]) > 0.97
+
+
+def test_toxicity_of_held_out_documents(spark, sf_medium):
+    rows = _held(spark, sf_medium, "op3_toxicity_fm", "toxic", 5, 0)
+    toxic = [r.predicted for r in rows if r.toxic]
+    clean = [r.predicted for r in rows if not r.toxic]
+    assert np.mean(toxic) > 0.6 and np.mean(clean) < 0.05
+
+
+def test_pairs_of_features_are_learnt():
+    rng = np.random.default_rng(0)
+    x = rng.random((4000, 3))
+    y = ((x[:, 0] > 0.5) ^ (x[:, 1] > 0.5)).astype(float)
+    model = quality_gam.fit(x, y, pair_rounds=80)
+    assert {model.pairs[0][0], model.pairs[0][1]} == {0, 1}
+    assert ((model.scores(x) > 0.5) == y).mean() > 0.95
+
+
+def test_pairs_of_terms_are_learnt():
+    rng = np.random.default_rng(0)
+    rows, labels = [], []
+    for _ in range(3000):
+        a, b = rng.random(2) < 0.5
+        rows.append(np.array([t for t, on in ((11, a), (22, b), (33, rng.random() < 0.5)) if on], dtype=np.int64))
+        labels.append(float(a and b))
+    machine = toxicity_fm.fit(rows, np.array(labels))
+    both = machine.logit([machine.slots[11], machine.slots[22]])
+    assert both > 0 > max(machine.logit([machine.slots[t]]) for t in (11, 22))
+
+
+def test_models_without_labels_score_alike(spark, odd_documents):
+    labels = spark.createDataFrame([], "doc_id long, label int")
+    gam, machine = quality_gam.fit_on(odd_documents, labels), toxicity_fm.fit_on(odd_documents, labels)
+    for scored in (quality_gam.score(F.col("text"), gam), toxicity_fm.score(F.col("text"), machine)):
+        values = {r[0] for r in odd_documents.select(scored).collect()}
+        assert values == {0.5}
+    ones = spark.createDataFrame([(0, 1), (0, 1), (None, 0), (5, None), (99999, 0)], "doc_id long, label int")
+    assert quality_gam.fit_on(odd_documents, ones).base == pytest.approx(np.log(2))
+
+
+def test_kept_documents_keep_their_columns(spark, odd_documents):
+    model = quality_gam.fit(np.zeros((0, 0)), np.zeros(0))
+    assert quality_gam.keep_good(odd_documents, model, 0.5).columns == odd_documents.columns
+    assert quality_gam.keep_good(odd_documents, model, 0.5).count() == odd_documents.count()
+    assert quality_gam.keep_good(odd_documents.limit(0), model).count() == 0
+
+
+# Personal data.
+
+
+def _plain(text):
+    """The contract's patterns as they are written."""
+    found = [(*m.span(), "email") for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text)]
+    for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", text):
+        if all(int(part) <= 255 for part in m.group().split(".")):
+            found.append((*m.span(), "ip"))
+    for kind, pattern, low, high in (
+        ("card", r"[0-9]([\x20-]?[0-9])+", 14, 19),
+        ("phone", r"\+[0-9][\x20().0-9-]+[0-9]", 10, 15),
+    ):
+        for m in re.finditer(pattern, text):
+            digits = re.sub("[^0-9]", "", m.group())
+            if low <= len(digits) <= high and (kind == "phone" or pii.luhn(digits)):
+                found.append((*m.span(), kind))
+    return sorted(found, key=lambda s: (s[0], pii.KINDS.index(s[2])))
+
+
+def test_base_spans_equal_the_patterns():
+    import random
+
+    rng = random.Random(3)
+    for _ in range(3000):
+        text = "".join(rng.choice("a1@.-+ ()%2345é\n") for _ in range(rng.randint(0, 40)))
+        assert pii.base_spans(text) == _plain(text)
+    assert pii.base_spans("x 4242 4242 4242 4242, a.b@c.de 010.1.2.255") == [
+        (2, 21, "card"), (23, 31, "email"), (32, 43, "ip"),
+    ]
+
+
+@pytest.mark.parametrize("text", ["1" * 100_000, "1." * 50_000, "a@" * 50_000, "a." * 50_000 + "@", "+1(" * 20_000])
+def test_long_runs_take_little_time(text):
+    import time
+
+    started = time.time()
+    pii.base_spans(text)
+    assert time.time() - started < 5
+
+
+def test_other_ways_to_write_are_found_and_lookalikes_are_not(spark):
+    field = pii.fit_on(spark.createDataFrame([], "doc_id long, text string"))
+    found = lambda text: pii.joined(pii.added_spans(text, pii.base_spans(text), field))
+    assert found("call (555) 123-4567 now") == "phone:5:19"
+    assert found("write to a.b [at] mail [dot] org") == "email:9:32"
+    assert found("host 10[.]0[.]0[.]7 is up") == "ip:5:19"
+    assert found("see 4111.1111.1111.1111 then") == "card:4:23"
+    for clean in ("version 2.0.", "on 2024-01-15 at 12:30", "token 11acdfb36bb72224148e6160f674b4be45601bff", "4737097684299430"):
+        assert found(clean) == ""
+    text = "tel +1 (269) 555-3296 4111111111111111 end"
+    assert found(text) == "phone:4:21,card:22:38"
+
+
+def test_pii_query_by_brute_force(spark, sf_medium):
+    texts = {r.doc_id: r.text for r in table(spark, sf_medium, "documents").collect()}
+    rows = queries.op2_pii_semicrf(spark, sf_medium).collect()
+    assert len(rows) == len(texts)
+    for row in rows:
+        base = _plain(texts[row.doc_id] or "")
+        assert row.base_sha256 == hashlib.sha256(pii.joined(base).encode()).hexdigest()
+        assert [row[f"n_{k}"] for k in pii.KINDS] == [sum(s[2] == k for s in base) for k in pii.KINDS]
+        assert set(filter(None, pii.joined(base).split(","))) <= set(row.spans.split(","))
+
+
+def test_pii_of_odd_documents(odd_documents):
+    field = pii.fit([])
+    found = odd_documents.select("text", pii.find_spans(F.col("text"), field).alias("f")).collect()
+    assert len(found) == odd_documents.count()
+    assert all(r.f.base == [] for r in found if not r.text)
