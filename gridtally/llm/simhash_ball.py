@@ -115,7 +115,8 @@ def near_pairs(nodes: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
             "fp",
         )
         links = links.union(_compared(finer, max_bits, None).select("a", "b"))
-    return links.distinct()
+    # A fingerprint may meet itself under a key that two erasures share.
+    return links.where("a != b").distinct()
 
 
 def _erasable(max_bits: int) -> list[tuple[int, int]]:
