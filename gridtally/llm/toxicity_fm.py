@@ -16,7 +16,7 @@ from pyspark.sql.functions import pandas_udf
 from gridtally.llm.common import bounded_sample
 
 # The model is fitted on at most so many labelled documents, those with the smallest hashes of ids.
-FIT_ROWS = 12_000
+FIT_ROWS = 8_000
 THRESHOLD = 0.5
 
 BUCKETS = 1 << 18
@@ -83,11 +83,9 @@ def fit(
     empty = Machine(base, {}, np.zeros(0), np.zeros((0, FACTORS)))
     if not positive or not negative:
         return empty
-    sizes = np.array([len(row) for row in rows])
-    flat = np.concatenate(rows).astype(np.int64) if sizes.sum() else np.zeros(0, np.int64)
-    owner = np.repeat(np.arange(len(rows)), sizes)
-    ones = np.bincount(flat, weights=labels[owner], minlength=BUCKETS)
-    zeros = np.bincount(flat, weights=1 - labels[owner], minlength=BUCKETS)
+    ones, zeros = np.zeros(BUCKETS), np.zeros(BUCKETS)
+    for row, label in zip(rows, labels):
+        (ones if label else zeros)[row] += 1
     share = (ones + zeros) / len(labels)
     spread = np.sqrt((share * (1 - share) + 1e-9) * (1 / positive + 1 / negative))
     telling = np.abs(ones / positive - zeros / negative) / spread
@@ -96,8 +94,10 @@ def fit(
     active = np.sort(order[telling[order] > 2])
     slot_of = np.full(BUCKETS, -1)
     slot_of[active] = np.arange(len(active))
-    slots = slot_of[flat]
-    owner, slots = owner[slots >= 0], slots[slots >= 0]
+    known = [slot_of[row] for row in rows]
+    known = [own[own >= 0] for own in known]
+    owner = np.repeat(np.arange(len(rows)), [len(own) for own in known])
+    slots = np.concatenate(known)
     first = np.searchsorted(owner, np.arange(len(rows) + 1))
 
     rng = np.random.default_rng(seed)
@@ -137,10 +137,10 @@ def fit_on(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Machine:
     repeated id counts with its smallest label. Null labels and labels of unknown ids teach nothing.
     """
 
-    @pandas_udf("array<int>")
+    @pandas_udf("binary")
     def hashed(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
-            yield pd.Series([buckets(text) for text in texts])
+            yield pd.Series([np.array(buckets(text), dtype="<i4").tobytes() for text in texts])
 
     sample = bounded_sample(
         labels.where("label is not null and doc_id is not null"), docs.select("doc_id", "text"), rows
@@ -151,7 +151,7 @@ def fit_on(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Machine:
         .limit(rows)
         .toPandas()
     )
-    x = [np.asarray(row, dtype=np.int64) for row in learned["x"]]
+    x = [np.frombuffer(row, dtype="<i4") for row in learned["x"]]
     return fit(x, learned["label"].to_numpy(dtype=float))
 
 
