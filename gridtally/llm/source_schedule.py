@@ -89,7 +89,7 @@ def schedule(targets: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
 
     A source needs as many slots as blocks of its stream, read in order and again from the front, until
     its target is reached; the last block is cut there. Slot i of n stands at point i * g mod n, where g
-    is the whole number next to n / golden ratio that shares no factor with n, so the points fill 0 to
+    is a whole number near n / golden ratio that shares no factor with n, so the points fill 0 to
     n - 1 evenly at any time. Points map through the cumulative slot numbers of the sources. Each
     stretch of the schedule therefore holds every source in proportion, and each source gets exactly
     its slots.
@@ -149,12 +149,22 @@ def schedule(targets: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
 
 
 def _step(n: int) -> int:
+    """The step near n / golden ratio, without a common factor, whose multiples modulo n are most even.
+
+    They are the more even the smaller the quotients of the two numbers' division chain are.
+    """
     from math import gcd
 
-    step = max(1, round(n * (5**0.5 - 1) / 2))
-    while gcd(step, n) > 1:
-        step += 1
-    return step
+    def largest_quotient(step: int) -> int:
+        a, b, largest = n, step, 0
+        while b:
+            largest, a, b = max(largest, a // b), b, a % b
+        return largest
+
+    ideal = n * (5**0.5 - 1) / 2
+    near = range(max(1, round(ideal) - 50), max(2, min(n, round(ideal) + 51)))
+    steps = [step for step in near if gcd(step, n) == 1] or [1]
+    return min(steps, key=lambda step: (largest_quotient(step), abs(step - ideal)))
 
 
 def mix(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
