@@ -15,7 +15,7 @@ from gridtally.llm.common import stored
 from gridtally.llm.components import connected_components
 
 MIN_COSINE = 0.93
-# The rotations are fitted on at most so many vectors, those with the smallest hashes of ids.
+# The rotations are fitted on at most so many vectors, those with the smallest hashes.
 FIT_ROWS = 4_096
 BITS = 64
 TABLES = 4
@@ -49,7 +49,7 @@ def fit_rotation(vectors: np.ndarray, bits: int, rounds: int = 30, seed: int = 5
 
 def fit_codes(nodes: DataFrame, rows: int = FIT_ROWS) -> dict[int, tuple[np.ndarray, np.ndarray]]:
     """A rotation for each length of vectors in the sample that has enough of them."""
-    sample = nodes.select("vec_id", "vec").orderBy(F.xxhash64("vec_id"), "vec_id").limit(rows).toPandas()
+    sample = nodes.select("vec").orderBy(F.xxhash64("vec"), "vec").limit(rows).toPandas()
     by_length: dict[int, list] = {}
     for vector in sample["vec"]:
         by_length.setdefault(len(vector), []).append(_unit(np.asarray(vector, dtype=float)))
@@ -223,18 +223,19 @@ def near_duplicates(vectors: DataFrame, min_cosine: float = MIN_COSINE) -> DataF
     Equal vectors of one label are one node, compared once and counted as often as they occur. A row
     links with nothing, and is its own component, if its label is null or its vector is null, empty,
     zero, or has a null or non-finite component. Vectors of different lengths never link. A row without
-    id is counted in others' links and gets the smallest id of its component. Repeated ids are vectors of their own.
+    id is counted in others' links and gets the smallest id of its component. Rows that repeat an id are
+    vectors of their own, so nodes are numbered apart from the ids.
     """
     named = vectors.select("vec_id", "label", F.col("embedding").cast("array<double>").alias("vec"))
     rows = stored(named.withColumn("usable", F.col("label").isNotNull() & usable(F.col("vec"))))
     grouped = stored(
         rows.where("usable")
         .groupBy("label", "vec")
-        .agg(F.count("*").alias("copies"), F.min("vec_id").alias("vec_id"))
-    ).withColumn("low", F.col("vec_id"))
-    keyed = stored(grouped.withColumn("vec_id", F.coalesce("vec_id", -F.monotonically_increasing_id() - (1 << 40))))
-    rotations = fit_codes(keyed)
-    nodes = stored(keyed.withColumn("code", codes(F.col("vec"), rotations)))
+        .agg(F.count("*").alias("copies"), F.min("vec_id").alias("low"))
+        .withColumn("vec_id", F.monotonically_increasing_id())
+    )
+    rotations = fit_codes(grouped)
+    nodes = stored(grouped.withColumn("code", codes(F.col("vec"), rotations)))
     links = stored(near_pairs(nodes, min_cosine).distinct())
     both = links.union(links.select("b", "a"))
     copies = nodes.select(F.col("vec_id").alias("b"), "copies")

@@ -111,7 +111,10 @@ def sharded(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     order = F.xxhash64("doc_id", "text_crc32")
     piece = F.floor(F.shiftrightunsigned(order, 33).cast("double") / float(1 << 31) * pieces)
     placed = (
-        docs.select(*own, size_of(F.col("text")).alias("size"), checksum(F.col("text")).alias("text_crc32"))
+        docs.select(
+            F.struct(*own).alias("_row"), "doc_id", "source", "lang",
+            size_of(F.col("text")).alias("size"), checksum(F.col("text")).alias("text_crc32"),
+        )
         .withColumn("curve", hilbert_index(cell))
         .withColumns({"_order": order, "_piece": piece})
     )
@@ -136,5 +139,5 @@ def sharded(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
         .withColumn("_position", position.cast("long"))
         .withColumn("shard", F.expr(f"cast(_position * {shards} div {max(total, 1)} as int)"))
         .withColumn("slot", F.expr(f"_position - (cast(shard as long) * {total} + {shards - 1}) div {shards}"))
-        .select(*own, *new)
+        .select("_row.*", *new)
     )

@@ -241,9 +241,9 @@ def keep_one(docs: DataFrame, **options) -> DataFrame:
     if repeated.isEmpty():
         return kept
     firsts = groups.where("doc_id = component_id").select("doc_id", "fp").distinct()
-    rows = docs.join(repeated, "doc_id", "left_semi")
-    rows = rows.withColumn("fp", fingerprints(F.col("text"), options.get("shingle_words", SHINGLE_WORDS)))
+    rows = docs.join(repeated, "doc_id", "left_semi").select(
+        "doc_id", F.struct(*docs.columns).alias("row"),
+        fingerprints(F.col("text"), options.get("shingle_words", SHINGLE_WORDS)).alias("fp"),
+    )
     one = rows.join(firsts, ["doc_id", "fp"], "left_semi").dropDuplicates(["doc_id"])
-    return kept.join(repeated, "doc_id", "left_anti").select(*docs.columns).union(
-        one.select(*docs.columns)
-    )
+    return kept.join(repeated, "doc_id", "left_anti").select(*docs.columns).union(one.select("row.*"))

@@ -218,5 +218,6 @@ def mixed(docs: DataFrame) -> DataFrame:
         F.floor(F.col("first.taken") / F.col("first.size") + 0.5)
     )
     counts = read.select(F.col("doc_id").alias("_id"), times.cast("int").alias("_times")).where("_times > 0")
-    joined = docs.join(stored(counts), docs["doc_id"].eqNullSafe(F.col("_id")))
-    return joined.select(*docs.columns, F.explode(F.sequence(F.lit(1), "_times")).alias("_time")).drop("_time")
+    whole = docs.select(F.struct(*docs.columns).alias("_row"))
+    joined = whole.join(stored(counts), F.col("_row.doc_id").eqNullSafe(F.col("_id")))
+    return joined.select("_row", F.explode(F.sequence(F.lit(1), "_times"))).select("_row.*")
