@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,6 +18,13 @@ VOLUMES = QUOTED + REFORECAST
 
 CONTRACT_DAY = ("contract_key", "delivery_date_key")
 
+AGREEMENT = (
+    "agreement_start_date",
+    "agreement_end_date",
+    "agreement_cancelled_flag",
+    "agreement_cancellation_date",
+)
+
 DAY_KEYS = (
     "contract_key",
     "quote",
@@ -75,32 +84,28 @@ def dedup_volumes(daily: DataFrame, mpans: DataFrame) -> DataFrame:
     )
 
 
-def with_ltf_flag(volumes: DataFrame, daily: DataFrame) -> DataFrame:
-    """``volumes`` with the ``has_ltf`` that a left join to ``ltf_flag(daily)`` would give.
+def with_contract_days(volumes: DataFrame, daily: DataFrame, contract: DataFrame) -> DataFrame:
+    """``volumes`` with ``has_ltf`` and the agreement columns of ``contract``, by a single join.
 
-    Needs ``volumes`` to be rows of ``daily``: each of its contract-days then has a flag, 'N' exactly
-    when some row lacks the forecast key. So only those rows are read (the null test reaches the
-    scan) and shuffled. A row without a day key matches nothing and gets no flag.
+    Gives what a left join to ``ltf_flag(daily)`` by contract and day and one to ``contract`` by contract
+    would give. The flags, a narrow row per contract and day, meet the contracts first, so the wide
+    daily rows are shuffled once, and a hot contract is spread over its days. A row without a day key
+    has no flag but meets its contract. Needs ``volumes`` to be rows of ``daily``.
     """
-    lacking = (
-        daily.where(F.col("itron_forecast_key_lt").isNull())
-        .dropna(subset=list(CONTRACT_DAY))
-        .select(*CONTRACT_DAY)
-        .distinct()
-        .withColumn("lacks_ltf", F.lit(True))
-    )
-    has_day = F.col("contract_key").isNotNull() & F.col("delivery_date_key").isNotNull()
-    return (
-        volumes.join(lacking, list(CONTRACT_DAY), "left")
-        .withColumn("has_ltf", F.when(F.col("lacks_ltf"), "N").when(has_day, "Y"))
-        .drop("lacks_ltf")
+    day = F.col("delivery_date_key")
+    days = ltf_flag(daily).withColumn("has_ltf", F.when(day.isNotNull(), F.col("has_ltf")))
+    days = days.join(contract, "contract_key", "left").select(
+        F.col("contract_key").alias("_contract"), day.alias("_day"), "has_ltf", *AGREEMENT
     )
+    same = (F.col("contract_key") == F.col("_contract")) & day.eqNullSafe(F.col("_day"))
+    return volumes.join(days, same, "left").drop("_contract", "_day")
 
 
-def choose_volumes(flagged: DataFrame) -> DataFrame:
+def choose_volumes(flagged: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Long-term reforecast where ``has_ltf`` is 'Y', the quoted volume elsewhere, null as zero.
 
-    A missing reforecast under 'Y' becomes zero; it does not fall back to the quoted volume.
+    A missing reforecast under 'Y' becomes zero; it does not fall back to the quoted volume. The
+    columns ``keep`` stay besides the day keys.
     """
 
     def reforecast(point: str) -> Column:
@@ -109,6 +114,7 @@ def choose_volumes(flagged: DataFrame) -> DataFrame:
 
     return flagged.select(
         *DAY_KEYS,
+        *keep,
         *(zero_if_null(F.col(f"{point}_volume_kwh")).alias(f"{point}_volume_kwh") for point in POINTS),
         *(reforecast(point).alias(f"reforecasted_{point}_volume_kwh") for point in POINTS),
     )
@@ -130,11 +136,16 @@ def zero_outside_agreement(consumption: DataFrame, contract: DataFrame) -> DataF
     Without a contract row, or with a bound missing that the other does not settle, the test is
     unknown and the reforecast stays. Several rows for one contract repeat the consumption.
     """
+    return cut_volumes(consumption.join(contract, "contract_key", "left"))
+
+
+def cut_volumes(joined: DataFrame) -> DataFrame:
+    """``zero_outside_agreement`` of consumption that has the agreement columns already."""
     inside = F.col("delivery_date").between(
         F.col("agreement_start_date"), F.col("agreement_end_date")
     )
     none = F.lit(0).cast(KWH)
-    return consumption.join(contract, "contract_key", "left").select(
+    return joined.select(
         *DAY_KEYS,
         "agreement_cancelled_flag",
         F.col("agreement_cancellation_date").cast("date").alias("agreement_cancellation_date"),

@@ -8,15 +8,16 @@ from pyspark.sql import functions as F
 from gridtally.functions.volumes import REPORT_MWH
 from gridtally.operators.contracts import contract_effective_dates
 from gridtally.operators.daily import (
+    AGREEMENT,
     DAY_KEYS,
     POINTS,
     QUOTED,
     REFORECAST,
     VOLUMES,
     choose_volumes,
+    cut_volumes,
     dedup_volumes,
-    with_ltf_flag,
-    zero_outside_agreement,
+    with_contract_days,
 )
 from gridtally.operators.latest import attach_latest, latest_per_point
 from gridtally.operators.monthly import volumes_to_mwh
@@ -43,16 +44,17 @@ def contract_month_volumes(
 ) -> DataFrame:
     """24 columns: 11 keys, supply point, 6 volumes, 6 newest values of the supply point.
 
-    Differs from chaining the operators one by one in two ways that leave the result as it is. The
-    daily sum is left out, since sums of sums equal one sum and the agreement cut depends only on
+    Differs from chaining the operators one by one in three ways that leave the result as it is. Flags
+    and agreements come by one join. The daily sum is left out, since sums of sums equal one sum and the agreement cut depends only on
     contract and day. The newest keys are found after the monthly sum, from each month's last day:
     the other columns they need are constant within a month row. ``mpans`` is ``select_mpans`` of the same
     parameters if the caller has prepared it.
     """
     mpans = select_mpans(warehouse.costs, params) if mpans is None else mpans
     volumes = dedup_volumes(warehouse.daily, mpans)
-    chosen = choose_volumes(with_ltf_flag(volumes, warehouse.daily))
-    cut = zero_outside_agreement(chosen, contract_effective_dates(warehouse.contracts))
+    agreements = contract_effective_dates(warehouse.contracts)
+    joined = with_contract_days(volumes, warehouse.daily, agreements)
+    cut = cut_volumes(choose_volumes(joined, keep=AGREEMENT))
     months = cut.groupBy(*MONTH_KEYS).agg(
         *(F.sum(name).alias(name) for name in VOLUMES),
         F.max("delivery_date").alias("last_day"),

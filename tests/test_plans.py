@@ -93,12 +93,11 @@ def test_supply_point_filters_reach_the_scan(loaded):
     assert "IsNotNull(quote_mpan)" in pushed
 
 
-def test_flag_scan_reads_only_rows_without_forecast_key(loaded, without_broadcast):
+def test_flag_scan_reads_three_columns(loaded, without_broadcast):
     plan = planned(PLANS["contract"](loaded))
     lines = [x for x in plan.splitlines() if "FileScan" in x and "itron_forecast_key_lt#" in x]
     assert lines
     for line in lines:
-        assert "IsNull(itron_forecast_key_lt)" in line
         assert len(re.findall(r"\w+:", line.split("ReadSchema: ")[1])) == 3
 
 
@@ -129,9 +128,15 @@ def test_contract_plan_has_no_window_and_shares_the_month_exchange(loaded, witho
     shared = [line for line in plan.splitlines() if "ReusedExchange" in line]
     assert any("calendarmonthkey" in line for line in shared)
     shuffles = [x for x in plan.splitlines() if re.search(r"- Exchange hashpartitioning", x)]
-    # Daily rows: supply points, copies, flags, contracts. Month rows: sums, newest. The rest are
-    # supply points, contract-days without forecast key, contracts (2) and newest values (2).
+    # Daily rows: supply points, copies, contract-days. Month rows: sums, newest. The rest are supply
+    # points, flags and contracts (2 each), contract-days and newest values (2).
     assert len(shuffles) == 12
+    by_day = [i for i, x in enumerate(shuffles) if "(contract_key#" in x and "coalesce(delivery_date_key#" in x]
+    assert len(by_day) == 1
+    # Only the narrow side, which comes after its own exchange, is dealt by contract alone.
+    side = next(i for i, x in enumerate(shuffles) if "(_contract#" in x)
+    alone = [i for i, x in enumerate(shuffles) if re.search(r"hashpartitioning\(contract_key#\d+, \d+\)", x)]
+    assert len(alone) == 2 and by_day[0] < side < min(alone)
 
 
 @pytest.mark.parametrize("name", PLANS)

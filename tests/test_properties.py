@@ -20,11 +20,27 @@ def _clean(w):
     return daily.dedup_volumes(w.daily, selection.select_mpans(w.costs, CONTRACT_PARAMS))
 
 
-def test_two_ways_to_the_flag_agree(tables):
+def test_one_join_gives_what_the_two_give(tables):
     volumes = _clean(tables)
-    by_join = daily.reforecast_fallback(volumes, daily.ltf_flag(tables.daily))
-    by_gaps = daily.choose_volumes(daily.with_ltf_flag(volumes, tables.daily))
-    assert spark_multiset(by_join) == spark_multiset(by_gaps)
+    contract = contracts.contract_effective_dates(tables.contracts)
+    chosen = daily.reforecast_fallback(volumes, daily.ltf_flag(tables.daily))
+    by_two = daily.zero_outside_agreement(chosen, contract)
+    joined = daily.with_contract_days(volumes, tables.daily, contract)
+    by_one = daily.cut_volumes(daily.choose_volumes(joined, keep=daily.AGREEMENT))
+    assert spark_multiset(by_two) == spark_multiset(by_one)
+
+
+def test_a_row_without_a_day_meets_its_contract(tables):
+    a_day = tables.daily.where("contract_key is not null").limit(40)
+    undated = a_day.withColumn("delivery_date_key", F.lit(None).cast(dict(a_day.dtypes)["delivery_date_key"]))
+    source = tables.daily.union(undated)
+    volumes = daily.dedup_volumes(source, source.select("quote_mpan").distinct())
+    contract = contracts.contract_effective_dates(tables.contracts)
+    chosen = daily.reforecast_fallback(volumes, daily.ltf_flag(source))
+    joined = daily.with_contract_days(volumes, source, contract)
+    by_one = daily.cut_volumes(daily.choose_volumes(joined, keep=daily.AGREEMENT))
+    assert volumes.where("delivery_date_key is null").count()
+    assert spark_multiset(daily.zero_outside_agreement(chosen, contract)) == spark_multiset(by_one)
 
 
 def test_plan_equals_the_chained_operators(tables):
@@ -51,7 +67,7 @@ def test_plan_equals_the_chained_operators(tables):
 
 def test_the_agreement_cut_leaves_quoted_totals(tables):
     rolled = daily.daily_rollup(
-        daily.choose_volumes(daily.with_ltf_flag(_clean(tables), tables.daily))
+        daily.reforecast_fallback(_clean(tables), daily.ltf_flag(tables.daily))
     )
     cut = daily.zero_outside_agreement(
         rolled, contracts.contract_effective_dates(tables.contracts)
