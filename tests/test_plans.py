@@ -129,8 +129,8 @@ def test_contract_plan_has_no_window_and_shares_the_month_exchange(loaded, witho
     assert any("calendarmonthkey" in line for line in shared)
     shuffles = [x for x in plan.splitlines() if re.search(r"- Exchange hashpartitioning", x)]
     # Daily rows: supply points, copies, contract-days. Month rows: sums, newest. The rest are supply
-    # points, flags and contracts (2 each), contract-days and newest values (2).
-    assert len(shuffles) == 12
+    # points, flags and contracts (2 each), their join, and newest values (2).
+    assert len(shuffles) == 13
     by_day = [i for i, x in enumerate(shuffles) if "(contract_key#" in x and "coalesce(delivery_date_key#" in x]
     assert len(by_day) == 1
     # Only the narrow side, which comes after its own exchange, is dealt by contract alone.
