@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 # The contract's words: runs of anything but ASCII white space.
@@ -48,6 +48,27 @@ def stored(frame: DataFrame) -> DataFrame:
     return frame.checkpoint()
 
 
+def totals_before(rows: DataFrame, group: list[str], order: str, coarse: Column, value: str, name: str) -> DataFrame:
+    """``rows`` with the column ``name``: the sum of ``value`` over the rows of its group that come before.
+
+    ``coarse`` never falls along ``order``. Its stretches are summed first, then the rows within each, so
+    a task holds the stretches of one group or the rows of one stretch, never all rows of a group. Null
+    groups are groups like others.
+    """
+    earlier = (Window.unboundedPreceding, -1)
+    marked = stored(rows.withColumn("_coarse", coarse))
+    keys = [*group, "_coarse"]
+    stretches = marked.groupBy(*keys).agg(F.sum(value).alias("_sum"))
+    along = Window.partitionBy(*group).orderBy("_coarse").rowsBetween(*earlier)
+    ahead = stored(stretches.select(*keys, F.coalesce(F.sum("_sum").over(along), F.lit(0)).alias("_ahead")))
+    within = Window.partitionBy(*keys).orderBy(order).rowsBetween(*earlier)
+    inside = marked.withColumn("_inside", F.coalesce(F.sum(value).over(within), F.lit(0)))
+    same = [inside[key].eqNullSafe(ahead[key]) for key in keys]
+    return inside.join(ahead, same).select(
+        *(inside[column] for column in rows.columns), (F.col("_ahead") + F.col("_inside")).alias(name)
+    )
+
+
 def remainder(doc_id: Column, divisor: int) -> Column:
     """crc32 of the id as text, modulo ``divisor``; null for null."""
     return F.crc32(doc_id.cast("string")) % divisor

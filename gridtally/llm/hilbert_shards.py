@@ -5,13 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridtally.llm.common import stored
+from gridtally.llm.common import stored, totals_before
 
 SHARDS = 16
 # Four dimensions of so many bits each: at most 65,536 cells.
 BITS = 4
 # Cells are cut into pieces of about so many rows.
 PIECE_ROWS = 10_000
+# The counts of a cell's pieces are added up in stretches of so many.
+COARSE_PIECES = 16_384
 
 
 def size_of(text: Column) -> Column:
@@ -90,8 +92,9 @@ def sharded(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     The dimensions are source and language (by hash, so equal values share a coordinate), the text's
     bytes by powers of two, and the id among all ids. Rows are ordered along the curve, within a cell
     by a hash, and cut into runs whose row counts differ by one at most; ``slot`` counts from 0 in each.
-    Positions are built from counts: of cells (at most 65,536), of pieces of a cell, and of rows within
-    a piece of about ``PIECE_ROWS``, so no task holds more, however many rows a cell has. Null sources,
+    Positions are built from counts: of cells (at most 65,536), of stretches of ``COARSE_PIECES`` pieces of
+    a cell, of the pieces, and of rows within a piece of about ``PIECE_ROWS``, so no task holds more,
+    however many rows a cell has. Null sources,
     languages, texts and ids have values of their own. Rows that repeat an id and a text share a piece,
     and equal ones may take each other's place. Columns of these names in ``docs`` are replaced.
     """
@@ -119,13 +122,12 @@ def sharded(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
         .withColumns({"_order": order, "_piece": piece})
     )
     counts = stored(placed.groupBy("curve", "_piece").agg(F.count("*").alias("rows")))
-    earlier = (Window.unboundedPreceding, -1)
-    along = Window.orderBy("curve").rowsBetween(*earlier)
-    inside = Window.partitionBy("curve").orderBy("_piece").rowsBetween(*earlier)
+    along = Window.orderBy("curve").rowsBetween(Window.unboundedPreceding, -1)
     cells = counts.groupBy("curve").agg(F.sum("rows").alias("rows"))
     cells = stored(cells.select("curve", F.coalesce(F.sum("rows").over(along), F.lit(0)).alias("before")))
+    stretch = F.floor(F.col("_piece") / COARSE_PIECES)
     offsets = stored(
-        counts.withColumn("within", F.coalesce(F.sum("rows").over(inside), F.lit(0)))
+        totals_before(counts, ["curve"], "_piece", stretch, "rows", "within")
         .join(cells, "curve")
         .select("curve", "_piece", (F.col("before") + F.col("within")).alias("_offset"))
     )

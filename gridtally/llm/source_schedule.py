@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridtally.llm.common import WORD, stored
+from gridtally.llm.common import WORD, stored, totals_before
 
 BLOCK_WORDS = 4_096
 MAX_REPEATS = 3
 # Sums of sizes within a source are built from chunks of about so many documents.
 CHUNK_ROWS = 2_000
+# A chunk is named by up to eight hexadecimal digits; the sums of chunks are added up by the first of them.
+COARSE_DIGITS = 4
 # Slots are matched to sources by ranges of so many points, and ranked within chunks of so many slots.
 RANGE_POINTS = 1_024
 CHUNK_SLOTS = 65_536
@@ -57,7 +59,7 @@ def streams(sizes: DataFrame, targets: DataFrame, chunk_rows: int = CHUNK_ROWS)
     """Documents with ``start``: the words before them in the shuffled stream of their source.
 
     A stream is ordered by a hash of the id. Chunks of it, by the first digits of the hash, are summed
-    first, so no task holds more of a source than its list of chunks or one chunk.
+    first, and their sums by fewer digits, so no task holds more of a source than one chunk or 65,536 sums.
     """
     hashed = sizes.withColumn("place", F.md5(F.concat(F.lit("mix:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))))
     width = F.least(
@@ -66,10 +68,8 @@ def streams(sizes: DataFrame, targets: DataFrame, chunk_rows: int = CHUNK_ROWS)
     chunked = hashed.join(targets, hashed["source"].eqNullSafe(targets["source"])).drop(targets["source"])
     chunked = stored(chunked.withColumn("chunk", F.substring("place", F.lit(1), width)))
     sums = chunked.groupBy("source", "chunk").agg(F.sum("size").alias("words"))
-    earlier = Window.partitionBy("source").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = stored(
-        sums.select("source", "chunk", F.coalesce(F.sum("words").over(earlier), F.lit(0)).alias("offset"))
-    )
+    coarse = F.substring("chunk", 1, COARSE_DIGITS)
+    offsets = stored(totals_before(sums, ["source"], "chunk", coarse, "words", "offset").drop("words"))
     within = (
         Window.partitionBy("source", "chunk")
         .orderBy("place", "doc_id", "size")

@@ -4,6 +4,7 @@ import gzip
 import hashlib
 import io
 from collections import Counter
+from hashlib import md5
 from pathlib import Path
 
 import duckdb
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from gridtally.llm import embedding_itq, hilbert_shards, queries, source_schedule, warc_revisits
-from gridtally.llm.common import table
+from gridtally.llm.common import table, totals_before
 
 
 def _frames(spark, sf_dir, name):
@@ -71,6 +72,30 @@ def test_mix_of_odd_documents(odd_documents, block_words):
     assert source_schedule.mix(odd_documents.limit(0)).count() == 0
 
 
+def test_totals_before_by_brute_force(spark):
+    rows = [(g, i, (i * 7 + len(g or "")) % 11) for g in ("a", "b", None) for i in range(0, 200, 3)]
+    frame = spark.createDataFrame(rows, "g string, at long, n long")
+    found = totals_before(frame, ["g"], "at", F.floor(F.col("at") / 16), "n", "before").collect()
+    assert len(found) == len(rows)
+    for r in found:
+        assert r.before == sum(n for g, i, n in rows if g == r.g and i < r["at"])
+    assert totals_before(frame.limit(0), ["g"], "at", F.col("at"), "n", "before").count() == 0
+
+
+def test_streams_follow_the_hash_whatever_the_chunks(spark, monkeypatch):
+    monkeypatch.setattr(source_schedule, "COARSE_DIGITS", 1)
+    sizes = spark.range(3000).selectExpr("id doc_id", "if(id % 3 = 0, null, 's') source", "id % 13 size")
+    targets = source_schedule.source_targets(sizes)
+    rows = source_schedule.streams(sizes, targets, chunk_rows=10).collect()
+    assert len(rows) == 3000
+    for source in (None, "s"):
+        own = [r for r in rows if r.source == source]
+        at = 0
+        for r in sorted(own, key=lambda r: md5(f"mix:{r.doc_id}".encode()).hexdigest()):
+            assert r.start == at
+            at += r["size"]
+
+
 def test_schedule_is_even_at_any_time(spark):
     targets = spark.createDataFrame(
         [("a", 5, 50_000, 30_000.0), ("b", 5, 3_000, 9_000.0), (None, 1, 90_000, 61_000.0)],
@@ -177,7 +202,8 @@ def test_the_curve_visits_each_cell_once_and_moves_one_step(spark, bits, n):
 
 
 def test_shards_of_odd_documents(odd_documents, monkeypatch):
-    monkeypatch.setattr(hilbert_shards, "PIECE_ROWS", 20)
+    monkeypatch.setattr(hilbert_shards, "PIECE_ROWS", 5)
+    monkeypatch.setattr(hilbert_shards, "COARSE_PIECES", 3)
     found = hilbert_shards.sharded(odd_documents)
     rows = found.collect()
     assert len(rows) == odd_documents.count()
