@@ -115,7 +115,7 @@ def sharded(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     piece = F.floor(F.shiftrightunsigned(order, 33).cast("double") / float(1 << 31) * pieces)
     placed = (
         docs.select(
-            F.struct(*own).alias("_row"), "doc_id", "source", "lang",
+            *(F.col(name).alias(f"_own{i}") for i, name in enumerate(own)), "doc_id", "source", "lang",
             size_of(F.col("text")).alias("size"), checksum(F.col("text")).alias("text_crc32"),
         )
         .withColumn("curve", hilbert_index(cell))
@@ -141,5 +141,5 @@ def sharded(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
         .withColumn("_position", position.cast("long"))
         .withColumn("shard", F.expr(f"cast(_position * {shards} div {max(total, 1)} as int)"))
         .withColumn("slot", F.expr(f"_position - (cast(shard as long) * {total} + {shards - 1}) div {shards}"))
-        .select("_row.*", *new)
+        .select(*(F.col(f"_own{i}").alias(name) for i, name in enumerate(own)), *new)
     )
