@@ -112,35 +112,58 @@ def find_benchmark(docs: DataFrame, benchmark: DataFrame, set_bytes: int = SET_B
     """``docs`` with ``n_words``, ``runs`` of hit words (start, end), and ``items`` found, sorted.
 
     The texts of the benchmark (``item_id``, ``text``) are measured first. They are searched in as many
-    sets as keep each near ``set_bytes``, and only one set at a time is on the driver and broadcast; with
-    several, the documents are stored after each. Windows that several items share count for each. Items without words, and null texts on
-    either side, match nothing; an item without id hits words but is not listed. Repeated rows count
-    once. Columns of these names in ``docs`` are replaced.
+    sets as keep each near ``set_bytes``, and only one set at a time is on the driver and broadcast. With
+    several, the documents are stored once and read for each set, which stores its hits alone; the hits of
+    a document are then put together. Windows that several items share count for each. Items without
+    words, and null texts on either side, match nothing; an item without id hits words but is not listed.
+    Repeated rows count once. Columns of these names in ``docs`` are replaced.
     """
-    spark = docs.sparkSession
-
     items = benchmark.select(F.col("item_id").cast("string").alias("item"), "text").where("text is not null")
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     sets = max(1, -(-total // set_bytes))
     found = docs.drop("n_words", "runs", "items")
+    columns = found.columns
+    if sets == 1:
+        name = "_set"
+        while name in columns:
+            name += "_"
+        one = found.withColumn(name, _scan(_strings(items))("text"))
+        return one.select(*columns, f"{name}.n_words", f"{name}.runs", f"{name}.items")
+    numbered = stored(
+        found.select(F.struct(*columns).alias("row"), F.monotonically_increasing_id().alias("number"))
+    )
+    hits = None
     for number in range(sets):
         own = items.where(F.pmod(F.xxhash64("text"), F.lit(sets)) == number)
-        strings: dict[tuple[bytes, ...], set] = {}
-        for item, text in own.distinct().collect():
-            for string in windows(text):
-                strings.setdefault(string, set()).update([] if item is None else [item])
-        shared = spark.sparkContext.broadcast({s: sorted(ids) for s, ids in strings.items()})
-        found = found.withColumn(f"_set{number}", _scan(shared)("text"))
-        found = found if sets == 1 else stored(found)
-    if sets == 1:
-        return found.select(
-            *[c for c in found.columns if c != "_set0"], "_set0.n_words", "_set0.runs", "_set0.items"
+        scanned = numbered.select("number", _scan(_strings(own))("row.text").alias("_set"))
+        met = stored(scanned.select("number", "_set.runs", "_set.items").where(F.size("runs") > 0))
+        hits = met if hits is None else hits.union(met)
+    listed = hits.groupBy("number").agg(
+        F.flatten(F.collect_list("runs")).alias("runs"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
+    )
+    no_runs = F.array().cast("array<struct<start:bigint,end:bigint>>")
+    return (
+        numbered.select("row", "number", _scan(_broadcast(docs, {}))("row.text")["n_words"].alias("n_words"))
+        .join(listed.select("number", _join_runs("runs").alias("runs"), "items"), "number", "left")
+        .select(
+            "row.*", "n_words", F.coalesce("runs", no_runs).alias("runs"),
+            F.coalesce("items", F.array().cast("array<string>")).alias("items"),
         )
-    names = [f"_set{n}" for n in range(sets)]
-    joined = _join_runs(F.flatten(F.array(*(F.col(f"{n}.runs") for n in names))))
-    listed = F.array_sort(F.array_distinct(F.flatten(F.array(*(F.col(f"{n}.items") for n in names)))))
-    rest = [c for c in found.columns if c not in names]
-    return found.select(*rest, F.col("_set0.n_words"), joined.alias("runs"), listed.alias("items"))
+    )
+
+
+def _broadcast(frame: DataFrame, strings: dict):
+    return frame.sparkSession.sparkContext.broadcast(strings)
+
+
+def _strings(items: DataFrame):
+    """The broadcast windows of ``items``, each with the sorted items that hold it."""
+    strings: dict[tuple[bytes, ...], set] = {}
+    for item, text in items.distinct().collect():
+        for string in windows(text):
+            strings.setdefault(string, set()).update([] if item is None else [item])
+    return _broadcast(items, {s: sorted(ids) for s, ids in strings.items()})
 
 
 def _join_runs(column):

@@ -99,8 +99,9 @@ def write_archives(pages: DataFrame, path: str | None = None, records: int = REC
 
     Payloads are the UTF-8 of ``html``, none for null. The archives are gzipped files of at most
     ``records`` records, in ``path`` or a new folder of those all executors share. Payloads are read
-    twice, once for their digests and once to be written, and the one that is written in full stays in
-    its partition: only headers are shuffled for the resolution.
+    twice, once for their digests and once to be written. Headers alone are shuffled to find the
+    originals; to mark the records the payloads meet those of repeated digests, in place if these are
+    few enough for AQE to broadcast, else in one exchange of the payloads.
     """
     path = path or new_path(pages.sparkSession, "warc")
     payload = F.coalesce(F.col("html"), F.lit(""))
