@@ -141,7 +141,10 @@ def _compared(keyed: DataFrame, max_bits: int, limit: int | None) -> DataFrame:
                 held.append(fps[: stops[0]])
                 size += int(stops[0])
             if first < len(starts):
-                if held:
+                if held and limit is not None and size > limit:
+                    # The key's earlier rows may be emitted already: its last ones must follow them.
+                    yield _rows(*_same_key(held_key, held), True)
+                elif held:
                     found.append(_forest(np.concatenate(held), max_bits))
                 sizes = stops[first:-1] - starts[first:-1]
                 twos = starts[first:-1][sizes == 2]
@@ -152,9 +155,9 @@ def _compared(keyed: DataFrame, max_bits: int, limit: int | None) -> DataFrame:
                     found.append(_forest(group, max_bits))
                 held_key, held, size = keys[-1], [fps[starts[-1] :]], int(stops[-1] - starts[-1])
             if limit is not None and size > limit:
-                fresh = np.concatenate(held)
+                if held:
+                    yield _rows(*_same_key(held_key, held), True)
                 held = []
-                yield _rows(np.full(len(fresh), held_key), fresh, True)
             if found:
                 a, b = (np.concatenate([pair[i] for pair in found]) for i in (0, 1))
                 if len(a):
@@ -170,6 +173,11 @@ def _compared(keyed: DataFrame, max_bits: int, limit: int | None) -> DataFrame:
     )
 
 
+def _same_key(key: int, held: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    fresh = np.concatenate(held)
+    return np.full(len(fresh), key), fresh
+
+
 def _rows(a: np.ndarray, b: np.ndarray, again: bool) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(np.full(len(a), again))],

@@ -77,6 +77,23 @@ def test_near_duplicates_by_brute_force(spark, monkeypatch, limit):
     assert _components(signed, found) == _components(signed, close)
 
 
+def test_a_key_over_the_limit_is_emitted_to_its_last_row(spark):
+    # 40 fingerprints of which only the first and the last are near, between keys that share its last batch.
+    far = [(i * 0x9E3779B97F4A7C15 & (1 << 64) - 1) - (1 << 63) for i in range(1, 40)]
+    rows = [(key, fp) for key in range(12) for fp in [*far, far[0] ^ 1]]
+    keyed = spark.createDataFrame(rows, "key long, fp long")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    try:
+        found = simhash_ball._compared(keyed, 3, 20).collect()
+        links = simhash_ball._compared(keyed, 3, None).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert sorted((r.a, r.b) for r in found if r.again) == sorted(rows)
+    assert {(r.a, r.b) for r in links} == {tuple(sorted((far[0], far[0] ^ 1)))}
+
+
 def test_simhash_query_by_brute_force(spark, sf_medium):
     texts = {r.doc_id: r.text for r in table(spark, sf_medium, "documents").collect()}
     prints = {i: _plain_fingerprint(t) for i, t in texts.items()}
