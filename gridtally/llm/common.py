@@ -48,6 +48,17 @@ def stored(frame: DataFrame) -> DataFrame:
     return frame.checkpoint()
 
 
+def numbered(frame: DataFrame) -> DataFrame:
+    """``frame`` written once, as ``row`` (a struct of its columns) and ``number``, different for each row.
+
+    What is read from it names every row alike, also where a task is run again, and reads its columns only.
+    """
+    path = new_path(frame.sparkSession, "numbered")
+    rows = frame.select(F.struct(*frame.columns).alias("row"), F.monotonically_increasing_id().alias("number"))
+    rows.write.parquet(path)
+    return frame.sparkSession.read.parquet(path)
+
+
 def totals_before(rows: DataFrame, group: list[str], order: str, coarse: Column, value: str, name: str) -> DataFrame:
     """``rows`` with the column ``name``: the sum of ``value`` over the rows of its group that come before.
 

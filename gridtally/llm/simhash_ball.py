@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from gridtally.llm.common import stored
+from gridtally.llm.common import numbered, stored
 from gridtally.llm.components import connected_components
 
 SHINGLE_WORDS = 3
@@ -221,14 +221,19 @@ def near_duplicates(
     """
     prints = stored(docs.select("doc_id", fingerprints(F.col("text"), shingle_words).alias("fp")))
     nodes = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("low")))
+    named = _lowest(nodes, max_bits).withColumnRenamed("lowest", "component_id")
+    return prints.join(named, "fp").select("doc_id", "fp", "component_id")
+
+
+def _lowest(nodes: DataFrame, max_bits: int) -> DataFrame:
+    """``fp`` and ``lowest``, the smallest ``low`` of its group, for the distinct ``fp`` of ``nodes``."""
     linked = connected_components(near_pairs(nodes, max_bits))
     classed = nodes.join(linked.withColumnRenamed("node", "fp"), "fp", "left").select(
         "fp", F.coalesce("component", "fp").alias("class"), "low"
     )
     classed = stored(classed)
-    lowest = stored(classed.groupBy("class").agg(F.min("low").alias("component_id")))
-    named = stored(classed.join(lowest, "class").select("fp", "component_id"))
-    return prints.join(named, "fp").select("doc_id", "fp", "component_id")
+    lowest = stored(classed.groupBy("class").agg(F.min("low").alias("lowest")))
+    return stored(classed.join(lowest, "class").select("fp", "lowest"))
 
 
 def hex_fingerprint(fp: Column) -> Column:
@@ -236,22 +241,18 @@ def hex_fingerprint(fp: Column) -> Column:
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
 
 
-def keep_one(docs: DataFrame, **options) -> DataFrame:
-    """The row of ``docs`` with the smallest id of each group of near-duplicates.
+def keep_one(
+    docs: DataFrame, shingle_words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS
+) -> DataFrame:
+    """One row of ``docs`` of each group of near-duplicates: the one with the smallest id.
 
-    Rows without id stay: nothing can name them. Of rows that repeat an id, those whose own text has a
-    smaller id in its group go, and one of the others stays.
+    Rows without id are last, and of rows with the same id the first of the stored rows stays. Rows are
+    told apart by their place, so an id that names unrelated texts stays with each of their groups.
     """
-    groups = stored(near_duplicates(docs, **options))
-    copies = groups.where("doc_id != component_id").select("doc_id").distinct()
-    kept = docs.join(copies, "doc_id", "left_anti").select(*docs.columns)
-    repeated = stored(groups.where("doc_id is not null").groupBy("doc_id").count().where("count > 1"))
-    if repeated.isEmpty():
-        return kept
-    firsts = groups.where("doc_id = component_id").select("doc_id", "fp").distinct()
-    rows = docs.join(repeated, "doc_id", "left_semi").select(
-        "doc_id", F.struct(*docs.columns).alias("row"),
-        fingerprints(F.col("text"), options.get("shingle_words", SHINGLE_WORDS)).alias("fp"),
-    )
-    one = rows.join(firsts, ["doc_id", "fp"], "left_semi").dropDuplicates(["doc_id"])
-    return kept.join(repeated, "doc_id", "left_anti").select(*docs.columns).union(one.select("row.*"))
+    rows = numbered(docs)
+    at = F.struct(F.col("row.doc_id").isNull().alias("none"), F.col("row.doc_id").alias("doc_id"), "number")
+    prints = stored(rows.select(at.alias("at"), fingerprints(F.col("row.text"), shingle_words).alias("fp")))
+    nodes = stored(prints.groupBy("fp").agg(F.min("at").alias("low")))
+    grouped = prints.join(_lowest(nodes, max_bits), "fp")
+    copies = stored(grouped.where("at.number != lowest.number").select("at.number"))
+    return rows.join(copies, "number", "left_anti").select("row.*")

@@ -120,6 +120,27 @@ def test_near_duplicates_of_odd_documents(odd_documents):
     assert simhash_ball.keep_one(odd_documents.limit(0)).count() == 0
 
 
+def test_each_group_keeps_one_row_whatever_its_ids(spark):
+    rng = random.Random(9)
+    texts = [" ".join(f"v{rng.randrange(10**6)}" for _ in range(60)) for _ in range(8)]
+    copied = texts[3]
+    rows = [
+        (11, texts[0]), (11, texts[1]), (12, texts[1]),  # one id, two groups
+        (7, texts[2]), (7, texts[2]), (None, texts[2]),  # repeated rows, a copy without id
+        *[(None, copied)] * 40, *[(None, texts[4])] * 2, (None, texts[5]),  # groups without any id
+        (None, None), (None, ""), (3, " "), (5, texts[6]), (4, texts[6]), (4, texts[7]),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    kept = [tuple(r) for r in simhash_ball.keep_one(docs).collect()]
+    assert sorted(kept, key=repr) == sorted(
+        [
+            (11, texts[0]), (11, texts[1]), (7, texts[2]), (None, copied), (None, texts[4]), (None, texts[5]),
+            (3, " "), (4, texts[6]), (4, texts[7]),
+        ],
+        key=repr,
+    )
+
+
 # Token counts.
 
 
