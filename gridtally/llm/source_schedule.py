@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from hashlib import md5
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridtally.llm.common import WORD, stored, totals_before
+from gridtally.llm.common import WORD, numbered, stored, totals_before
 
 BLOCK_WORDS = 4_096
 MAX_REPEATS = 3
@@ -13,6 +15,8 @@ MAX_REPEATS = 3
 CHUNK_ROWS = 2_000
 # A chunk is named by up to eight hexadecimal digits; the sums of chunks are added up by the first of them.
 COARSE_DIGITS = 4
+# Where all rows without id stand in a stream.
+_NO_ID = md5(b"mix:").hexdigest()
 # Slots are matched to sources by ranges of so many points, and ranked within chunks of so many slots.
 RANGE_POINTS = 1_024
 CHUNK_SLOTS = 65_536
@@ -60,19 +64,15 @@ def streams(sizes: DataFrame, targets: DataFrame, chunk_rows: int = CHUNK_ROWS)
 
     A stream is ordered by a hash of the id. Chunks of it, by the first digits of the hash, are summed
     first, and their sums by fewer digits, so no task holds more of a source than one chunk or 65,536 sums.
+    Rows without id share one place, ordered by size: their chunks are a size and up to 65,536 parts of its
+    rows, by a hash of the row, and one task adds up a source's different sizes.
     """
-    hashed = sizes.withColumn("place", F.md5(F.concat(F.lit("mix:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))))
-    width = F.least(
-        F.lit(8), F.ceil(F.log(16.0, F.greatest(F.col("documents") / chunk_rows, F.lit(1.0)))).cast("int")
-    )
-    chunked = hashed.join(targets, hashed["source"].eqNullSafe(targets["source"])).drop(targets["source"])
-    chunked = stored(chunked.withColumn("chunk", F.substring("place", F.lit(1), width)))
+    chunked = _chunked(sizes, targets, chunk_rows)
     sums = chunked.groupBy("source", "chunk").agg(F.sum("size").alias("words"))
-    coarse = F.substring("chunk", 1, COARSE_DIGITS)
-    offsets = stored(totals_before(sums, ["source"], "chunk", coarse, "words", "offset").drop("words"))
+    offsets = stored(totals_before(sums, ["source"], "chunk", _coarse(F.col("chunk")), "words", "offset").drop("words"))
     within = (
         Window.partitionBy("source", "chunk")
-        .orderBy("place", "doc_id", "size")
+        .orderBy("place", "doc_id", "size", "spread")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     placed = chunked.withColumn("inside", F.coalesce(F.sum("size").over(within), F.lit(0)))
@@ -80,7 +80,44 @@ def streams(sizes: DataFrame, targets: DataFrame, chunk_rows: int = CHUNK_ROWS)
     return (
         placed.join(offsets, same)
         .select(placed["*"], (F.col("offset") + F.col("inside")).alias("start"))
-        .drop("inside", "chunk", "place")
+        .drop("inside", "chunk", "place", "spread")
+    )
+
+
+def _chunked(sizes: DataFrame, targets: DataFrame, chunk_rows: int) -> DataFrame:
+    """Documents with ``place``, ``spread`` and the ``chunk`` of their source; chunks are in the stream's order.
+
+    Rows without id stand between two parts of the chunk that their place is in, named without and with ~.
+    """
+    hashed = sizes.withColumns(
+        {
+            "place": F.md5(F.concat(F.lit("mix:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))),
+            "spread": F.lpad(F.lower(F.hex(F.xxhash64(*sizes.columns))), 16, "0"),
+        }
+    )
+    width = F.least(
+        F.lit(8), F.ceil(F.log(16.0, F.greatest(F.col("documents") / chunk_rows, F.lit(1.0)))).cast("int")
+    )
+    chunked = hashed.join(targets, hashed["source"].eqNullSafe(targets["source"])).drop(targets["source"])
+    digits = F.substring("place", F.lit(1), width)
+    size = F.lpad(F.lower(F.hex("size")), 16, "0")
+    part = F.substring("spread", F.lit(1), F.least(F.lit(4), width))
+    behind = (F.col("place") >= _NO_ID) & F.lit(_NO_ID).startswith(digits)
+    chunk = (
+        F.when(F.col("doc_id").isNull(), F.concat(F.lit(_NO_ID), size, part))
+        .when(behind, F.concat(digits, F.lit("~")))
+        .otherwise(digits)
+    )
+    return stored(chunked.withColumn("chunk", chunk))
+
+
+def _coarse(chunk: Column) -> Column:
+    """Fewer digits of the chunk; for rows without id, their size. It never falls along the chunks."""
+    near = _NO_ID[:COARSE_DIGITS]
+    return (
+        F.when(F.length(chunk) > len(_NO_ID), F.substring(chunk, 1, len(_NO_ID) + 16))
+        .when(chunk.startswith(near) & (chunk > _NO_ID), F.lit(near + "~"))
+        .otherwise(F.substring(chunk, 1, COARSE_DIGITS))
     )
 
 
@@ -176,9 +213,15 @@ def mix(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     block: 0 taken. Rows that repeat an id are documents of their own; among equal ones it makes no
     difference which comes first. The order is a hash of ids, so reruns agree.
     """
-    sizes = stored(sized(docs).select("doc_id", "source", "size"))
+    rows = docs.select("doc_id", "source", "text", F.monotonically_increasing_id().alias("row"))
+    return _mix(rows, block_words).drop("row")
+
+
+def _mix(docs: DataFrame, block_words: int) -> DataFrame:
+    """``mix`` of documents with the column ``row``, a number of their own, which it returns too."""
+    sizes = stored(sized(docs).select("doc_id", "source", "size", "row"))
     targets = stored(source_targets(sizes))
-    placed = stored(streams(sizes, targets).withColumn("row", F.monotonically_increasing_id()))
+    placed = stored(streams(sizes, targets))
     used = schedule(targets, block_words)
     reads = stored(
         used.groupBy("source", "block", "block_words", "words").agg(F.count("*").alias("times"))
@@ -203,21 +246,18 @@ def mix(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     )
     return placed.join(taken, "row", "left").select(
         "doc_id", "source", "size", "source_size", "target",
-        F.coalesce("taken", F.lit(0)).cast("long").alias("taken"),
+        F.coalesce("taken", F.lit(0)).cast("long").alias("taken"), "row",
     )
 
 
 def mixed(docs: DataFrame) -> DataFrame:
     """``docs`` as the mix reads them: a row for each time, to the nearest whole number.
 
-    Documents the mix does not reach go; documents without words weigh nothing and stay once. Rows that
-    repeat an id are read as often each as the first of them.
+    Documents the mix does not reach go; documents without words weigh nothing and stay once. Rows are
+    numbered, so rows that repeat an id, or have none, are read as often each as the mix says.
     """
-    read = mix(docs).groupBy("doc_id").agg(F.min(F.struct("size", "taken")).alias("first"))
-    times = F.when(F.col("first.size") == 0, 1).otherwise(
-        F.floor(F.col("first.taken") / F.col("first.size") + 0.5)
-    )
-    counts = read.select(F.col("doc_id").alias("_id"), times.cast("int").alias("_times")).where("_times > 0")
-    whole = docs.select(F.struct(*docs.columns).alias("_row"))
-    joined = whole.join(stored(counts), F.col("_row.doc_id").eqNullSafe(F.col("_id")))
-    return joined.select("_row", F.explode(F.sequence(F.lit(1), "_times"))).select("_row.*")
+    rows = numbered(docs)
+    read = _mix(rows.select("row.doc_id", "row.source", "row.text", F.col("number").alias("row")), BLOCK_WORDS)
+    times = F.when(F.col("size") == 0, 1).otherwise(F.floor(F.col("taken") / F.col("size") + 0.5)).cast("int")
+    counts = stored(read.select(F.col("row").alias("number"), times.alias("times")).where("times > 0"))
+    return rows.join(counts, "number").select("row", F.explode(F.sequence(F.lit(1), "times"))).select("row.*")

@@ -119,6 +119,55 @@ def test_documents_are_repeated_as_the_mix_reads_them(odd_documents):
     assert source_schedule.mixed(odd_documents.limit(0)).count() == 0
 
 
+def _rows_of_few_ids(spark):
+    """Rows of which a third have no id and a third share an id with rows of other sources, each with a text of its own."""
+    rng = np.random.default_rng(8)
+    rows = []
+    for i in range(1500):
+        doc_id = (None, 5000 + i % 90, i)[i % 3]
+        text = " ".join([f"t{i}"] + ["w"] * int(rng.integers(0, 40))) if i % 50 else (None, "", " ")[i % 3]
+        rows.append((doc_id, text, ("a", "b", "c", "d", None)[i % 5 if i % 7 else 0]))
+    return spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(7)
+
+
+def test_rows_are_repeated_each_as_the_mix_reads_them(spark, monkeypatch):
+    monkeypatch.setattr(source_schedule, "BLOCK_WORDS", 16)
+    docs = _rows_of_few_ids(spark)
+    read = source_schedule.mix(docs, 16).collect()
+    wanted = Counter()
+    for r in read:
+        times = int(r.taken / r.size + 0.5) if r.size else 1
+        wanted[r.doc_id, r.source, r.size, times] += 1
+    kept = Counter((r.doc_id, r.source, r.text) for r in source_schedule.mixed(docs).collect())
+    found = Counter()
+    for r in docs.where("text like 't%'").collect():
+        found[r.doc_id, r.source, len(r.text.split()), kept[r.doc_id, r.source, r.text]] += 1
+    assert found == Counter({k: n for k, n in wanted.items() if k[2]})
+    assert {k[3] for k in found if k[0] is None} >= {0, 1}
+    assert sum(n for k, n in kept.items() if not (k[2] or "").strip()) == sum(n for k, n in wanted.items() if not k[2])
+
+
+def test_mix_of_rows_without_id_equals_sql(spark, monkeypatch):
+    monkeypatch.setattr(source_schedule, "COARSE_DIGITS", 1)
+    monkeypatch.setattr(source_schedule.streams, "__defaults__", (4,))
+    docs = _rows_of_few_ids(spark)
+    connection = duckdb.connect()
+    connection.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR, source VARCHAR)")
+    connection.executemany("INSERT INTO documents VALUES (?, ?, ?)", [tuple(r) for r in docs.collect()])
+    wanted = connection.execute(queries.ORACLE_SQL["op6_source_schedule"]).fetchall()
+    found = source_schedule.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
+    assert Counter(map(tuple, found.collect())) == Counter(wanted)
+
+
+def test_rows_without_id_are_spread_over_chunks(spark):
+    sizes = spark.range(4000).selectExpr("if(id % 4 = 0, id, null) doc_id", "'s' source", "7L size", "id row")
+    targets = source_schedule.source_targets(sizes)
+    chunks = source_schedule._chunked(sizes, targets, 100)
+    assert chunks.groupBy("source", "chunk").count().agg(F.max("count")).first()[0] < 100
+    starts = source_schedule.streams(sizes, targets, chunk_rows=100).select("start")
+    assert sorted(r.start for r in starts.collect()) == [7 * i for i in range(4000)]
+
+
 # Embeddings.
 
 
