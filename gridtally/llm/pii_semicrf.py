@@ -64,7 +64,7 @@ def base_spans(text: str) -> list[Span]:
             ends.append(ends[-1] + 1 + len(part))
         parts = match.group().split(".")
         for first in range(0, len(parts) - 3, 4):
-            if all(len(p.lstrip("0")) < 4 and int(p) <= 255 for p in parts[first : first + 4]):
+            if all(len(p.lstrip("0")) < 4 and int(p.lstrip("0") or "0") <= 255 for p in parts[first : first + 4]):
                 spans.append((ends[first] + 1, ends[first + 4], "ip"))
     for match in _CARD.finditer(text):
         digits = _digits(match.group())

@@ -113,6 +113,12 @@ def test_long_runs_take_little_time(text):
     assert time.time() - started < 5
 
 
+def test_parts_of_any_number_of_zeros_are_read():
+    text = "0" * 5000 + ".1.2.3 " + "1.2.3." + "0" * 5000 + "4 " + "1.2.3." + "0" * 5000 + "256"
+    assert pii.base_spans(text)[:2] == [(0, 5006, "ip"), (5007, 10014, "ip")]
+    assert not [s for s in pii.base_spans(text)[2:] if s[2] == "ip"]
+
+
 def test_other_ways_to_write_are_found_and_lookalikes_are_not(spark):
     field = pii.fit_on(spark.createDataFrame([], "doc_id long, text string"))
     found = lambda text: pii.joined(pii.added_spans(text, pii.base_spans(text), field))
