@@ -5,9 +5,10 @@ import pytest
 from helpers import duck_multiset, spark_multiset
 
 import __spark_entry__ as entry_module
+from fixtures.oracles import oracles
 
-QUERIES = entry_module.queries()
-ORACLES = entry_module.oracle_sql()
+QUERIES = entry_module.core_queries()
+ORACLES = oracles()
 
 
 @pytest.fixture(scope="module")
@@ -22,6 +23,8 @@ def duck(sf_medium):
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLES)
+    assert QUERIES.keys() <= entry_module.queries().keys()
+    assert ORACLES.items() <= entry_module.oracle_sql().items()
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
