@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridtally.llm import decontamination_wm as wm
-from gridtally.llm import embedding_itq, hilbert_shards, pii_semicrf, quality_gam
-from gridtally.llm import simhash_ball, source_schedule, token_prefix, toxicity_fm, warc_revisits
-from gridtally.llm.common import remainder, table
+from gridtally.llm import chat_prefix, embedding_itq, filter_audit, hilbert_shards, periodic_runs, pii_semicrf
+from gridtally.llm import quality_gam, simhash_ball, source_schedule, token_prefix, toxicity_fm, warc_revisits
+from gridtally.llm.common import WORD, remainder, table
 
 TOKENIZER = "byte_bpe_50k.json"
 TOKEN_LIMIT = 512
@@ -130,6 +130,53 @@ def op10_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def planted_repeats(docs: DataFrame) -> DataFrame:
+    """``doc_id`` and ``text``; in every tenth document by its id's checksum the words repeat from some word on."""
+    checksum = F.crc32(F.col("doc_id").cast("string"))
+    tenth = F.coalesce(checksum % 10 == 0, F.lit(False))
+    words = F.when(tenth, F.regexp_extract_all("text", F.lit(WORD), F.lit(0)))
+    split = docs.select("doc_id", "text", words.alias("words"), F.floor(checksum / 10).alias("g"))
+    sized = split.select("*", F.size("words").alias("n"))
+    begun = sized.select("*", F.expr("int(g % nullif(n, 0))").alias("a"))
+    period = (1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8))).cast("int")
+    known = begun.select("*", period.alias("p"), (F.col("n") - F.col("a")).alias("rest"))
+    stretch = F.array_repeat(F.slice("words", F.col("a") + 1, F.col("p")), F.ceil(F.col("rest") / F.col("p")).cast("int"))
+    repeated = F.concat(F.slice("words", F.lit(1), F.col("a")), F.slice(F.flatten(stretch), F.lit(1), F.col("rest")))
+    return known.select("doc_id", F.when(F.col("n") > 0, F.array_join(repeated, " ")).otherwise(F.col("text")).alias("text"))
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words in every document."""
+    docs = planted_repeats(table(spark, sf_dir, "documents"))
+    found = docs.select("doc_id", periodic_runs.find_runs(F.col("text")).alias("found"))
+    runs = F.col("found.runs")
+    best = found.select("*", periodic_runs.strongest(runs).alias("best"))
+    line = lambda r: F.concat(F.concat_ws(",", *(r[x].cast("string") for x in ("start", "length", "period"))), F.lit("\n"))
+    return best.select(
+        "doc_id", F.size(runs).cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.floor(1000 * F.col("best.length") / F.col("best.period")).alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform(runs, line), ""), 256).alias("runs_sha256"),
+        F.sha2(F.col("found.collapsed"), 256).alias("collapsed_sha256"),
+    )
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What five filters remove from each language in each of their orders."""
+    failed = filter_audit.failures(table(spark, sf_dir, "documents"))
+    counts = filter_audit.mask_counts(failed, table(spark, sf_dir, "labels"))
+    return filter_audit.interaction_audit(spark, counts).drop("filter")
+
+
+def op13_chat_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Examples of all conversations, read back."""
+    added = "</s>[INST] ok [/INST]"
+    rows = F.array(*(F.struct(F.lit(t).alias("turn"), F.lit(r).alias("role")) for t, r in enumerate(("user", "assistant"))))
+    extra = spark.range(1).select(F.explode(rows).alias("row"))
+    extra = extra.select(F.lit(-1).cast("long").alias("conv_id"), "row.turn", "row.role", F.lit(added).alias("text"))
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").union(extra)
+    return chat_prefix.read_back(chat_prefix.expand(turns), in_order=True)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The corpus pipeline's rows."""
     import corpus_pipeline
@@ -142,7 +189,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_quality_gam, op2_pii_semicrf, op3_toxicity_fm, op4_simhash_ball, op5_token_prefix,
         op6_source_schedule, op7_embedding_itq, op8_decontamination_wm, op9_warc_revisits,
-        op10_hilbert_shards, pipeline,
+        op10_hilbert_shards, op11_periodic_runs, op12_filter_audit, op13_chat_prefix, pipeline,
     )
 }
 
@@ -243,9 +290,79 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM records LEFT JOIN firsts USING (payload_digest)
 """
 
+_AUDIT = r"""
+WITH texts AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+    min(doc_id) OVER (PARTITION BY coalesce(text, '')) AS first_id
+  FROM documents
+), said AS (
+  SELECT doc_id, max(quality = 1) AS good, max(toxic = 1) AS toxic FROM labels GROUP BY doc_id
+), failing AS (
+  SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic, list_filter([
+    CASE WHEN len(w) < 200 THEN 'A' END,
+    CASE WHEN 100 * len(list_distinct(w)) < 50 * len(w) THEN 'B' END,
+    CASE WHEN 100 * len(regexp_replace(t, '[^A-Z]', '', 'g')) > 3 * len(t) THEN 'C' END,
+    CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' END,
+    CASE WHEN first_id < texts.doc_id THEN 'E' END], lambda x: x IS NOT NULL) AS fails
+  FROM texts LEFT JOIN said ON texts.doc_id = said.doc_id
+), kinds AS (
+  SELECT part, fails, good, toxic, count(*) AS n FROM failing GROUP BY ALL
+), letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+orders AS (
+  SELECT a.x || b.x || c.x || d.x || e.x AS filter_order
+  FROM letters a, letters b, letters c, letters d, letters e
+  WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5
+), steps AS (
+  SELECT filter_order, step, filter_order[step:step] AS filter, filter_order[1:step - 1] AS earlier
+  FROM orders, range(1, 6) AS t(step)
+), told AS (
+  SELECT part, filter_order, step, filter, n, good, toxic,
+    len(list_filter(fails, lambda x: contains(earlier, x))) > 0 AS gone,
+    list_contains(fails, filter) AS hit, len(fails) = 1 AS alone
+  FROM kinds, steps
+), summed AS (
+  SELECT part, filter_order, step, filter,
+    sum(CASE WHEN NOT gone AND NOT hit THEN n ELSE 0 END)::BIGINT AS kept,
+    sum(CASE WHEN NOT gone AND hit THEN n ELSE 0 END)::BIGINT AS removed,
+    sum(CASE WHEN gone AND hit THEN n ELSE 0 END)::BIGINT AS redundant,
+    sum(CASE WHEN hit AND alone THEN n ELSE 0 END)::BIGINT AS unique_fails,
+    sum(CASE WHEN NOT gone AND hit AND good THEN n ELSE 0 END)::BIGINT AS good_lost,
+    sum(CASE WHEN NOT gone AND hit AND toxic THEN n ELSE 0 END)::BIGINT AS toxic_lost
+  FROM told GROUP BY ALL
+)
+SELECT * EXCLUDE (filter), (sum(removed) OVER (PARTITION BY part, filter))::BIGINT AS shapley FROM summed
+"""
+
+_EXAMPLES = r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]')
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS place,
+    regexp_replace(regexp_replace(text, '<(~*/?s>)', '<~\1', 'g'), '\[(~*/?(?:INST|ROLE)\])', '[~\1', 'g') AS body,
+    regexp_replace(regexp_replace(role, '<(~*/?s>)', '<~\1', 'g'), '\[(~*/?(?:INST|ROLE)\])', '[~\1', 'g') AS name
+  FROM turns
+), sized AS (
+  SELECT *, count(*) OVER (PARTITION BY conv_id) AS n,
+    sum(CASE role WHEN 'user' THEN 16 WHEN 'assistant' THEN 4 ELSE 17 + len(name) END + len(body))
+      OVER (PARTITION BY conv_id ORDER BY place) AS ends
+  FROM placed
+)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY place)) AS turns_sha256,
+  coalesce(sum(len(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY place) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  count(*) FILTER (role = 'assistant' OR place = n) AS n_examples,
+  (sum(ends) FILTER (role = 'assistant' OR place = n))::BIGINT AS formatted_chars
+FROM sized GROUP BY conv_id
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op6_source_schedule": _MIX,
     "op7_embedding_itq": _LINKS,
     "op8_decontamination_wm": _WINDOWS,
     "op9_warc_revisits": _RECORDS,
+    "op12_filter_audit": _AUDIT,
+    "op13_chat_prefix": _EXAMPLES,
 }

@@ -19,7 +19,7 @@ from gridtally.llm.common import table, totals_before
 
 def _frames(spark, sf_dir, name):
     connection = duckdb.connect()
-    for view in ("documents", "embeddings", "pages", "benchmark", "labels"):
+    for view in ("documents", "embeddings", "pages", "benchmark", "labels", "conversations"):
         connection.execute(f"CREATE VIEW {view} AS SELECT * FROM '{sf_dir}/{view}.parquet'")
     found = queries.QUERIES[name](spark, sf_dir)
     wanted = connection.execute(queries.ORACLE_SQL[name])

@@ -1,0 +1,254 @@
+"""Periodic runs, the filter audit, chat examples."""
+
+import random
+from hashlib import sha256
+from itertools import permutations
+from zlib import crc32
+
+import pytest
+from pyspark.sql import functions as F
+
+from gridtally.llm import chat_prefix, filter_audit, periodic_runs, queries
+from gridtally.llm.common import table
+
+# Periodic runs.
+
+
+def _plain_runs(words, min_length=6, exponent=4):
+    found = {}
+    for period in range(1, len(words) // exponent + 1):
+        start = 0
+        while start + period < len(words):
+            end = start
+            while end + period < len(words) and words[end] == words[end + period]:
+                end += 1
+            length = end - start + period
+            if end > start and length >= max(min_length, exponent * period):
+                found.setdefault((start, length), period)  # the smallest period comes first
+            start = max(end, start + 1)
+    return sorted((s, n, p) for (s, n), p in found.items())
+
+
+def test_runs_by_brute_force():
+    rng = random.Random(3)
+    for _ in range(4000):
+        words = [rng.randrange(rng.choice([1, 2, 3, 5])) for _ in range(rng.randrange(60))]
+        if rng.random() < 0.5 and len(words) > 8:
+            at, period = rng.randrange(len(words) - 7), rng.randrange(1, 7)
+            words = [words[i if i < at else at + (i - at) % period] for i in range(len(words))]
+        rule = rng.choice([(6, 4), (6, 3), (1, 3), (12, 5)])
+        assert periodic_runs.runs(words, *rule) == _plain_runs(words, *rule)
+    with pytest.raises(ValueError):
+        periodic_runs.runs([1, 1, 1], exponent=2)
+
+
+def test_runs_of_long_texts():
+    size = 100_000
+    assert periodic_runs.runs(["a"] * size) == [(0, size, 1)]
+    assert periodic_runs.runs([i % 900 for i in range(size)]) == [(0, size, 900)]
+    line = [f"w{i}" for i in range(9)]
+    rng = random.Random(5)
+    assert periodic_runs.runs([w for i in range(9000) for w in [rng.random(), *line]]) == []
+    words = [rng.randrange(2) for _ in range(4000)]
+    assert periodic_runs.runs(words) == _plain_runs(words)
+
+
+def _plain_row(doc_id, text, plant):
+    words = (text or "").encode().split()
+    n = len(words)
+    if plant and doc_id is not None and n:
+        h = crc32(str(doc_id).encode())
+        if h % 10 == 0:
+            g = h // 10
+            a = g % n
+            p = 1 + (n - a) // (3 + g % 8)
+            words = [words[i if i < a else a + (i - a) % p] for i in range(n)]
+    found = _plain_runs(words)
+    keep = [True] * n
+    for start, length, period in found:
+        keep[start + period : start + length] = [False] * (length - period)
+    best = None
+    for run in found:
+        if best is None or run[1] * best[2] > best[1] * run[2]:
+            best = run
+    lines = "".join(f"{s},{length},{p}\n" for s, length, p in found)
+    collapsed = b" ".join(w for w, k in zip(words, keep) if k)
+    one = best or (None, None, None)
+    milli = best and 1000 * best[1] // best[2]
+    return (doc_id, len(found), *one, milli, sha256(lines.encode()).hexdigest(), sha256(collapsed).hexdigest())
+
+
+def test_periodic_runs_query_by_brute_force(spark, sf_medium):
+    docs = table(spark, sf_medium, "documents").select("doc_id", "text").collect()
+    wanted = {_plain_row(r.doc_id, r.text, plant=True) for r in docs if len((r.text or "").split()) < 900}
+    assert any(row[1] for row in wanted)
+    found = {tuple(r) for r in queries.op11_periodic_runs(spark, sf_medium).collect()}
+    assert len(found) == len(docs) and wanted <= found
+
+
+def test_periodic_runs_of_odd_documents(spark, odd_documents):
+    again = [(1, "a b " * 5 + "\ta  a a a a a\n"), (2, "é ü " * 4), (3, "x x x x x"), (4, "\x1c\x85\xa0 " * 9), (4, "x " * 9)]
+    docs = odd_documents.select("doc_id", "text").union(spark.createDataFrame(again, "doc_id long, text string"))
+    rows = docs.select("doc_id", "text", periodic_runs.find_runs(F.col("text")).alias("f")).collect()
+    assert len(rows) == docs.count()
+    for row in rows:
+        words = (row.text or "").encode().split()
+        assert [tuple(r) for r in row.f.runs] == _plain_runs(words[:2000]) or len(words) > 2000
+        assert row.f.collapsed.encode() == b" ".join(periodic_runs.kept_words(words, [tuple(r) for r in row.f.runs]))
+    assert docs.limit(0).select(periodic_runs.find_runs(F.col("text")).alias("f")).count() == 0
+    best = spark.sql("select array(named_struct('start', 0L, 'length', 9L, 'period', 2L), "
+                     "named_struct('start', 5L, 'length', 18L, 'period', 4L), "
+                     "named_struct('start', 7L, 'length', 14L, 'period', 3L)) as r")
+    assert tuple(best.select(periodic_runs.strongest(F.col("r")).alias("b")).first().b) == (7, 14, 3)
+
+
+# The filter audit.
+
+
+def test_removal_intervals_by_all_orders():
+    orders = filter_audit.orders()
+    assert orders == sorted(map("".join, permutations("ABCDE")))
+    removed = {}
+    for mask, step, low, high in filter_audit.removal_intervals():
+        for rank in range(low, high):
+            assert (mask, rank) not in removed
+            removed[mask, rank] = step
+    for mask in range(1, 32):
+        for rank, order in enumerate(orders):
+            steps = [i for i, name in enumerate(order, 1) if mask >> "ABCDE".index(name) & 1]
+            assert removed[mask, rank] == steps[0]
+
+
+def test_filter_audit_of_odd_documents(spark, odd_documents):
+    labels = [(0, 1, 0), (0, 0, 1), (10, 1, 1), (10, 1, 1), (None, 1, 1), (100, None, 1), (101, 1, None), (-9, 1, 1)]
+    said = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    failed = filter_audit.failures(odd_documents).collect()
+    rows = odd_documents.collect()
+    assert len(failed) == len(rows)
+    masks = {}
+    for r in rows:
+        text = r.text or ""
+        words = text.encode().split()
+        capitals = sum("A" <= c <= "Z" for c in text)
+        smaller = [o for o in rows if (o.text or "") == text and None not in (o.doc_id, r.doc_id) and o.doc_id < r.doc_id]
+        bits = (len(words) < 200, 100 * len(set(words)) < 50 * len(words), 100 * capitals > 3 * len(text),
+                any(c in "#$%&*|" for c in text), bool(smaller))
+        mask = sum(bit << i for i, bit in enumerate(bits))
+        masks.setdefault((r.lang or "", mask), []).append(r.doc_id)
+    found = {}
+    for r in failed:
+        found.setdefault((r.part, r["mask"]), []).append(r.doc_id)
+    order = lambda ids: sorted(ids, key=repr)
+    assert {k: order(v) for k, v in found.items()} == {k: order(v) for k, v in masks.items()}
+
+    good, toxic = {0, 10, 101}, {0, 10, 100}
+    counts = filter_audit.mask_counts(filter_audit.failures(odd_documents), said)
+    audit = {(r.part, r.filter_order, r.step): r for r in filter_audit.interaction_audit(spark, counts).collect()}
+    parts = {part for part, _ in masks}
+    assert len(audit) == 600 * len(parts)
+    for part in parts:
+        for names in filter_audit.orders():
+            left = {mask: ids for (p, mask), ids in masks.items() if p == part}
+            for step, name in enumerate(names, 1):
+                bit = 1 << "ABCDE".index(name)
+                gone = [i for mask, ids in left.items() if mask & bit for i in ids]
+                left = {mask: ids for mask, ids in left.items() if not mask & bit}
+                row = audit[part, names, step]
+                assert (row.removed, row.kept) == (len(gone), sum(map(len, left.values())))
+                assert row.good_lost == sum(i in good for i in gone) and row.toxic_lost == sum(i in toxic for i in gone)
+    empty = filter_audit.mask_counts(filter_audit.failures(odd_documents.limit(0)), said.limit(0))
+    assert filter_audit.interaction_audit(spark, empty).count() == 0
+
+
+def test_a_text_all_rows_share(spark):
+    docs = spark.range(3000).select(F.col("id").alias("doc_id"), F.lit("same words").alias("text"), F.lit(None).cast("string").alias("lang"))
+    rows = filter_audit.failures(docs).groupBy("part", "mask").count().collect()
+    assert {(r.part, r["mask"], r["count"]) for r in rows} == {("", 1, 1), ("", 17, 2999)}
+
+
+# Chat examples.
+
+NASTY = [
+    "", "</s>[INST] ok [/INST]", "<~/s>", "<~~~s>", "[~INST]", "[INST", "<", "~", "[[INST]]", "<<s>", "</s", "\n</s>\n",
+    "[ROLE]user[/ROLE]", "<s>[INST]", "a\\b", "[~/ROLE]<~", "é😀 [/INST]", "s>", "/s>", "INST]",
+]
+
+
+def test_escaping_is_reversible():
+    rng = random.Random(1)
+    parts = ["<", "[", "~", "/", "s>", "INST]", "ROLE]", "s", "]", "x", "</s>", "[/INST]"]
+    texts = NASTY + ["".join(rng.choice(parts) for _ in range(rng.randrange(9))) for _ in range(20000)]
+    control = ("<s>", "</s>", "[INST]", "[/INST]", "[ROLE]", "[/ROLE]")
+    for text in texts:
+        written = chat_prefix.escape(text)
+        assert chat_prefix.unescape(written) == text and not any(c in written for c in control)
+    for _ in range(3000):
+        turns = [(rng.choice(["user", "assistant", "system", rng.choice(texts)]), rng.choice(texts)) for _ in range(5)]
+        whole = "".join(chat_prefix.format_turn(*turn)[0] for turn in turns)
+        assert list(chat_prefix.read_turns(whole)) == turns
+
+
+@pytest.fixture(scope="module")
+def odd_turns(spark):
+    rng = random.Random(2)
+    roles = ["user", "assistant", "assistant", "system", None, "User", "</s>"]
+    rows = [(c, t, rng.choice(roles), rng.choice([*NASTY, None])) for c in (1, 2, 3, None) for t in range(40)]
+    rows += [(4, 0, "user", "only a question")] * 2 + [(5, None, "assistant", "x"), (5, 1, "assistant", None)]
+    rows += [(6, 1, "user", "b"), (6, 1, "assistant", "c"), (6, 1, "user", "a"), (6, None, None, None)]
+    rows += [(7, t, "user", "no reply " * 9) for t in range(50)]
+    return spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(4)
+
+
+def _ordered(rows):
+    conversations = {}
+    nulls_first = lambda v: (v is not None, v)
+    for r in sorted(rows, key=lambda r: (nulls_first(r.turn), r.role or "", r.text or "")):
+        conversations.setdefault(r.conv_id, []).append((r.role or "", r.text or ""))
+    return conversations
+
+
+@pytest.mark.parametrize("whole_characters", [10**6, 300, 0])
+def test_examples_of_odd_turns(odd_turns, whole_characters):
+    examples = chat_prefix.expand(odd_turns, whole_characters)
+    rows = sorted(examples.collect(), key=lambda r: (str(r.conv_id), r.example))
+    for conv, turns in _ordered(odd_turns.collect()).items():
+        own = [r for r in rows if r.conv_id == conv]
+        assert [r.example for r in own] == list(range(1, len(own) + 1))
+        seen, trained = "", []
+        for r in own:
+            assert r.start in (0, len(seen)) and (r.start or r.text.startswith(seen))
+            assert whole_characters == 10**6 or len(r.text) <= whole_characters + 800
+            seen = seen[: r.start] + r.text
+            if r.loss_start is not None and r.loss_end > r.loss_start or seen.endswith("</s>") and r.loss_end == len(seen) - 4:
+                trained.append(chat_prefix.unescape(seen[r.loss_start : r.loss_end]))
+                place = [i for i, (role, _) in enumerate(turns) if role == "assistant"][len(trained) - 1]
+                assert list(chat_prefix.read_turns(seen)) == turns[: place + 1]
+        assert list(chat_prefix.read_turns(seen)) == turns
+        assert trained == [text for role, text in turns if role == "assistant"]
+
+
+def test_read_back_of_odd_turns(odd_turns, tmp_path):
+    wanted = {}
+    for conv, turns in _ordered(odd_turns.collect()).items():
+        loss = "".join(text for role, text in turns if role == "assistant")
+        whole = "".join(f"{role}\n{text}\n" for role, text in turns)
+        wanted[conv] = (len(turns), sha256(whole.encode()).hexdigest(), len(loss), sha256(loss.encode()).hexdigest())
+    formatted = set()
+    for whole_characters in (10**6, 300):
+        path = str(tmp_path / str(whole_characters))
+        chat_prefix.expand(odd_turns, whole_characters).repartition(7).write.parquet(path)
+        spark = odd_turns.sparkSession
+        for back in (
+            chat_prefix.read_back(spark.read.parquet(path)),
+            chat_prefix.read_back(chat_prefix.expand(odd_turns, whole_characters), in_order=True),
+        ):
+            rows = {r.conv_id: r for r in back.collect()}
+            assert {c: (r.n_turns, r.turns_sha256, r.loss_chars, r.loss_sha256) for c, r in rows.items()} == wanted
+            formatted.add(tuple(sorted((str(c), r.n_examples, r.formatted_chars) for c, r in rows.items())))
+    assert len(formatted) == 1
+    assert chat_prefix.read_back(chat_prefix.expand(odd_turns.limit(0))).count() == 0
+
+
+def test_own_columns_do_not_clash(odd_turns):
+    named = odd_turns.withColumns({name: F.lit("own") for name in ("example", "start", "loss_start", "n_turns", "piece")})
+    assert chat_prefix.expand(named).count() == chat_prefix.expand(odd_turns).count()
