@@ -54,6 +54,22 @@ def _generation_key(rows: str) -> str:
     )
 
 
+def _bad(key: str) -> str:
+    """``key`` with a month 13 for February and no day in July."""
+    return (
+        f"CASE {key}[5:6] WHEN '02' THEN {key}[1:4] || '13' || {key}[7:8] "
+        f"WHEN '07' THEN {key}[1:6] ELSE {key} END"
+    )
+
+
+def _unread(key: str) -> str:
+    return f"({key} IS NOT NULL AND try_strptime({key}, '%Y%m%d') IS NULL)"
+
+
+def _reason(key: str) -> str:
+    return f"CASE WHEN {_unread(key)} THEN '{key} is not yyyyMMdd: ' || {key} END"
+
+
 INPUTS = ("contracts", "customers", "costs", "daily", "monthly", "settlement")
 
 # Common table expressions: name -> (names it reads, body). INPUTS derive the six input tables.
@@ -164,6 +180,32 @@ _CTES: dict[str, tuple[tuple[str, ...], str]] = {
                agreement_cancelled_flag, agreement_cancellation_date
         FROM contracts""",
     ),
+    "listed": (
+        ("contracts",),
+        """
+        SELECT contract_reference AS quote FROM contracts
+        WHERE agreement_cancelled_flag = 'Y' AND contract_reference IS NOT NULL""",
+    ),
+    "bad_costs": (
+        ("costs",),
+        f"""
+        SELECT * REPLACE ({_bad("contract_won_date_key")} AS contract_won_date_key) FROM costs
+        WHERE costcomponent_key = '59b1' AND quote_mpan IS NOT NULL""",
+    ),
+    "bad_daily": (
+        ("daily", "mpans"),
+        f"""
+        SELECT contract_key, contract_reference AS quote, meter_key, customer_key, product_key,
+               {_bad("delivery_date_key")} AS delivery_date_key,
+               {_bad("contract_won_date_key")} AS contract_won_date_key,
+               fin_rep_period, snapshot_date, quote_mpan,
+               nbp_volume_kwh, gsp_volume_kwh, site_volume_kwh AS msp_volume_kwh,
+               reforecasted_nbp_volume_lt, reforecasted_gsp_volume_lt, reforecasted_msp_volume_lt
+        FROM daily
+        WHERE contract_key IS NOT NULL AND meter_key IS NOT NULL
+          AND customer_key IS NOT NULL AND product_key IS NOT NULL
+          AND quote_mpan IN (SELECT quote_mpan FROM mpans)""",
+    ),
     "mpans": (
         ("costs",),
         f"""
@@ -312,6 +354,9 @@ _FORECAST_OUT = (
     "f.delivery_month, " + ", ".join(f"f.{name}" for name in _FORECAST)
 )
 _OVERRIDE = f"contract_reference IN ({_IN_LIST})"
+_LISTED = "contract_reference IN (SELECT quote FROM listed)"
+_BAD_DAY = f"({_unread('delivery_date_key')} OR {_unread('contract_won_date_key')})"
+_BAD_POINT = f"(coalesce(year, 0) < 2000 AND {_unread('contract_won_date_key')})"
 _ACTUALS = f"""
     SELECT DISTINCT {_ACTUAL_OUT} FROM settled s JOIN ranked a ON a.contract_key = s.contract_key
     WHERE a.rn = 1 AND s.delivery_month BETWEEN a.agreement_start_date AND a.agreement_end_date
@@ -401,6 +446,18 @@ def oracles(given: tuple[str, ...] = ()) -> dict[str, str]:
         + "SELECT DISTINCT f.* FROM forecast f JOIN ranked a ON a.contract_key = f.contract_key "
         "WHERE a.rn = 1 AND f.delivery_month BETWEEN a.agreement_start_date AND a.agreement_end_date "
         f"AND {_RENEWABLE} OR {_OVERRIDE}",
+        "quote_override_list": _with("contracts", "listed") + f"SELECT * FROM contracts WHERE {_LISTED}",
+        "renewable_or_override_strict_list": _with("forecast", "ranked", "listed")
+        + "SELECT DISTINCT f.* FROM forecast f JOIN ranked a ON a.contract_key = f.contract_key "
+        "WHERE a.rn = 1 AND f.delivery_month BETWEEN a.agreement_start_date AND a.agreement_end_date "
+        f"AND ({_RENEWABLE} OR {_LISTED})",
+        "renewable_or_override_loose_list": _with("forecast", "ranked", "listed")
+        + "SELECT DISTINCT f.* FROM forecast f JOIN ranked a ON a.contract_key = f.contract_key "
+        "WHERE a.rn = 1 AND f.delivery_month BETWEEN a.agreement_start_date AND a.agreement_end_date "
+        f"AND {_RENEWABLE} OR {_LISTED}",
+        "ranked_agreements_spread": _with("touching", "monthly")
+        + f"SELECT {newest_only}, {_ROW_NUMBER} AS row_num FROM touching t "
+        "JOIN (SELECT DISTINCT contract_key, mpan FROM monthly) m USING (contract_key)",
         "ranked_agreements": _with("touching", "monthly")
         + f"SELECT {newest_only}, {_ROW_NUMBER} AS row_num FROM touching t "
         "JOIN (SELECT DISTINCT contract_key, mpan FROM monthly) m USING (contract_key)",
@@ -409,17 +466,53 @@ def oracles(given: tuple[str, ...] = ()) -> dict[str, str]:
         "admitted_contracts_loose": _with("ranked")
         + f"SELECT DISTINCT {validity} FROM ranked WHERE rn = 1 AND {_RENEWABLE} "
         f"UNION SELECT contract_key, {_LO}, {_HI} FROM touching WHERE {_OVERRIDE}",
+        # Islands: whatever is covered when the next interval begins; plain window and grouping.
+        "merged_validity": _with("contracts")
+        + """, spans AS (
+          SELECT contract_reference AS contract_key, agreement_start_date AS f, agreement_end_date AS t
+          FROM contracts WHERE agreement_start_date <= agreement_end_date
+        ), begun AS (
+          SELECT *, CASE WHEN f <= max(t) OVER (PARTITION BY contract_key ORDER BY f, t
+            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) THEN 0 ELSE 1 END AS fresh FROM spans
+        ), islands AS (
+          SELECT *, sum(fresh) OVER (PARTITION BY contract_key ORDER BY f, t
+            ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS island FROM begun
+        ) SELECT contract_key, min(f) AS valid_from, max(t) AS valid_to
+        FROM islands GROUP BY contract_key, island""".replace(
+            ", spans", ", spans" if "contracts" not in given else "WITH spans", 1
+        ),
         # Daily volumes.
         "contract_effective_dates": _all("effective"),
         "ltf_flag": _all("ltf"),
         "dedup_volumes": _all("clean"),
+        "dedup_volumes_by_hash": _all("clean"),
+        "ltf_flag_of_needed_days": _with("ltf", "clean")
+        + "SELECT * FROM ltf f WHERE EXISTS (SELECT 1 FROM clean c WHERE "
+        "c.contract_key = f.contract_key AND c.delivery_date_key = f.delivery_date_key)",
+        "select_mpans_lenient": _with("bad_costs")
+        + f"""SELECT DISTINCT quote_mpan FROM bad_costs
+        WHERE (year >= 2000 OR CAST(try_strptime(contract_won_date_key, '%Y%m%d') AS DATE)
+               BETWEEN DATE '{CONTRACT_PARAMS.won_from}' AND DATE '{CONTRACT_PARAMS.won_to}')
+          AND quote_mpan NOT IN ({_EXCLUDED})""",
+        "select_mpans_rejects": _with("bad_costs")
+        + f"SELECT *, {_reason('contract_won_date_key')} AS reason FROM bad_costs WHERE {_BAD_POINT}",
+        "dedup_volumes_lenient": _with("bad_daily")
+        + f"""SELECT DISTINCT * EXCLUDE (contract_won_date_key),
+               CAST(try_strptime(delivery_date_key, '%Y%m%d') AS DATE) AS delivery_date,
+               delivery_date_key[1:6] AS calendarmonthkey,
+               CAST(try_strptime(contract_won_date_key, '%Y%m%d') AS DATE) AS contract_won_date
+        FROM bad_daily WHERE NOT {_BAD_DAY}""",
+        "dedup_volumes_rejects": _with("bad_daily")
+        + f"""SELECT *, concat_ws('; ', {_reason('delivery_date_key')},
+               {_reason('contract_won_date_key')}) AS reason
+        FROM bad_daily WHERE {_BAD_DAY}""",
         "reforecast_fallback": _all("chosen"),
         "daily_rollup": _all("rolled"),
         "zero_outside_agreement": _all("cut", cut_columns),
         "latest_keys": _all("newest"),
         "latest_cancellation": _all("newest", cut_columns + ", last_agreement_cancellation_date"),
         "any_cancelled": _all("newest", cut_columns + ", last_agreement_cancelled_flag"),
-        "contract_month_volumes": _with("newest")
+        **dict.fromkeys(("contract_month_volumes", "contract_month_volumes_filtered"), _with("newest")
         + f"SELECT {_MONTH_KEYS}, "
         + ", ".join(
             f"CAST(sum({v}) * 0.001 AS DECIMAL(10,2)) AS {out}"
@@ -429,7 +522,7 @@ def oracles(given: tuple[str, ...] = ()) -> dict[str, str]:
                 + [f"reforecasted_{p}_volume_mwh" for p in _POINTS],
             )
         )
-        + f" FROM newest GROUP BY {_MONTH_KEYS}",
+        + f" FROM newest GROUP BY {_MONTH_KEYS}"),
         # Monthly volumes.
         "with_generation_key": _with("monthly")
         + f"SELECT monthly.*, {_generation_key('monthly')} AS generation_key FROM monthly",
@@ -455,6 +548,10 @@ def oracles(given: tuple[str, ...] = ()) -> dict[str, str]:
         "ORDER BY contract_key NULLS LAST, generation_key NULLS LAST, delivery_month NULLS LAST",
         "forecast_volumes_renewable": _with("forecast", "ranked") + _FORECAST_LOOSE,
         "forecast_volumes_renewable_strict": _with("forecast", "ranked") + _FORECAST_STRICT,
+        "actual_volumes_renewable_list": _with("settled", "ranked", "listed")
+        + _ACTUALS.replace(_OVERRIDE, _LISTED),
+        "forecast_volumes_renewable_list": _with("forecast", "ranked", "listed")
+        + _FORECAST_LOOSE.replace(_OVERRIDE, _LISTED),
         "forecast_report": _with("forecast", "ranked")
         + f"SELECT {_display(_FORECAST_OUT, names)} FROM ({_FORECAST_LOOSE}) "
         "ORDER BY contract_key NULLS LAST, generation_key NULLS LAST, delivery_month NULLS LAST",

@@ -187,6 +187,19 @@ def _customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def listed_quotes(w: Warehouse) -> DataFrame:
+    """A list of override quotes that grows with the tables: those with a cancelled agreement, repeats included."""
+    cancelled = w.contracts.where("agreement_cancelled_flag = 'Y' and contract_reference is not null")
+    return cancelled.select("contract_reference")
+
+
+def with_bad_keys(rows: DataFrame, key: str) -> DataFrame:
+    """``rows`` whose ``key`` is no date any more in February (a month 13) and July (no day)."""
+    part = lambda start, length: F.substring(key, start, length)
+    bad = F.when(part(5, 2) == "02", F.concat(part(1, 4), F.lit("13"), part(7, 2))).when(part(5, 2) == "07", part(1, 6))
+    return rows.withColumn(key, bad.otherwise(F.col(key)))
+
+
 def derive(spark: SparkSession, sf_dir: str) -> Warehouse:
     """The six tables at ``sf_dir``, lazily."""
     lines = _lines(spark, sf_dir)

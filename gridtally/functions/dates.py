@@ -11,6 +11,11 @@ def parse_date_key(key: Column) -> Column:
     return F.to_date(key.cast("string"), "yyyyMMdd")
 
 
+def is_bad_date_key(key: Column) -> Column:
+    """Whether a key is there but is no ``yyyyMMdd`` date, so that ``parse_date_key`` would raise."""
+    return key.isNotNull() & F.try_to_date(key.cast("string"), "yyyyMMdd").isNull()
+
+
 def calendar_month_key(key: Column) -> Column:
     """The ``yyyyMM`` part of a ``yyyyMMdd`` key."""
     return F.substring(key.cast("string"), 1, 6)

@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 from gridtally.functions.dates import calendar_month_key, parse_date_key
 from gridtally.functions.volumes import KWH, zero_if_null
+from gridtally.operators.distinct import distinct_by_hash
+from gridtally.operators.key_filter import BITS, key_filter, pass_filter
+from gridtally.operators.rejects import Checked, check_date_keys
 from gridtally.operators.selection import mpan_semi_join, not_null_keys
 
 POINTS = ("nbp", "gsp", "msp")
@@ -60,7 +63,30 @@ def dedup_volumes(daily: DataFrame, mpans: DataFrame) -> DataFrame:
     Distinct runs on the raw columns with a partial pass before the shuffle, so a row copied many
     times is collapsed where it is read; dates are parsed afterwards, once per kept row.
     """
-    kept = mpan_semi_join(not_null_keys(daily), mpans).select(
+    return _with_dates(_wide_rows(daily, mpans).distinct())
+
+
+def dedup_volumes_by_hash(daily: DataFrame, mpans: DataFrame) -> DataFrame:
+    """``dedup_volumes`` where copies are rare: only rows that may be copies are exchanged.
+
+    Runs a job that counts 128-bit hashes of the rows. ``daily`` is then read once for the rows without a
+    copy and once for the others, so ``mpans`` should be small enough to be broadcast.
+    """
+    return _with_dates(distinct_by_hash(_wide_rows(daily, mpans)))
+
+
+def dedup_volumes_lenient(daily: DataFrame, mpans: DataFrame) -> Checked:
+    """``dedup_volumes`` of the rows whose date keys can be read, and the other rows of these points.
+
+    Rows count one by one, copies included. Runs a job that stores the columns read of the rows of the
+    selected supply points.
+    """
+    checked = check_date_keys(_wide_rows(daily, mpans), ["delivery_date_key", "contract_won_date_key"])
+    return Checked(_with_dates(checked.accepted.distinct()), checked.rejected)
+
+
+def _wide_rows(daily: DataFrame, mpans: DataFrame) -> DataFrame:
+    return mpan_semi_join(not_null_keys(daily), mpans).select(
         "contract_key",
         F.col("contract_reference").alias("quote"),
         "meter_key",
@@ -76,28 +102,64 @@ def dedup_volumes(daily: DataFrame, mpans: DataFrame) -> DataFrame:
         F.col("site_volume_kwh").alias("msp_volume_kwh"),
         *(f"reforecasted_{point}_volume_lt" for point in POINTS),
     )
-    return kept.distinct().select(
-        *(c for c in kept.columns if c != "contract_won_date_key"),
+
+
+def _with_dates(rows: DataFrame) -> DataFrame:
+    return rows.select(
+        *(c for c in rows.columns if c != "contract_won_date_key"),
         parse_date_key(F.col("delivery_date_key")).alias("delivery_date"),
         calendar_month_key(F.col("delivery_date_key")).alias("calendarmonthkey"),
         parse_date_key(F.col("contract_won_date_key")).alias("contract_won_date"),
     )
 
 
-def with_contract_days(volumes: DataFrame, daily: DataFrame, contract: DataFrame) -> DataFrame:
+def rows_of_needed_days(daily: DataFrame, mpans: DataFrame, bits: int = BITS) -> DataFrame:
+    """The rows of ``daily`` on contract-days of selected supply points, and few others.
+
+    Flags count all supply points of a contract, so rows are left out by contract and day, never by supply
+    point. The contract-days of the selected points become a bitmap of fixed size, which is broadcast; the
+    rows it leaves out are not aggregated or exchanged. That pays where the points are few: their rows are
+    read once more, so ``mpans`` should be broadcast too.
+    """
+    needed = mpan_semi_join(not_null_keys(daily), mpans)
+    return pass_filter(daily, key_filter(needed, CONTRACT_DAY, bits), CONTRACT_DAY, bits)
+
+
+def with_contract_days(
+    volumes: DataFrame, daily: DataFrame, contract: DataFrame, laid_out: bool = False
+) -> DataFrame:
     """``volumes`` with ``has_ltf`` and the agreement columns of ``contract``, by a single join.
 
     Gives what a left join to ``ltf_flag(daily)`` by contract and day and one to ``contract`` by contract
     would give. The flags, a narrow row per contract and day, meet the contracts first, so the wide
     daily rows are shuffled once, and a hot contract is spread over its days. A row without a day key
     has no flag but meets its contract. Needs ``volumes`` to be rows of ``daily``.
+
+    With ``laid_out`` rows without a day key meet their contract in a join of their own. The others then
+    match on plain equality, which buckets by contract and day serve without an exchange.
     """
     day = F.col("delivery_date_key")
-    days = ltf_flag(daily).withColumn("has_ltf", F.when(day.isNotNull(), F.col("has_ltf")))
-    days = days.join(contract, "contract_key", "left").select(
-        F.col("contract_key").alias("_contract"), day.alias("_day"), "has_ltf", *AGREEMENT
+    flags = ltf_flag(daily)
+    if laid_out:
+        dated = volumes.where(day.isNotNull())
+        met = _join_days(dated, _days(flags, contract), day == F.col("_day"))
+        undated = volumes.where(day.isNull()).withColumn("has_ltf", F.lit(None).cast("string"))
+        return met.unionByName(undated.join(contract, "contract_key", "left").select(*met.columns))
+    flags = flags.withColumn("has_ltf", F.when(day.isNotNull(), F.col("has_ltf")))
+    return _join_days(volumes, _days(flags, contract), day.eqNullSafe(F.col("_day")))
+
+
+def _days(flags: DataFrame, contract: DataFrame) -> DataFrame:
+    return flags.join(contract, "contract_key", "left").select(
+        F.col("contract_key").alias("_contract"),
+        F.col("delivery_date_key").alias("_day"),
+        "has_ltf",
+        *AGREEMENT,
     )
-    same = (F.col("contract_key") == F.col("_contract")) & day.eqNullSafe(F.col("_day"))
+
+
+def _join_days(volumes: DataFrame, days: DataFrame, same_day: Column) -> DataFrame:
+    same = (F.col("contract_key") == F.col("_contract")) & same_day
     return volumes.join(days, same, "left").drop("_contract", "_day")
 
 

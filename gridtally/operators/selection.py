@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridtally.functions.dates import parse_date_key
+from gridtally.operators.rejects import Checked, check_date_keys
 from gridtally.params import ContractVolumeParams
 
+_WON = "contract_won_date_key"
+
 ROW_KEYS = ("contract_key", "meter_key", "customer_key", "product_key")
 
 
@@ -29,13 +32,8 @@ def select_mpans(
     """
     if any(mpan is None for mpan in params.excluded_mpans):
         raise ValueError("excluded_mpans holds a null, which would exclude every supply point")
-    recent = F.col("year") >= params.year_from
-    won = parse_date_key(F.col("contract_won_date_key")).between(params.won_from, params.won_to)
-    kept = (
-        costs.where(F.col("costcomponent_key") == params.cost_component)
-        .where(F.col("quote_mpan").isNotNull())
-        .where(recent | won)
-    )
+    won = parse_date_key(F.col(_WON)).between(params.won_from, params.won_to)
+    kept = _billed(costs, params).where(_recent(params) | won)
     if params.excluded_mpans:
         kept = kept.where(~F.col("quote_mpan").isin(list(params.excluded_mpans)))
     points = kept.select("quote_mpan").distinct()
@@ -46,6 +44,30 @@ def select_mpans(
     return points.join(listed.distinct(), "quote_mpan", "left_anti")
 
 
+def select_mpans_lenient(
+    costs: DataFrame, params: ContractVolumeParams, excluded: DataFrame | None = None
+) -> Checked:
+    """``select_mpans`` of the rows whose won date can be read, and the other rows of the component.
+
+    A malformed key matters only where ``select_mpans`` would raise: a row that the year admits counts. A
+    supply point stays selected if any other of its rows admits it. Runs a job that stores the rows of the
+    component.
+    """
+    read = _billed(costs, params)
+    checked = check_date_keys(read, [_WON], needed=~F.coalesce(_recent(params), F.lit(False)))
+    return Checked(select_mpans(checked.accepted, params, excluded), checked.rejected)
+
+
+def _billed(costs: DataFrame, params: ContractVolumeParams) -> DataFrame:
+    return costs.where(F.col("costcomponent_key") == params.cost_component).where(
+        F.col("quote_mpan").isNotNull()
+    )
+
+
+def _recent(params: ContractVolumeParams) -> Column:
+    return F.col("year") >= params.year_from
+
+
 def mpan_semi_join(rows: DataFrame, mpans: DataFrame) -> DataFrame:
     """Rows of the selected supply points; duplicates in ``mpans`` add nothing."""
     return rows.join(mpans, "quote_mpan", "left_semi")

@@ -7,9 +7,11 @@ pass it in: its size is known then, and a small one spares the facts their excha
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gridtally.storage import stored as store
+
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 _ROW_OVERHEAD = 48  # a hash table's bytes per row besides its values
 
@@ -23,21 +25,14 @@ def prepare_side(side: DataFrame) -> DataFrame:
     ``spark.cleaner.referenceTracking.cleanCheckpoints`` is set. The folder must be one that all
     executors share: without one, or with a folder of this machine on a cluster, this raises.
     """
-    _require_shared_folder(side.sparkSession)
-    stored = side.checkpoint()
-    widest = [F.max(F.octet_length(F.col(name).cast("string"))) for name in stored.columns]
-    rows, *widths = stored.agg(F.count("*"), *widest).first()
+    small = stored_if_small(side)
+    return side if small is None else small
+
+
+def stored_if_small(side: DataFrame) -> DataFrame | None:
+    """``side``, run, stored and marked for broadcast; nothing if it takes more than ``MAX_BROADCAST_BYTES``."""
+    kept = store(side)
+    widest = [F.max(F.octet_length(F.col(name).cast("string"))) for name in kept.columns]
+    rows, *widths = kept.agg(F.count("*"), *widest).first()
     size = rows * (_ROW_OVERHEAD + sum(width or 0 for width in widths))
-    return F.broadcast(stored) if size <= MAX_BROADCAST_BYTES else side
-
-
-def _require_shared_folder(spark: SparkSession) -> None:
-    context = spark.sparkContext
-    folder = context.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
-    if folder is None:
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    machine_only = folder.startswith(("file:/tmp/", "file:///tmp/", "/tmp/"))
-    if machine_only and not context.master.startswith("local"):
-        raise ValueError(f"{folder} is a folder of one machine; a cluster needs a shared one")
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(folder)
+    return F.broadcast(kept) if size <= MAX_BROADCAST_BYTES else None

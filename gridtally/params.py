@@ -5,6 +5,8 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from datetime import date, datetime
 
+from pyspark.sql import DataFrame
+
 
 @dataclass(frozen=True)
 class FiscalWindow:
@@ -51,7 +53,10 @@ class ContractVolumeParams:
 
 @dataclass(frozen=True)
 class RenewableParams:
-    """Window and override quotes of the settled and forecast plans."""
+    """Window and override quotes of the settled and forecast plans.
+
+    ``overrides`` may be a frame with the column ``contract_reference`` if they are too many for literals.
+    """
 
     window: FiscalWindow = FISCAL_2023
-    overrides: tuple[str, ...] = RENEWABLE_OVERRIDES
+    overrides: tuple[str, ...] | DataFrame = RENEWABLE_OVERRIDES

@@ -13,9 +13,9 @@ from gridtally.sources.warehouse import Warehouse
 
 
 def admitted_contracts(warehouse: Warehouse, params: RenewableParams) -> DataFrame:
-    """The contracts that may be reported, with the dates of their agreements."""
+    """The contracts that may be reported, and when: intervals of a contract do not overlap."""
     agreements = latest_agreement(warehouse.contracts, warehouse.monthly, params.window)
-    return admit_strict(agreements, params.overrides)
+    return admit_strict(agreements, params.overrides, merged=True)
 
 
 def actual_volumes_renewable(

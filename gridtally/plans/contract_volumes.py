@@ -17,6 +17,8 @@ from gridtally.operators.daily import (
     choose_volumes,
     cut_volumes,
     dedup_volumes,
+    dedup_volumes_by_hash,
+    rows_of_needed_days,
     with_contract_days,
 )
 from gridtally.operators.latest import attach_latest, latest_per_point
@@ -41,6 +43,9 @@ def contract_month_volumes(
     warehouse: Warehouse,
     params: ContractVolumeParams = ContractVolumeParams(),
     mpans: DataFrame | None = None,
+    few_points: bool = False,
+    few_copies: bool = False,
+    laid_out: bool = False,
 ) -> DataFrame:
     """24 columns: 11 keys, supply point, 6 volumes, 6 newest values of the supply point.
 
@@ -49,11 +54,17 @@ def contract_month_volumes(
     contract and day. The newest keys are found after the monthly sum, from each month's last day:
     the other columns they need are constant within a month row. ``mpans`` is ``select_mpans`` of the same
     parameters if the caller has prepared it.
+
+    Two more ways to exchange less where they pay, which is where ``mpans`` is small: ``few_points`` leaves
+    out the flags of contract-days that no selected point has, ``few_copies`` exchanges only rows that may be
+    copies (and runs a job to find them). ``laid_out`` is for a daily fact stored by ``sources.layout``, which is
+    then not exchanged before the monthly sum. None changes the result.
     """
     mpans = select_mpans(warehouse.costs, params) if mpans is None else mpans
-    volumes = dedup_volumes(warehouse.daily, mpans)
+    volumes = (dedup_volumes_by_hash if few_copies else dedup_volumes)(warehouse.daily, mpans)
     agreements = contract_effective_dates(warehouse.contracts)
-    joined = with_contract_days(volumes, warehouse.daily, agreements)
+    flagged = rows_of_needed_days(warehouse.daily, mpans) if few_points else warehouse.daily
+    joined = with_contract_days(volumes, flagged, agreements, laid_out)
     cut = cut_volumes(choose_volumes(joined, keep=AGREEMENT))
     months = cut.groupBy(*MONTH_KEYS).agg(
         *(F.sum(name).alias(name) for name in VOLUMES),

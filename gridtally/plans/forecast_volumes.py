@@ -15,11 +15,13 @@ from gridtally.sources.warehouse import Warehouse
 def admitted_contracts(
     warehouse: Warehouse, params: RenewableParams, strict: bool = False
 ) -> DataFrame:
-    """The contracts that may be reported, with the dates between which they are."""
+    """The contracts that may be reported, and when: intervals of a contract do not overlap."""
     agreements = latest_agreement(warehouse.contracts, warehouse.monthly, params.window)
     if strict:
-        return admit_strict(agreements, params.overrides)
-    return admit_loose(agreements, warehouse.contracts, params.window, params.overrides)
+        return admit_strict(agreements, params.overrides, merged=True)
+    return admit_loose(
+        agreements, warehouse.contracts, params.window, params.overrides, merged=True
+    )
 
 
 def forecast_volumes_renewable(

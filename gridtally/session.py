@@ -38,18 +38,28 @@ _EXPANSION = 4
 _INITIAL = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 
 
+# Where facts are stored by their join keys (``sources.layout``), aggregates on more than those keys must
+# be allowed to rely on them, or each would exchange its fact again.
+LAID_OUT = {"spark.sql.requireAllClusterKeysForDistribution": "false"}
+
+
 def configure(
-    spark: SparkSession, *frames: DataFrame, shuffle_bytes: int | None = None
+    spark: SparkSession,
+    *frames: DataFrame,
+    shuffle_bytes: int | None = None,
+    laid_out: bool = False,
 ) -> SparkSession:
     """Apply the settings to ``spark``, and size its shuffles.
 
+    ``laid_out`` is for tables written by ``sources.layout``, whose buckets the plans then rely on.
+
     ``shuffle_bytes`` is the expected size of the largest shuffle. Where it is not given it is taken
     from the size of the files that ``frames`` read; the loaders do the same for the tables they load.
     """
-    for key, value in {**SEMANTICS, **SCALE}.items():
+    for key, value in {**SEMANTICS, **SCALE, **(LAID_OUT if laid_out else {})}.items():
         spark.conf.set(key, value)
     if shuffle_bytes is None:
-        shuffle_bytes = _EXPANSION * max((_read_bytes(frame) for frame in frames), default=0)
+        shuffle_bytes = _EXPANSION * max((read_bytes(frame) for frame in frames), default=0)
     raise_partitions(spark, shuffle_bytes)
     return spark
 
@@ -65,12 +75,18 @@ def raise_partitions(spark: SparkSession, shuffle_bytes: int) -> None:
 def size_shuffles(*frames: DataFrame) -> None:
     """Raise the shuffle partitions of the frames' session to fit the largest of them."""
     for frame in frames:
-        raise_partitions(frame.sparkSession, _EXPANSION * _read_bytes(frame))
+        raise_partitions(frame.sparkSession, _EXPANSION * read_bytes(frame))
 
 
-def _read_bytes(frame: DataFrame) -> int:
-    """The size of all that ``frame`` reads, by Spark's statistics. Runs no job."""
-    leaves = frame._jdf.queryExecution().analyzed().collectLeaves()
+def read_bytes(frame: DataFrame) -> int:
+    """The size of all that ``frame`` reads, by Spark's statistics. Runs no job.
+
+    Zero where the session does not tell, as over Spark Connect: then state ``shuffle_bytes``.
+    """
+    plan = getattr(frame, "_jdf", None)
+    if plan is None:
+        return 0
+    leaves = plan.queryExecution().analyzed().collectLeaves()
     sizes = (int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size()))
     # A source without statistics reports the largest possible size, which says nothing.
     return sum(size for size in sizes if size < 1 << 62)

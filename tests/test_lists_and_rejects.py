@@ -1,0 +1,139 @@
+"""Overrides given as a frame, and date keys that cannot be read."""
+
+import re
+
+import pytest
+from helpers import frame, spark_multiset
+from pyspark.sql import functions as F
+from test_plans import executed, loaded, planned, without_broadcast  # noqa: F401
+
+from fixtures.warehouse import CONTRACT_PARAMS, OVERRIDES, WINDOW, derive, with_bad_keys
+from gridtally import RenewableParams, actual_volumes_renewable, forecast_volumes_renewable
+from gridtally.operators import contracts, daily, monthly, overrides, rejects, selection
+from gridtally.sources import schemas
+
+SOME = OVERRIDES[::3]
+
+
+def quotes(spark, values, times=1):
+    return spark.createDataFrame([(v,) for v in values] * times, "contract_reference string")
+
+
+@pytest.fixture(scope="module")
+def tables(spark, sf_medium):
+    return derive(spark, sf_medium)
+
+
+# Overrides.
+
+
+def test_a_frame_gives_what_literals_give(spark, tables):
+    listed = quotes(spark, SOME, times=3)
+    volumes = monthly.forecast_months(tables.monthly, tables.customers, WINDOW)
+    ranked = contracts.ranked_agreements(tables.contracts, tables.monthly, WINDOW)
+    newest = contracts.latest_agreement(tables.contracts, tables.monthly, WINDOW)
+    forms = {
+        "strict": lambda o: contracts.renewable_or_override_strict(volumes, ranked, o),
+        "loose": lambda o: contracts.renewable_or_override_loose(volumes, ranked, o),
+        "admit strict": lambda o: contracts.admit_strict(newest, o),
+        "admit loose": lambda o: contracts.admit_loose(newest, tables.contracts, WINDOW, o),
+        "actual": lambda o: actual_volumes_renewable(tables, RenewableParams(WINDOW, o)),
+        "forecast": lambda o: forecast_volumes_renewable(tables, RenewableParams(WINDOW, o)),
+        "forecast strict": lambda o: forecast_volumes_renewable(tables, RenewableParams(WINDOW, o), strict=True),
+        "only": lambda o: overrides.only_overrides(tables.contracts, o),
+    }
+    for name, form in forms.items():
+        assert spark_multiset(form(listed)) == spark_multiset(form(SOME)), name
+        assert form(quotes(spark, [])).count() == form(()).count()
+
+
+def test_a_null_in_the_list_is_rejected(spark):
+    rows = frame(spark, schemas.DIM_ELEC_CONTRACT, [{"contract_key": "k", "contract_reference": "Q"}])
+    with pytest.raises(ValueError, match="null"):
+        overrides.mark_overrides(rows, ("Q", None), "mark")
+    for form in (overrides.only_overrides(rows, quotes(spark, ["Q", None])),
+                 overrides.mark_overrides(rows, quotes(spark, ["Q", None]), "mark").where("mark")):
+        with pytest.raises(Exception, match="overrides hold a null"):
+            form.collect()
+
+
+def test_marks_of_odd_rows(spark):
+    rows = spark.createDataFrame(
+        [("Q1", "own"), ("Q1", "own"), (None, "own"), ("q1", "own"), ("Q2 ", "own")], "contract_reference string, _listed string"
+    )
+    marked = overrides.mark_overrides(rows, quotes(spark, ["Q1", "Q1", "Q9"]), "mark").collect()
+    assert sorted((r.contract_reference or "", r._listed, r.mark) for r in marked) == [
+        ("", "own", False), ("Q1", "own", True), ("Q1", "own", True), ("Q2 ", "own", False), ("q1", "own", False),
+    ]
+    assert overrides.mark_overrides(rows.limit(0), quotes(spark, ["Q1"]), "mark").count() == 0
+
+
+@pytest.mark.parametrize("strict", [True, False])
+def test_a_list_adds_no_exchange_to_the_fact(spark, loaded, without_broadcast, strict):  # noqa: F811
+    """Only the contracts meet the list; whatever reads a volume is exchanged as often as without it."""
+
+    def exchanged(listed):
+        plan = planned(forecast_volumes_renewable(loaded, RenewableParams(WINDOW, listed), strict=strict))
+        lines = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+        return [x for x in lines if not re.search(r"hashpartitioning\((contract_reference|_listed)#", x)]
+
+    assert len(exchanged(quotes(spark, SOME))) == len(exchanged(SOME))
+
+
+# Rejects.
+
+
+def test_counts_of_both_parts_add_up(tables):
+    mpans = selection.select_mpans(tables.costs, CONTRACT_PARAMS)
+    bad = with_bad_keys(tables.daily, "delivery_date_key")
+    with pytest.raises(Exception, match="CANNOT_PARSE_TIMESTAMP|could not be parsed"):
+        daily.dedup_volumes(bad, mpans).collect()
+    checked = daily.dedup_volumes_lenient(bad, mpans)
+    rows = selection.mpan_semi_join(selection.not_null_keys(bad), mpans)
+    good = rows.where("substr(delivery_date_key, 5, 2) not in ('02', '07')")
+    good = good.where("substr(delivery_date_key, 5, 2) != '13'")
+    assert spark_multiset(checked.accepted) == spark_multiset(daily.dedup_volumes(good, mpans))
+    assert checked.rejected.count() == rows.count() - good.count() > 0
+    assert set(checked.rejected.columns) == {*daily._wide_rows(bad, mpans).columns, "reason"}
+
+
+def test_both_parts_come_from_one_stored_scan(tables):
+    checked = rejects.check_date_keys(with_bad_keys(tables.daily, "delivery_date_key"), ["delivery_date_key"])
+    for part, kept in ((checked.accepted, "NOT"), (checked.rejected, "")):
+        plan = executed(part)
+        assert plan.count("FileScan") == 1 and "lineitem" not in plan
+        assert re.search(rf"PartitionFilters: \[[^\]]*{kept}[^\]]*_rejected", plan)
+
+
+def test_what_is_rejected_and_why(spark):
+    keys = ["20230131", "20230230", "2023013", "202301311", "abc", "", " 20230131", None, "2023-01-31"]
+    rows = spark.createDataFrame([(i, k, "20230101" if i % 2 else "x") for i, k in enumerate(keys)], "n int, a string, b string")
+    checked = rejects.check_date_keys(rows, ["a", "b"], needed=F.col("n") != 4)
+    assert sorted(r.n for r in checked.accepted.collect()) == [4, 7]
+    reasons = {r.n: r.reason for r in checked.rejected.collect()}
+    assert reasons[0] == "b is not yyyyMMdd: x"
+    assert reasons[1] == "a is not yyyyMMdd: 20230230"
+    assert reasons[2] == "a is not yyyyMMdd: 2023013; b is not yyyyMMdd: x"
+    assert set(reasons) == {0, 1, 2, 3, 5, 6, 8}
+    with pytest.raises(ValueError, match="reason"):
+        rejects.check_date_keys(rows.withColumnRenamed("b", "reason"), ["a"])
+    none = rejects.check_date_keys(rows.limit(0), ["a"])
+    assert none.accepted.columns == rows.columns and none.accepted.count() == none.rejected.count() == 0
+    clash = rejects.check_date_keys(rows.withColumn("_rejected", F.lit("own")), ["a"])
+    assert {r._rejected for r in clash.rejected.collect()} == {"own"} and clash.accepted.count() == 2
+
+
+def test_lenient_points_keep_rows_the_year_admits(spark):
+    cost = {"costcomponent_key": CONTRACT_PARAMS.cost_component}
+    rows = [
+        {**cost, "quote_mpan": "a", "year": 2000, "contract_won_date_key": "bad"},
+        {**cost, "quote_mpan": "b", "year": 1999, "contract_won_date_key": "bad"},
+        {**cost, "quote_mpan": "c", "year": None, "contract_won_date_key": "bad"},
+        {**cost, "quote_mpan": "c", "year": None, "contract_won_date_key": "19990101"},
+        {**cost, "quote_mpan": None, "year": 1999, "contract_won_date_key": "bad"},
+        {"costcomponent_key": "other", "quote_mpan": "d", "year": 1999, "contract_won_date_key": "bad"},
+        {**cost, "quote_mpan": "e", "year": 1999, "contract_won_date_key": None},
+    ]
+    checked = selection.select_mpans_lenient(frame(spark, schemas.FACT_COST_MONTHLY, rows), CONTRACT_PARAMS)
+    assert sorted(r.quote_mpan for r in checked.accepted.collect()) == ["a", "c"]
+    assert sorted(r.quote_mpan for r in checked.rejected.collect()) == ["b", "c"]

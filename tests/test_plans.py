@@ -12,6 +12,7 @@ from gridtally import (
     configure,
     contract_month_volumes,
     forecast_volumes_renewable,
+    storage,
 )
 from gridtally.operators import contracts, monthly, selection, small_sides
 from gridtally.sources.warehouse import TABLES, conform
@@ -200,8 +201,8 @@ def test_prepared_side_needs_a_shared_folder(spark, monkeypatch):
         sparkContext = Cluster
 
     with pytest.raises(ValueError, match="one machine"):
-        small_sides._require_shared_folder(Session)
-    small_sides._require_shared_folder(spark)
+        storage.shared_folder(Session)
+    storage.shared_folder(spark)
     assert spark.conf.get("spark.checkpoint.dir") in spark.sparkContext.getCheckpointDir()
 
 
