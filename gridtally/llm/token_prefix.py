@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import json
-from bisect import bisect_right
 from collections.abc import Iterator
 from functools import cached_property
 
+import numpy as np
 import pandas as pd
 import regex
 from pyspark.sql import Column
@@ -15,10 +15,15 @@ from pyspark.sql.functions import pandas_udf
 # Fixed values of byte-level BPE: the pieces a text is split into before merging.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
-_MEMO = 150_000
+# What a prefix may split otherwise than the text: all white space before a word, which gives its last
+# character to the word in the text; and a contraction of three characters without its last.
+GAPS = r"\s{2,}(?=\S)"
+SHORTENED = r"'(?:re|ve|ll)"
+
+_MEMO = 300_000
 _PAIRS = 1_000_000
+# The counts of a piece of so many characters fit a byte each, as a character has four bytes at most.
 _MEMO_LETTERS = 32
-_LONG = 32
 
 
 def _byte_letters() -> dict[str, int]:
@@ -28,24 +33,25 @@ def _byte_letters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(others)}
 
 
-class _Totals(dict):
-    """The last entries of the tables of pieces met before; the older half is forgotten in turn."""
+class _Tables(dict):
+    """The tables of pieces met before, one byte for each character; the older half is forgotten in turn."""
 
     def __init__(self, vocabulary: Vocabulary):
         super().__init__()
         self.vocabulary = vocabulary
-        self.older: dict[str, int] = {}
-
-    def __missing__(self, piece: str) -> int:
-        total = self.older.get(piece)
-        if total is None:
-            total = self.vocabulary.piece(piece)[-1]
-        if len(piece) <= _MEMO_LETTERS:
-            if len(self) >= _MEMO:
-                self.older = dict(self)
-                self.clear()
-            self[piece] = total
-        return total
+        self.older: dict[str, bytes] = {}
+
+    def __missing__(self, piece: str) -> bytes | np.ndarray:
+        if len(piece) > _MEMO_LETTERS:
+            return np.array(self.vocabulary.piece(piece)[1:], np.int32)
+        known = self.older.get(piece)
+        if known is None:
+            known = bytes(self.vocabulary.piece(piece)[1:])
+        if len(self) >= _MEMO:
+            self.older = dict(self)
+            self.clear()
+        self[piece] = known
+        return known
 
 
 class Vocabulary:
@@ -69,19 +75,36 @@ class Vocabulary:
         for rank, (left, right) in enumerate(pairs):
             a, b = (bytes(letters[c] for c in part) for part in (left, right))
             self.ranks[self.ids[a], self.ids[b]] = (rank, self.ids[a + b])
-        # The longest token that ends with given three bytes; any other token has at most two.
-        self.reach: dict[bytes, int] = {}
-        for token in self.ids:
-            if len(token) > 2:
-                self.reach[token[-3:]] = max(self.reach.get(token[-3:], 0), len(token))
+        # How each token is made: its parts and the rank of their merge, the first if there are several.
+        self.parts: dict[int, tuple[int, int, int]] = {}
+        for (a, b), (rank, token) in self.ranks.items():
+            self.parts.setdefault(token, (a, b, rank))
+        made = lambda token: self.parts[token][2] if token in self.parts else -1
+        # Whether parts are always made before what is made of them, as in any trained vocabulary.
+        self.rising = all(max(made(a), made(b)) < rank for (a, b), (rank, _) in self.ranks.items())
+        self.edges: tuple[dict, dict] = ({}, {})
+        # The ends of tokens: the token itself if the end is one, else -1.
+        self.ends_of: dict[bytes, int] = {}
+        for token, i in self.ids.items():
+            for size in range(1, len(token)):
+                self.ends_of.setdefault(token[-size:], -1)
+            self.ends_of[token] = i
         self.special = [t["content"] for t in content.get("added_tokens", []) if t["content"]]
         self.stable_pairs: dict[tuple[int, int], bool] = {}
-        self.totals = _Totals(self)
+        self.tables = _Tables(self)
 
     @cached_property
     def pattern(self):
         return regex.compile(PIECES)
 
+    @cached_property
+    def gaps(self):
+        return regex.compile(GAPS)
+
+    @cached_property
+    def shortened(self):
+        return regex.compile(SHORTENED)
+
     @cached_property
     def special_pattern(self):
         names = sorted(self.special, key=len, reverse=True)
@@ -102,15 +125,45 @@ class Vocabulary:
             parts[at : at + 2] = [self.ranks[parts[at], parts[at + 1]][1]]
         return parts
 
+    def spine(self, token: int, side: int) -> list[tuple[int, int]]:
+        """The tokens at the right (1) or left (0) edge of ``token`` while it is merged, largest first.
+
+        With each, the rank of the merge that uses it up; for the token itself a rank past all others.
+        """
+        found, used_up = [], len(self.ranks)
+        while True:
+            found.append((token, used_up))
+            made = self.parts.get(token)
+            if made is None:
+                return found
+            token, used_up = made[side], made[2]
+
     def stable(self, left: int, right: int) -> bool:
         """Whether two tokens next to each other stay as they are when their bytes are merged.
 
-        With -1 on the left, whether the bytes of the right one alone merge to it.
+        With -1 on the left, whether the bytes of the right one alone merge to it. Merges go by rising rank,
+        and of equal ranks from the left. So a merge across the boundary happens just if its rank comes
+        before the ranks that use up its two sides; on the right an equal rank is late enough.
         """
         if len(self.stable_pairs) >= _PAIRS:
             self.stable_pairs.clear()
-        own = [right] if left < 0 else [left, right]
-        known = self.merged(b"".join(self.bytes_of[token] for token in own)) == own
+        if left < 0:
+            known = self.merged(self.bytes_of[right]) == [right]
+        elif self.rising:
+            rank_of = self.ranks.get
+            edges = self.edges
+            if left not in edges[1]:
+                edges[1][left] = self.spine(left, 1)
+            if right not in edges[0]:
+                edges[0][right] = self.spine(right, 0)
+            known = True
+            for one, until in edges[1][left]:
+                for other, till in edges[0][right]:
+                    met = rank_of((one, other))
+                    if met is not None and met[0] < until and met[0] <= till:
+                        known = False
+        else:
+            known = self.merged(self.bytes_of[left] + self.bytes_of[right]) == [left, right]
         self.stable_pairs[left, right] = known
         return known
 
@@ -121,16 +174,22 @@ class Vocabulary:
         are stable side by side; exactly one last token is. So each entry follows from an earlier one.
         """
         counts, last = [0], [-1]
-        token_of, reach, stable = self.ids.get, self.reach.get, self.stable_pairs.get
+        end_of, known = self.ends_of.get, self.stable_pairs.get
         for end in range(1, len(raw) + 1):
-            start = max(0, end - reach(raw[end - 3 : end], 2)) if end > 2 else 0
-            while True:
-                token = token_of(raw[start:end])
-                if token is not None:
-                    fits = stable((last[start], token))
-                    if fits or fits is None and self.stable(last[start], token):
-                        break
-                start += 1
+            start, candidates = end - 1, []
+            while start >= 0:
+                token = end_of(raw[start:end])
+                if token is None:
+                    break
+                if token >= 0:
+                    candidates.append(token)
+                    candidates.append(start)
+                start -= 1
+            while True:  # from the longest token on
+                start, token = candidates.pop(), candidates.pop()
+                fits = known((last[start], token))
+                if fits or fits is None and self.stable(last[start], token):
+                    break
             counts.append(counts[start] + 1)
             last.append(token)
         return counts
@@ -147,86 +206,70 @@ class Vocabulary:
             counts = [counts[end] for end in ends]
         return counts
 
-    def plain(self, text: str) -> int:
+    def total(self, text: str) -> int:
         """Tokens of a text without special tokens."""
-        return sum(map(self.totals.__getitem__, self.pattern.findall(text)))
+        return sum(int(self.tables[piece][-1]) for piece in self.pattern.findall(text))
 
-    def count(self, text: str | None) -> int:
-        """Tokens of a whole text; none for null or empty ones."""
-        if not text:
-            return 0
-        if self.special_pattern is None:
-            return self.plain(text)
-        parts = self.special_pattern.split(text)
-        return sum(map(self.plain, parts)) + len(parts) - 1
+    def plain_prefixes(self, text: str) -> np.ndarray:
+        """For each character of a text without special tokens, the tokens of the text up to and with it.
 
+        The tables of the pieces one after the other, each raised by the tokens before it. Where the prefix
+        splits otherwise, only what it splits otherwise is looked up again.
+        """
+        pieces = self.pattern.findall(text)
+        lengths = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        tables = map(self.tables.__getitem__, pieces)
+        if lengths.max() <= _MEMO_LETTERS:
+            counts = np.frombuffer(b"".join(tables), np.uint8).astype(np.int32)
+        else:
+            read = (np.frombuffer(t, np.uint8) if isinstance(t, bytes) else t for t in tables)
+            counts = np.concatenate(list(read)).astype(np.int32)
+        ends = np.cumsum(lengths)
+        totals = counts[ends - 1]
+        counts += np.repeat(np.cumsum(totals) - totals, lengths).astype(np.int32)
+        before = lambda at: int(counts[at - 1]) if at else 0
+        for found in self.shortened.finditer(text) if "'" in text else ():
+            at = found.start()
+            k = int(np.searchsorted(ends, at, "right"))
+            if ends[k] == at + 3 and lengths[k] == 3:
+                counts[at + 1] = before(at) + self.total("'") + self.total(found.group()[1])
+        for gap in self.gaps.finditer(text):
+            counts[gap.end() - 1] = before(gap.start()) + self.total(gap.group())
+        return counts
 
-class PrefixTable:
-    """The exact token count of every prefix of one text, found without encoding it again.
+    def prefixes(self, text: str | None) -> np.ndarray:
+        """The exact token count of every prefix: entry i is for the first i characters, code points."""
+        text = text or ""
+        marks = [m.span() for m in self.special_pattern.finditer(text)] if self.special_pattern else []
+        parts, at, total = [np.zeros(1, np.int32)], 0, 0
+        for start, end in [*marks, (len(text), len(text))]:
+            if start > at:
+                parts.append(self.plain_prefixes(text[at:start]) + total)
+                total = int(parts[-1][-1])
+            if end > start:
+                parts.append(self._inside_special(text[at:start], text[start:end], total))
+                total += 1
+                at = end
+        return np.concatenate(parts)
 
-    Kept are the ends of its pieces with the tokens up to there; the vocabulary has a table for each
-    piece. Characters are code points. A prefix may split its last pieces otherwise than the text does
-    (white space before a word, a contraction, a special token): its last few pieces are split again.
-    """
+    def _inside_special(self, before: str, special: str, total: int) -> np.ndarray:
+        """Counts for the characters of a special token: all but the whole of it are plain text.
 
-    def __init__(self, vocabulary: Vocabulary, text: str | None, budget: int | None = None):
-        """With a ``budget``, only as much of the table as ``cut`` needs for it."""
-        self.vocabulary, self.text = vocabulary, text or ""
-        self.ends, self.tokens, self.starts_anew = [0], [0], [0]
-        at = total = 0
-        pattern = vocabulary.special_pattern
-        marks = [m.span() for m in pattern.finditer(self.text)] if pattern else []
-        for start, end in [*marks, (len(self.text), len(self.text))]:
-            for found in vocabulary.pattern.finditer(self.text, at, start):
-                piece = found.group()
-                at += len(piece)
-                total += vocabulary.totals[piece]
-                self.ends.append(at)
-                self.tokens.append(total)
-                self.starts_anew.append(self.starts_anew[-1])
-                if budget is not None and self.tokens[-2] > budget:
-                    return
-            if end > start:
-                at, total = end, total + 1
-                self.ends.append(at)
-                self.tokens.append(total)
-                self.starts_anew.append(at)
-
-    def count(self, characters: int) -> int:
-        """Tokens of the first ``characters`` characters."""
-        characters = max(0, min(characters, len(self.text)))
-        k = bisect_right(self.ends, characters) - 1
-        start = self.ends[k]
-        if start == characters and (k + 1 == len(self.ends) or self.starts_anew[k] == start):
-            return self.tokens[k]
-        # Back over white space, and out of what a special token may cover, to where both agree.
-        fresh = self.starts_anew[k]
-        while k and self.ends[k] > fresh and self._open(k, characters):
-            k -= 1
-        return self.tokens[k] + self.vocabulary.plain(self.text[self.ends[k] : characters])
-
-    def _open(self, k: int, characters: int) -> bool:
-        piece = self.text[self.ends[k - 1] : self.ends[k]]
-        nearby = self.text[self.ends[k] : self.ends[k] + 1]
-        inside_special = k + 1 < len(self.ends) and self.starts_anew[k + 1] == self.ends[k + 1]
-        return self.ends[k] == characters or piece.isspace() or inside_special and not nearby.isspace()
-
-    def cut(self, budget: int) -> int:
-        """The length of the longest prefix that has at most ``budget`` tokens."""
-        k = bisect_right(self.tokens, max(0, budget)) - 1
-        best = self.ends[k]
-        upto = self.ends[min(k + 1, len(self.ends) - 1)]
-        if upto - best > _LONG and self.starts_anew[k + 1] != upto:
-            # All beginnings of a long piece but the shortest are pieces too: its table has their counts.
-            within = self.vocabulary.piece(self.text[best:upto])
-            for characters in range(upto - best, _LONG, -1):
-                if self.tokens[k] + within[characters] <= budget:
-                    return best + characters
-            upto = best + _LONG
-        for characters in range(upto, best, -1):
-            if self.count(characters) <= budget:
-                return characters
-        return best
+        They may join the last piece before them, so that piece is split again, with the white space after it.
+        """
+        pieces = self.pattern.findall(before)
+        last = len(pieces)
+        while last and pieces[last - 1].isspace():
+            last -= 1
+        tail = "".join(pieces[max(0, last - 1) :])
+        base = total - self.total(tail)
+        inside = [base + self.total(tail + special[:size]) for size in range(1, len(special))]
+        return np.array([*inside, total + 1], np.int32)
+
+
+def cut(prefixes: np.ndarray, budget: int) -> int:
+    """The length of the longest prefix that has at most ``budget`` tokens."""
+    return int(np.flatnonzero(prefixes <= max(0, budget))[-1])
 
 
 def _of_worker(box: dict) -> Vocabulary:
@@ -239,8 +282,9 @@ def _of_worker(box: dict) -> Vocabulary:
 def token_counts(text: Column, vocabulary_json: str, budget: int) -> Column:
     """A struct per text: ``n_tokens``, and ``cut``, how many characters fit ``budget`` tokens.
 
-    ``vocabulary_json`` is the content of the tokenizer file, which the driver reads, so executors need
-    no path. Null and empty texts have 0 tokens; any text is counted whole.
+    Both are read from the table of all prefixes of the text. ``vocabulary_json`` is the content of the
+    tokenizer file, which the driver reads, so executors need no path. Null and empty texts have 0 tokens;
+    any text is counted whole.
     """
     from pyspark.sql import SparkSession
 
@@ -252,25 +296,26 @@ def token_counts(text: Column, vocabulary_json: str, budget: int) -> Column:
         for texts in batches:
             rows = []
             for text in texts:
-                tokens = vocabulary.count(text)
-                cut = len(text or "") if tokens <= budget else PrefixTable(vocabulary, text, budget).cut(budget)
-                rows.append((tokens, cut))
+                prefixes = vocabulary.prefixes(text)
+                rows.append((int(prefixes[-1]), cut(prefixes, budget)))
             yield pd.DataFrame(rows, columns=["n_tokens", "cut"])
 
     return counted.asNondeterministic()(text)
 
 
-def prefix_tables(text: Column, vocabulary_json: str) -> Column:
-    """A struct per text: ``ends`` of its pieces in characters, and the ``tokens`` up to each."""
+def prefix_counts(text: Column, vocabulary_json: str) -> Column:
+    """Per text an array with the tokens of every prefix: element i is for its first i characters.
+
+    Questions of truncation and budget are answered from it in SQL, without the tokenizer.
+    """
     from pyspark.sql import SparkSession
 
     shared = SparkSession.getActiveSession().sparkContext.broadcast({"json": vocabulary_json})
 
-    @pandas_udf("ends array<long>, tokens array<long>")
-    def tabled(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    @pandas_udf("array<int>")
+    def tabled(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         vocabulary = _of_worker(shared.value)
         for texts in batches:
-            tables = [PrefixTable(vocabulary, text) for text in texts]
-            yield pd.DataFrame({"ends": [t.ends for t in tables], "tokens": [t.tokens for t in tables]})
+            yield pd.Series([vocabulary.prefixes(text) for text in texts])
 
     return tabled.asNondeterministic()(text)

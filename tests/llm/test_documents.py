@@ -161,12 +161,48 @@ def test_prefix_counts_equal_the_library(tokenizer):
     for _ in range(250):
         text = "".join(rng.choice(letters) for _ in range(rng.randint(0, 30)))
         counts = [count(text[:i]) for i in range(len(text) + 1)]
-        whole = token_prefix.PrefixTable(vocabulary, text)
-        assert [whole.count(i) for i in range(len(text) + 1)] == counts
+        prefixes = vocabulary.prefixes(text)
+        assert prefixes.tolist() == counts
         for budget in (0, 1, 4, 9):
-            longest = max(i for i, n in enumerate(counts) if n <= budget)
-            assert whole.cut(budget) == longest
-            assert token_prefix.PrefixTable(vocabulary, text, budget).cut(budget) == longest
+            assert token_prefix.cut(prefixes, budget) == max(i for i, n in enumerate(counts) if n <= budget)
+
+
+def test_pairs_stay_as_merging_leaves_them(tokenizer):
+    vocabulary = token_prefix.Vocabulary(tokenizer[1])
+    assert vocabulary.rising
+    rng = random.Random(4)
+    tokens = list(vocabulary.ids.values())
+    for _ in range(20_000):
+        left, right = rng.choice(tokens), rng.choice(tokens)
+        whole = vocabulary.bytes_of[left]
+        if rng.random() < 0.5 and len(whole) > 1:  # two tokens whose bytes are a token
+            at = rng.randrange(1, len(whole))
+            left, right = (vocabulary.ids.get(part, left) for part in (whole[:at], whole[at:]))
+        merged = vocabulary.merged(vocabulary.bytes_of[left] + vocabulary.bytes_of[right])
+        assert vocabulary.stable(left, right) == (merged == [left, right])
+
+
+def test_one_lookup_answers_inside_a_long_piece(tokenizer, monkeypatch):
+    library, content = tokenizer
+    vocabulary = token_prefix.Vocabulary(content)
+    text = "ab" * 500_000
+    looked_up = []
+    monkeypatch.setattr(vocabulary, "total", lambda t: looked_up.append(t))
+    prefixes = vocabulary.prefixes(text)
+    assert not looked_up and len(prefixes) == len(text) + 1
+    for size in (1, 2, 333, 10_001):
+        assert prefixes[size] == len(library.encode(text[:size], add_special_tokens=False).ids)
+
+
+def test_only_some_places_are_split_again(tokenizer, monkeypatch):
+    vocabulary = token_prefix.Vocabulary(tokenizer[1])
+    again = []
+    total = vocabulary.total
+    monkeypatch.setattr(vocabulary, "total", lambda text: again.append(text) or total(text))
+    vocabulary.prefixes("Plain prose, with 12 numbers... and it's one's own.\nNew line " * 50)
+    assert not again
+    vocabulary.prefixes("two  gaps \n here, they're shortened")
+    assert again == ["'", "r", "  ", " \n "]
 
 
 def test_token_query_equals_the_library(spark, sf_medium, tokenizer):
@@ -184,8 +220,10 @@ def test_tokens_of_odd_documents(odd_documents, tokenizer):
         assert row.c.n_tokens == len(library.encode(row.text or "", add_special_tokens=False).ids)
         cut = (row.text or "")[: row.c.cut]
         assert len(library.encode(cut, add_special_tokens=False).ids) <= 16
-    tables = odd_documents.select("text", token_prefix.prefix_tables(F.col("text"), content).alias("t")).collect()
-    assert all(r.t.ends[-1] == len(r.text or "") for r in tables)
+    tables = odd_documents.select("text", token_prefix.prefix_counts(F.col("text"), content).alias("t")).collect()
+    for row in tables:
+        assert len(row.t) == len(row.text or "") + 1 and row.t[0] == 0
+        assert row.t[-1] == len(library.encode(row.text or "", add_special_tokens=False).ids)
 
 
 # Decontamination.
