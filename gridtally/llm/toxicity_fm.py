@@ -20,8 +20,10 @@ FIT_ROWS = 8_000
 THRESHOLD = 0.5
 
 BUCKETS = 1 << 18
-# Terms whose presence tells the labels apart most; all others weigh nothing.
-ACTIVE = 4_096
+# Buckets in fewer documents than this teach nothing and weigh nothing.
+MIN_DOCUMENTS = 3
+# With all buckets, fitting passes over its documents until it has seen about so many, 4 times at least.
+VISITS = 32_000
 FACTORS = 8
 _MEMO = 400_000
 
@@ -66,70 +68,97 @@ def fit(
     rows: list[np.ndarray],
     labels: np.ndarray,
     epochs: int = 30,
+    epochs_of_all: int | None = None,
     rate: float = 0.2,
     decay: float = 1e-5,
     rare_weight: float = 6.0,
+    shrinkage: float = 0.01,
+    caution: tuple[float, float] = (100.0, 0.3),
     seed: int = 7,
 ) -> Machine:
-    """Learn weights and pair factors of the ``ACTIVE`` most telling buckets by AdaGrad.
-
-    Telling is the difference of a bucket's smoothed share of the two labels' documents, in standard
-    deviations. A document of label 1 weighs as ``rare_weight`` others. Without rows every score is 0.5; with one label only, the smoothed share of ones.
+    """Learn weights and pair factors of all buckets that ``MIN_DOCUMENTS`` documents have, by AdaGrad.
+
+    No bucket is left out for telling little by itself: it may tell together with another. But a bucket whose
+    share of documents differs by at most two deviations between the labels is learnt with ``caution`` (the
+    squared gradients AdaGrad starts from, for its weight and for its factors), and decays by ``shrinkage``
+    instead of ``decay``, so that noise fades while a joint effect that many documents show grows. These are
+    joined by the others after ``epochs`` passes without them, which are quick. A batch
+    changes the buckets of its own documents only. A document of
+    label 1 weighs as ``rare_weight`` others, or as many as balance the labels if that is less. Without rows
+    every score is 0.5; with one label only, the smoothed share of ones.
     """
     positive = float(labels.sum())
     negative = len(labels) - positive
     base = float(np.log((positive + 1) / (negative + 1)))
-    weight_of = np.where(labels == 1, rare_weight, 1.0)
     empty = Machine(base, {}, np.zeros(0), np.zeros((0, FACTORS)))
     if not positive or not negative:
         return empty
-    ones, zeros = np.zeros(BUCKETS), np.zeros(BUCKETS)
-    for row, label in zip(rows, labels):
-        (ones if label else zeros)[row] += 1
-    share = (ones + zeros) / len(labels)
-    spread = np.sqrt((share * (1 - share) + 1e-9) * (1 / positive + 1 / negative))
-    telling = np.abs(ones / positive - zeros / negative) / spread
-    telling[ones + zeros < 3] = 0
-    order = np.lexsort((np.arange(BUCKETS), -telling))[:ACTIVE]
-    active = np.sort(order[telling[order] > 2])
+    weight_of = np.where(labels == 1, max(1.0, min(rare_weight, negative / positive)), 1.0)
+    documents = np.bincount(np.concatenate([*rows, np.zeros(0, np.int64)]).astype(np.int64), minlength=BUCKETS)
+    active = np.flatnonzero(documents >= MIN_DOCUMENTS)
     slot_of = np.full(BUCKETS, -1)
     slot_of[active] = np.arange(len(active))
     known = [slot_of[row] for row in rows]
-    known = [own[own >= 0] for own in known]
-    owner = np.repeat(np.arange(len(rows)), [len(own) for own in known])
-    slots = np.concatenate(known)
-    first = np.searchsorted(owner, np.arange(len(rows) + 1))
+    known = [own[own >= 0].astype(np.int32) for own in known]
 
     rng = np.random.default_rng(seed)
     w, v = np.zeros(len(active)), rng.normal(0, 0.01, (len(active), FACTORS))
-    gw, gv, g0 = np.full(len(active), 1e-6), np.full((len(active), FACTORS), 1e-6), 1e-6
-    for _ in range(epochs):
+    telling = _telling(known, labels, len(active)) > 2
+    shrink = np.where(telling, decay, shrinkage)
+    gw = np.where(telling, 1e-6, caution[0])
+    gv = np.repeat(np.where(telling, 1e-6, caution[1])[:, None], FACTORS, axis=1)
+    g0 = 1e-6
+    told = [own[telling[own]] for own in known]
+    passes = epochs_of_all or min(epochs, max(4, VISITS // len(rows)))
+    for read in [told] * epochs + [known] * passes:
         shuffled = rng.permutation(len(rows))
         for start in range(0, len(rows), 128):
             batch = shuffled[start : start + 128]
-            spans = [np.arange(first[i], first[i + 1]) for i in batch]
-            lengths = np.array([len(span) for span in spans])
-            at = slots[np.concatenate(spans)]
-            doc = np.repeat(np.arange(len(batch)), lengths)
+            at = np.concatenate([read[i] for i in batch])
+            if not len(at):
+                continue
+            doc = np.repeat(np.arange(len(batch)), [len(read[i]) for i in batch])
+            vectors = v[at]
             added = np.zeros((len(batch), FACTORS))
-            np.add.at(added, doc, v[at])
-            squares = np.bincount(doc, weights=(v[at] ** 2).sum(1), minlength=len(batch))
+            firsts = np.flatnonzero(np.append(True, doc[1:] != doc[:-1]))
+            added[doc[firsts]] = np.add.reduceat(vectors, firsts)
+            squares = np.bincount(doc, weights=(vectors * vectors).sum(1), minlength=len(batch))
             logits = base + np.bincount(doc, weights=w[at], minlength=len(batch))
-            logits += 0.5 * ((added**2).sum(1) - squares)
+            logits += 0.5 * ((added * added).sum(1) - squares)
             slope = 1 / (1 + np.exp(-np.clip(logits, -30, 30))) - labels[batch]
             slope *= weight_of[batch]
-            dw = np.bincount(at, weights=slope[doc], minlength=len(w)) / len(batch) + decay * w
-            dv = np.zeros_like(v)
-            np.add.at(dv, at, slope[doc, None] * (added[doc] - v[at]))
-            dv = np.clip(dv / len(batch) + decay * v, -1, 1)
+            order = np.argsort(at, kind="stable")
+            at, doc, vectors = at[order], doc[order], vectors[order]
+            heads = np.flatnonzero(np.append(True, at[1:] != at[:-1]))
+            met = at[heads]
+            push = slope[doc]
+            dw = np.add.reduceat(push, heads) / len(batch) + shrink[met] * w[met]
+            dv = np.add.reduceat(push[:, None] * (added[doc] - vectors), heads)
+            dv = np.clip(dv / len(batch) + shrink[met, None] * v[met], -1, 1)
             d0 = slope.mean()
-            gw, gv, g0 = gw + dw * dw, gv + dv * dv, g0 + d0 * d0
-            w -= rate * dw / np.sqrt(gw)
-            v -= 0.2 * rate * dv / np.sqrt(gv)
+            gw[met] += dw * dw
+            gv[met] += dv * dv
+            g0 += d0 * d0
+            w[met] -= rate * dw / np.sqrt(gw[met])
+            v[met] -= 0.2 * rate * dv / np.sqrt(gv[met])
             base -= rate * d0 / np.sqrt(g0)
     return Machine(float(base), {int(b): i for i, b in enumerate(active)}, w, v)
 
 
+def _telling(known: list[np.ndarray], labels: np.ndarray, size: int) -> np.ndarray:
+    """By how many standard deviations the shares of the two labels' documents that have a bucket differ."""
+    none = [np.zeros(0, np.int32)]
+    ones, zeros = (
+        np.bincount(np.concatenate(none + [own for own, y in zip(known, labels) if y == label]), minlength=size)
+        for label in (1, 0)
+    )
+    positive = labels.sum()
+    negative = len(labels) - positive
+    share = (ones + zeros) / len(labels)
+    spread = np.sqrt((share * (1 - share) + 1e-9) * (1 / positive + 1 / negative))
+    return np.abs(ones / positive - zeros / negative) / spread
+
+
 def fit_on(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Machine:
     """The machine of ``labels`` (``doc_id``, ``label`` 0 or 1) on the texts of ``docs``.
 
@@ -156,7 +185,10 @@ def fit_on(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Machine:
 
 
 def score(text: Column, machine: Machine) -> Column:
-    """The probability of label 1 for each text; null and empty texts have one too."""
+    """A score from 0 to 1 for each text, higher where label 1 is likelier; null and empty texts have one too.
+
+    It is the probability of label 1 if that were as frequent as the weights in ``fit`` make it.
+    """
 
     @pandas_udf("double")
     def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:

@@ -55,6 +55,33 @@ def test_pairs_of_terms_are_learnt():
     assert both > 0 > max(machine.logit([machine.slots[t]]) for t in (11, 22))
 
 
+def test_pairs_that_tell_only_together_are_learnt():
+    """An exclusive or: neither term is more frequent in either label."""
+    rng = np.random.default_rng(0)
+    rows, labels = [], []
+    for _ in range(3000):
+        a, b = rng.random(2) < 0.5
+        rows.append(np.array([t for t, on in ((11, a), (22, b), (33, rng.random() < 0.5)) if on], dtype=np.int64))
+        labels.append(float(a != b))
+    machine = toxicity_fm.fit(rows, np.array(labels), epochs_of_all=200)
+    logit = lambda *terms: machine.logit([machine.slots[t] for t in terms])
+    assert min(logit(11), logit(22)) > 0 > max(logit(), logit(11, 22))
+
+
+def test_logit_is_the_plain_sum_over_terms_and_pairs():
+    rng = np.random.default_rng(1)
+    machine = toxicity_fm.Machine(0.3, {i: i for i in range(9)}, rng.normal(size=9), rng.normal(size=(9, 4)))
+    for chosen in ([], [3], [0, 4, 5, 8]):
+        pairs = sum(machine.factors[i] @ machine.factors[j] for i in chosen for j in chosen if i < j)
+        assert machine.logit(chosen) == pytest.approx(0.3 + sum(machine.weights[i] for i in chosen) + pairs)
+
+
+def test_scores_of_balanced_labels_are_centred():
+    rows = [np.array([1 + i % 2]) for i in range(400)]
+    machine = toxicity_fm.fit(rows, np.array([float(i // 2 % 2) for i in range(400)]))
+    assert abs(machine.logit([machine.slots[1]])) < 0.2
+
+
 def test_models_without_labels_score_alike(spark, odd_documents):
     labels = spark.createDataFrame([], "doc_id long, label int")
     gam, machine = quality_gam.fit_on(odd_documents, labels), toxicity_fm.fit_on(odd_documents, labels)
