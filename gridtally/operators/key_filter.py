@@ -30,13 +30,21 @@ def key_filter(wanted: DataFrame, keys: Sequence[str], bits: int = BITS) -> Data
     return words.groupBy("_word").agg(F.bit_or("_bit").alias("_bits"))
 
 
+def mark_filter(
+    rows: DataFrame, bitmap: DataFrame, keys: Sequence[str], mark: str, bits: int = BITS
+) -> DataFrame:
+    """``rows`` plus ``mark``: true if the ``bitmap`` holds the ``keys``, which is so for all wanted ones."""
+    place = free_name("_place", rows)
+    placed = rows.withColumn(place, F.pmod(F.xxhash64(*keys), F.lit(bits)))
+    met = placed.join(F.broadcast(bitmap), F.floor(F.col(place) / _WORD) == F.col("_word"), "left")
+    is_set = F.expr(f"shiftrightunsigned(_bits, int({place} % {_WORD})) & 1L") == 1
+    return met.select(*rows.columns, F.coalesce(is_set, F.lit(False)).alias(mark))
+
+
 def pass_filter(rows: DataFrame, bitmap: DataFrame, keys: Sequence[str], bits: int = BITS) -> DataFrame:
     """The rows of ``rows`` whose ``keys`` the ``bitmap`` of as many ``bits`` holds, and few others.
 
     The keys must have the types they had in ``key_filter``. Null keys are keys like others.
     """
-    place = free_name("_place", rows)
-    placed = rows.withColumn(place, F.pmod(F.xxhash64(*keys), F.lit(bits)))
-    met = placed.join(F.broadcast(bitmap), F.floor(F.col(place) / _WORD) == F.col("_word"))
-    is_set = F.expr(f"shiftrightunsigned(_bits, int({place} % {_WORD})) & 1L") == 1
-    return met.where(is_set).select(*rows.columns)
+    mark = free_name("_passes", rows)
+    return mark_filter(rows, bitmap, keys, mark, bits).where(mark).drop(mark)
