@@ -8,15 +8,18 @@ from collections.abc import Iterator
 from hashlib import sha256
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridtally.llm.common import new_path, stored
+from gridtally.operators.key_filter import BITS, key_filter, mark_filter
 
 # Equal payloads shorter than this are all written in full.
 MIN_BYTES = 100
-# An archive holds at most so many records; each is read back by one task.
+# An archive holds at most so many records, and payloads of at most so many bytes, unless it holds one
+# record only. Each is read back by one task, as one value of Spark's, which ends at 2 GiB.
 RECORDS_PER_ARCHIVE = 2_000
+ARCHIVE_BYTES = 1 << 30
 WRITTEN_AT = "2024-01-01T00:00:00Z"
 
 _BREAK = "\r\n"
@@ -54,9 +57,9 @@ def resolve(rows: DataFrame, originals: DataFrame) -> DataFrame:
     )
 
 
-def _record_id(page_id: Column, row: Column) -> Column:
-    digest = F.md5(F.concat_ws(":", F.lit("page"), page_id.cast("string"), row))
-    parts = [F.substring(digest, i, n) for i, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))]
+def _record_id(page_id: Column, digest: Column, copy: Column) -> Column:
+    name = F.md5(F.concat_ws(":", F.lit("page"), page_id.cast("string"), digest, copy.cast("string")))
+    parts = [F.substring(name, i, n) for i, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))]
     return F.concat(F.lit("<urn:uuid:"), F.concat_ws("-", *parts), F.lit(">"))
 
 
@@ -64,7 +67,8 @@ def record(written_at: str = WRITTEN_AT) -> Column:
     """One WARC record as text, without the two line breaks that end it; all its headers are fresh.
 
     A response holds an HTTP head and the payload, a revisit the head alone. Line breaks and other
-    control characters in an address are left out of its header.
+    control characters in an address are left out of its header. ``copy`` tells records of one page and
+    payload apart; revisits refer to the copy 0 of their original.
     """
     revisit = F.col("record_type") == "revisit"
     head = F.concat(
@@ -78,7 +82,7 @@ def record(written_at: str = WRITTEN_AT) -> Column:
     lines = [
         F.lit("WARC/1.1"),
         F.concat(F.lit("WARC-Type: "), F.col("record_type")),
-        F.concat(F.lit("WARC-Record-ID: "), _record_id(F.col("page_id"), F.col("payload_digest"))),
+        F.concat(F.lit("WARC-Record-ID: "), _record_id(F.col("page_id"), F.col("payload_digest"), F.col("copy"))),
         F.lit(f"WARC-Date: {written_at}"),
         F.concat(F.lit("WARC-Target-URI: "), url),
         F.concat(F.lit("WARC-Payload-Digest: sha256:"), F.col("payload_digest")),
@@ -86,7 +90,7 @@ def record(written_at: str = WRITTEN_AT) -> Column:
         F.when(revisit, F.lit(f"WARC-Profile: {_PROFILE}")),
         F.when(
             revisit,
-            F.concat(F.lit("WARC-Refers-To: "), _record_id(F.col("refers_to"), F.col("payload_digest"))),
+            F.concat(F.lit("WARC-Refers-To: "), _record_id(F.col("refers_to"), F.col("payload_digest"), F.lit(0))),
         ),
         F.lit("Content-Type: application/http; msgtype=response"),
         F.concat(F.lit("Content-Length: "), F.octet_length(block).cast("string")),
@@ -94,14 +98,20 @@ def record(written_at: str = WRITTEN_AT) -> Column:
     return F.concat(F.concat_ws(_BREAK, *lines), F.lit(_BREAK * 2), block)
 
 
-def write_archives(pages: DataFrame, path: str | None = None, records: int = RECORDS_PER_ARCHIVE) -> str:
+def write_archives(
+    pages: DataFrame, path: str | None = None, records: int = RECORDS_PER_ARCHIVE, bits: int = BITS
+) -> str:
     """Write one record per row of ``pages`` (``page_id``, ``url``, ``html``); the folder written.
 
-    Payloads are the UTF-8 of ``html``, none for null. The archives are gzipped files of at most
-    ``records`` records, in ``path`` or a new folder of those all executors share. Payloads are read
-    twice, once for their digests and once to be written. Headers alone are shuffled to find the
-    originals; to mark the records the payloads meet those of repeated digests, in place if these are
-    few enough for AQE to broadcast, else in one exchange of the payloads.
+    Payloads are the UTF-8 of ``html``, none for null. The archives are gzipped files, in ``path`` or a new
+    folder of those all executors share, of at most ``records`` records, fewer if the longest payload would
+    let them pass ``ARCHIVE_BYTES``. No two records have the same id.
+
+    Payloads are read twice, once for their digests and once to be written. Headers are shuffled to resolve
+    the revisits, which are written from their headers alone. A response is written where its payload was
+    read: a bitmap of ``bits`` bits tells which payloads surely occur once. Only where it leaves that open, and
+    a second bitmap does not tell that the row is a revisit, payloads are exchanged to be sure. These are
+    the originals of repeated payloads and few others, so copies are never moved, however many there are.
     """
     path = path or new_path(pages.sparkSession, "warc")
     payload = F.coalesce(F.col("html"), F.lit(""))
@@ -110,15 +120,39 @@ def write_archives(pages: DataFrame, path: str | None = None, records: int = REC
         F.octet_length(payload).cast("long").alias("payload_bytes"),
         F.sha2(payload, 256).alias("payload_digest"),
     )
-    headers = stored(rows.select("page_id", "payload_bytes", "payload_digest"))
-    marked = resolve(rows, first_of(headers))
-    (
-        marked.select(record().alias("value"))
-        .write.option("lineSep", _BREAK * 2)
-        .option("compression", "gzip")
-        .option("maxRecordsPerFile", records)
-        .text(path)
-    )
+    headers = stored(rows.drop("payload"))
+    longest = headers.agg(F.max("payload_bytes")).first()[0] or 0
+    records = max(1, min(records, ARCHIVE_BYTES // (longest + 1)))
+    originals = first_of(headers)
+    repeated = key_filter(originals, ["payload_digest"], bits)
+    resolved = stored(resolve(headers, originals).withColumn("copy", F.monotonically_increasing_id()))
+
+    key = ["page_id", "payload_digest"]
+    answers = resolved.where("record_type = 'response'").select(*key)
+    unsure = mark_filter(answers, repeated, ["payload_digest"], "_maybe", bits).where("_maybe").select(*key).distinct()
+    candidates = key_filter(unsure, key, bits)
+    marked = mark_filter(rows, repeated, ["payload_digest"], "_maybe", bits)
+    once = marked.where(~F.col("_maybe")).withColumn("copy", F.monotonically_increasing_id())
+    open_ = mark_filter(marked.where("_maybe"), candidates, key, "_answer", bits).where("_answer")
+    known = unsure.withColumnsRenamed({name: f"_{name}" for name in key})
+    same = F.col("page_id").eqNullSafe(F.col("_page_id")) & (F.col("payload_digest") == F.col("_payload_digest"))
+    of_key = Window.partitionBy(*key).orderBy("url")
+    sure = open_.join(known, same, "left_semi").withColumn("copy", (F.row_number().over(of_key) - 1).cast("long"))
+
+    columns = ["page_id", "url", "payload", "payload_bytes", "payload_digest", "copy"]
+    none = F.lit(None).cast(pages.schema["page_id"].dataType)
+    full = once.select(*columns).union(sure.select(*columns))
+    full = full.withColumns({"record_type": F.lit("response"), "refers_to": none})
+    revisits = resolved.where("record_type = 'revisit'").withColumn("payload", F.lit(""))
+    for part in (full, revisits):
+        (
+            part.select(record().alias("value"))
+            .write.mode("append")
+            .option("lineSep", _BREAK * 2)
+            .option("compression", "gzip")
+            .option("maxRecordsPerFile", records)
+            .text(path)
+        )
     return path
 
 
