@@ -231,11 +231,45 @@ def test_archives_are_read_back(spark, tmp_path):
                 assert fields["warc-date"] == warc_revisits.WRITTEN_AT
                 ids.add(fields["warc-record-id"])
                 assert ("warc-refers-to" in fields) == (fields["warc-type"] == "revisit")
-    assert len(ids) == len(set(p[0] for p in pages))
+    assert len(ids) == len(pages)
     empty = warc_revisits.write_archives(frame.select("page_id", "url", "html").limit(0), str(tmp_path / "e"))
     assert warc_revisits.read_archives(spark, empty).count() == 0
 
 
+@pytest.mark.parametrize("bits", [64, 1 << 12, 1 << 26])
+def test_repeated_pages_by_brute_force(spark, tmp_path, monkeypatch, bits):
+    """Many copies, payloads over the limit of an archive, repeated rows, and bitmaps that are too small."""
+    import random
+
+    monkeypatch.setattr(warc_revisits, "ARCHIVE_BYTES", 4000)
+    rng = random.Random(bits)
+    texts = ["x" * n for n in (0, 99, 100, 2500, 9000)] + [f"<p>{i}</p>" * 30 for i in range(40)]
+    pages = [(rng.choice([None, *range(300)]), f"http://h/{i}", rng.choice(texts)) for i in range(400)]
+    pages += [(1000 + i, "http://copy", texts[7]) for i in range(300)] + [(7, "http://same", texts[8])] * 5
+    frame = spark.createDataFrame(pages, "page_id long, url string, html string").repartition(6)
+    path = warc_revisits.write_archives(frame, str(tmp_path / "w"), bits=bits)
+    found = warc_revisits.resolved_records(warc_revisits.read_archives(spark, path)).collect()
+    smallest = {}
+    for page, _, html in pages:
+        if len(html) >= 100 and page is not None:
+            smallest[html] = min(page, smallest.get(html, page))
+    wanted = Counter()
+    for page, _, html in pages:
+        first = smallest.get(html)
+        twin = first is not None and first != page
+        digest = hashlib.sha256(html.encode()).hexdigest()
+        wanted[page, len(html), digest, "revisit" if twin else "response", first if twin else None] += 1
+    assert Counter((r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in found) == wanted
+    ids, named = [], set()
+    for file in Path(path).glob("*.gz"):
+        with gzip.open(io.BytesIO(file.read_bytes())) as stream:
+            own = list(warc_revisits.parse(stream))
+        assert len(own) == 1 or sum(len(block) for _, block in own) < 4000 + 200 * len(own)
+        ids += [fields["warc-record-id"] for fields, _ in own]
+        named |= {fields["warc-refers-to"] for fields, _ in own if "warc-refers-to" in fields}
+    assert len(ids) == len(set(ids)) == len(pages) and named <= set(ids)
+
+
 # Shards.
 
 
@@ -272,6 +306,111 @@ def test_shards_of_odd_documents(odd_documents, monkeypatch):
     assert sorted(r.slot for r in few) == [0, 0, 0] and len({r.shard for r in few}) == 3
 
 
+def _plain_curve(point, bits):
+    """The place of a point on the Hilbert curve, by rotating the cube of each level in turn."""
+    x, n = list(point), len(point)
+    for level in range(bits - 1, 0, -1):
+        q = 1 << level
+        for i in range(n):
+            if x[i] & q:
+                x[0] ^= q - 1
+            else:
+                swap = (x[0] ^ x[i]) & (q - 1)
+                x[0], x[i] = x[0] ^ swap, x[i] ^ swap
+    for i in range(1, n):
+        x[i] ^= x[i - 1]
+    flip = 0
+    for level in range(bits - 1, 0, -1):
+        if x[-1] >> level & 1:
+            flip ^= (1 << level) - 1
+    digits = "".join(str((v ^ flip) >> level & 1) for level in range(bits - 1, -1, -1) for v in x)
+    return int(digits, 2)
+
+
+def _plain_axis(values, side):
+    known = sorted({v for v in values if v is not None}, key=lambda v: v.encode())
+    skip = 0
+    if known:
+        low, high = known[0].encode(), known[-1].encode()
+        while skip < min(len(low), len(high)) and low[skip] == high[skip]:
+            skip += 1
+    code = lambda v: -1 if v is None else int.from_bytes(v.encode()[skip : skip + 2].ljust(2, b"\0"), "big")
+    codes = sorted(map(code, values))
+    place, top = {}, 0
+    for c in sorted(set(codes)):
+        before, rows = sum(x < c for x in codes), codes.count(c)
+        top = max(top, min(side - 1, int(side * (before + rows / 2) / len(codes))))
+        place[c] = top
+    return [place[code(v)] for v in values]
+
+
+def test_sharding_query_by_brute_force(spark, sf_medium):
+    docs = table(spark, sf_medium, "documents").collect()
+    side = 1 << hilbert_shards.BITS
+    low, high = min(r.doc_id for r in docs), max(r.doc_id for r in docs)
+    sources, langs = (_plain_axis([r[name] for r in docs], side) for name in ("source", "lang"))
+    curve = {}
+    for r, source, lang in zip(docs, sources, langs):
+        size = len((r.text or "").encode()) + 1
+        bytes_axis = min(side - 1, max(0, size.bit_length() - 1 - 3))
+        ids_axis = min(side - 1, int((r.doc_id - low) / (high - low + 1) * side))
+        curve[r.doc_id] = _plain_curve((source, lang, bytes_axis, ids_axis), hilbert_shards.BITS)
+    rows = sorted(hilbert_shards.sharded(table(spark, sf_medium, "documents")).collect(), key=lambda r: (r.shard, r.slot))
+    assert {r.doc_id: r.curve for r in rows} == curve
+    assert [r.curve for r in rows] == sorted(curve.values())
+    assert [r.shard for r in rows] == [i * 16 // len(docs) for i in range(len(docs))]
+    query = {r.doc_id: (r.shard, r.slot) for r in queries.op10_hilbert_shards(spark, sf_medium).collect()}
+    assert query == {r.doc_id: (r.shard, r.slot) for r in rows}
+
+
+def test_filters_read_few_files(spark, sf_medium, tmp_path):
+    """A reader skips files whose smallest and greatest value exclude its filter."""
+    import pyarrow.parquet as pq
+
+    docs = table(spark, sf_medium, "documents")
+    total = docs.count()
+    found = hilbert_shards.sharded(docs)
+    hilbert_shards.in_files(found, total, rows=16).write.parquet(str(tmp_path / "curve"))
+    files = sorted((tmp_path / "curve").glob("*.parquet"))
+    found.orderBy(F.rand(3)).repartition(len(files)).write.parquet(str(tmp_path / "random"))
+
+    def read(folder, column, low, high):
+        hit = 0
+        for file in (tmp_path / folder).glob("*.parquet"):
+            data = pq.read_table(file, columns=[column]).column(0).to_pylist()
+            hit += min(data) <= high and max(data) >= low
+        return hit
+
+    top = spark.read.parquet(str(tmp_path / "curve"))
+    assert top.count() == total
+    for file in files:
+        data = pq.read_table(file).to_pylist()
+        slots = [(r["shard"], r["slot"]) for r in data]
+        assert slots == sorted(slots) and len({shard for shard, _ in slots}) == 1 and len(slots) <= 16
+    low, high = (f(r.doc_id for r in docs.collect()) for f in (min, max))
+    for column, a, b in (("source", "src3", "src3"), ("lang", "de", "de"), ("size", 1, 300), ("doc_id", low, low + (high - low) // 8)):
+        by_curve, by_chance = read("curve", column, a, b), read("random", column, a, b)
+        assert by_curve < 0.75 * by_chance, (column, by_curve, by_chance, len(files))
+
+
+@pytest.mark.parametrize("full", [10**6, 50])
+def test_rows_alike_are_in_many_pieces(spark, monkeypatch, full):
+    monkeypatch.setattr(hilbert_shards, "PIECE_ROWS", 20)
+    monkeypatch.setattr(hilbert_shards, "FULL_PIECE", full)
+    kept = []
+    store = hilbert_shards.stored
+    monkeypatch.setattr(hilbert_shards, "stored", lambda frame: kept.append(store(frame)) or kept[-1])
+    docs = spark.range(3000).selectExpr(
+        "if(id % 3 = 0, null, id) as doc_id", "if(id % 3 = 0, null, 'text') as text", "'en' as lang", "'s' as source", "id as own"
+    )
+    rows = hilbert_shards.sharded(docs).collect()
+    assert sorted(r.own for r in rows) == list(range(3000))
+    assert sorted((r.shard, r.slot) for r in rows) == sorted((i * 16 // 3000, i - -(-(i * 16 // 3000) * 3000 // 16)) for i in range(3000))
+    largest = max(r["rows"] for frame in kept if frame.columns == ["curve", "_piece", "rows"] for r in frame.collect()[-1:])
+    most = max(r["rows"] for r in [f for f in kept if f.columns == ["curve", "_piece", "rows"]][-1].collect())
+    assert largest and (most < 100) == (full == 50)
+
+
 # The pipeline.
 
 
