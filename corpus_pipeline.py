@@ -38,8 +38,8 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with their size, checksum, curve index, shard and slot."""
-    return hilbert_shards.sharded(docs)
+    """Documents with their size, checksum, curve index, shard and slot, in files by shard and slot."""
+    return hilbert_shards.in_files(hilbert_shards.sharded(docs), docs.count())
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
