@@ -206,6 +206,23 @@ def test_odd_vectors(spark, monkeypatch, key_rows):
     assert embedding_itq.near_duplicates(frame.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("mean_cosine", [0.0, 0.5, 0.8, 0.9])
+@pytest.mark.parametrize("size", [16, 32, 64])
+def test_linked_vectors_meet_wherever_all_vectors_lie(mean_cosine, size):
+    rng = np.random.default_rng(1)
+    unit = lambda v: v / np.linalg.norm(v, axis=1, keepdims=True)
+    spread = unit(rng.normal(size=(3000, size)))
+    vectors = unit(np.sqrt(mean_cosine) * unit(rng.normal(size=(1, size))) + np.sqrt(1 - mean_cosine) * spread)
+    cosine = rng.uniform(0.93, 0.97, (3000, 1))
+    across = rng.normal(size=vectors.shape)
+    across = unit(across - (across * vectors).sum(1, keepdims=True) * vectors)
+    partners = cosine * vectors + np.sqrt(1 - cosine**2) * across
+    shift, turn = embedding_itq.fit_rotation(vectors)
+    assert turn.shape == (size, embedding_itq.BITS)
+    differ = ((vectors - shift) @ turn >= 0) != ((partners - shift) @ turn >= 0)
+    assert embedding_itq._meet(differ).mean() > 0.95
+
+
 # Archives.
 
 
