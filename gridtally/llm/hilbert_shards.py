@@ -124,7 +124,9 @@ def _text_axes(docs: DataFrame, names: tuple[str, str], ends: list[tuple], side:
     axes = []
     for i, code in enumerate(codes):
         begins = _begins({r["code"]: r["count"] for r in counts if r["axis"] == i}, side) if counts else []
-        axes.append(sum(((code >= begin).cast("long") for begin in begins), F.lit(0).cast("long")))
+        # Within the lambda the code is a variable, so that it is computed once and not for each comparison.
+        passed = lambda known, begins=begins: sum(((known >= b).cast("long") for b in begins), F.lit(0).cast("long"))
+        axes.append(F.get(F.transform(F.array(code), passed), F.lit(0)))
     return axes
 
 
