@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -112,6 +114,10 @@ def _begins(counts: dict[int, int], side: int) -> list[int]:
     return begins
 
 
+def _passed(begins: list[int]) -> Callable[[Column], Column]:
+    return lambda code: sum(((code >= begin).cast("long") for begin in begins), F.lit(0).cast("long"))
+
+
 def _text_axes(docs: DataFrame, names: tuple[str, str], ends: list[tuple], side: int) -> list[Column]:
     """For each column a coordinate below ``side`` that rises with the text, by code point, nulls first.
 
@@ -125,8 +131,7 @@ def _text_axes(docs: DataFrame, names: tuple[str, str], ends: list[tuple], side:
     for i, code in enumerate(codes):
         begins = _begins({r["code"]: r["count"] for r in counts if r["axis"] == i}, side) if counts else []
         # Within the lambda the code is a variable, so that it is computed once and not for each comparison.
-        passed = lambda known, begins=begins: sum(((known >= b).cast("long") for b in begins), F.lit(0).cast("long"))
-        axes.append(F.get(F.transform(F.array(code), passed), F.lit(0)))
+        axes.append(F.get(F.transform(F.array(code), _passed(begins)), F.lit(0)))
     return axes
 
 
