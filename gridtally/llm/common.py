@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -33,9 +35,15 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+# What was kept in the shared folder since ``scratch`` was entered; None outside of it.
+_kept: list[str] | None = None
+
+
 def new_path(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that nothing else uses."""
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    _keep(path)
+    return path
 
 
 def stored(frame: DataFrame) -> DataFrame:
@@ -45,7 +53,40 @@ def stored(frame: DataFrame) -> DataFrame:
     partitions of hot keys.
     """
     shared_folder(frame.sparkSession)
-    return frame.checkpoint()
+    kept = frame.checkpoint()
+    file = kept._jdf.logicalPlan().rdd().getCheckpointFile()
+    if file.isDefined():
+        _keep(file.get())
+    return kept
+
+
+def _keep(path: str) -> None:
+    if _kept is not None:
+        _kept.append(path)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Deletes, at its end, what was kept in the shared folder within it.
+
+    For work whose result has been written elsewhere by then. Frames made within must not be used after it.
+    """
+    global _kept
+    outer, _kept = _kept, []
+    try:
+        yield
+    finally:
+        inner, _kept = _kept, outer
+        for path in inner:
+            discard(spark, path)
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a path in the shared folder and all below it; nothing if it is not there."""
+    if not path.startswith(shared_folder(spark)):
+        raise ValueError(f"{path} is not in the shared folder")
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def numbered(frame: DataFrame) -> DataFrame:

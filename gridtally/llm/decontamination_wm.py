@@ -111,15 +111,16 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 def find_benchmark(docs: DataFrame, benchmark: DataFrame, set_bytes: int = SET_BYTES) -> DataFrame:
     """``docs`` with ``n_words``, ``runs`` of hit words (start, end), and ``items`` found, sorted.
 
-    The texts of the benchmark (``item_id``, ``text``) are measured first. They are searched in as many
-    sets as keep each near ``set_bytes``, and only one set at a time is on the driver and broadcast. With
+    The texts of the benchmark (``item_id``, ``text``) and their ids are measured first. They are searched in
+    as many sets as keep each near ``set_bytes``, also where one text has very many ids, and only one set at a time is on the driver and broadcast. With
     several, the documents are stored once and read for each set, which stores its hits alone; the hits of
     a document are then put together. Windows that several items share count for each. Items without
     words, and null texts on either side, match nothing; an item without id hits words but is not listed.
     Repeated rows count once. Columns of these names in ``docs`` are replaced.
     """
     items = benchmark.select(F.col("item_id").cast("string").alias("item"), "text").where("text is not null")
-    total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    own_bytes = F.octet_length("text") + F.coalesce(F.octet_length("item"), F.lit(0))
+    total = items.distinct().agg(F.sum(own_bytes)).first()[0] or 0
     sets = max(1, -(-total // set_bytes))
     found = docs.drop("n_words", "runs", "items")
     columns = found.columns
@@ -134,7 +135,7 @@ def find_benchmark(docs: DataFrame, benchmark: DataFrame, set_bytes: int = SET_B
     )
     hits = None
     for number in range(sets):
-        own = items.where(F.pmod(F.xxhash64("text"), F.lit(sets)) == number)
+        own = items.where(F.pmod(F.xxhash64("text", "item"), F.lit(sets)) == number)
         scanned = numbered.select("number", _scan(_strings(own))("row.text").alias("_set"))
         met = stored(scanned.select("number", "_set.runs", "_set.items").where(F.size("runs") > 0))
         hits = met if hits is None else hits.union(met)

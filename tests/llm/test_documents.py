@@ -258,6 +258,18 @@ def test_search_by_brute_force(spark, set_bytes):
         assert row["items"] == sorted(i for i in ids if i is not None)
 
 
+def test_one_text_under_many_ids_is_searched_in_several_sets(spark, monkeypatch):
+    sizes = []
+    make = wm._strings
+    monkeypatch.setattr(wm, "_strings", lambda items: sizes.append(items.distinct().count()) or make(items))
+    bench = spark.range(2000).selectExpr("id as item_id", "'one shared text' as text")
+    docs = spark.createDataFrame([(1, "here is one shared text again"), (2, "none")], "doc_id long, text string")
+    rows = {r.doc_id: r for r in wm.find_benchmark(docs, bench.union(bench), set_bytes=4000).collect()}
+    assert len(rows[1]["items"]) == 2000 and [tuple(r) for r in rows[1].runs] == [(2, 5)]
+    assert rows[2]["items"] == [] and rows[2].runs == []
+    assert len(sizes) > 5 and max(sizes) < 1000
+
+
 def test_contaminated_documents_go(spark, odd_documents):
     bench = spark.createDataFrame([(1, "copied text of many documents here")], "item_id long, text string")
     kept = wm.keep_clean(odd_documents, bench)

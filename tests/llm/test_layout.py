@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from gridtally.llm import embedding_itq, hilbert_shards, queries, source_schedule, warc_revisits
-from gridtally.llm.common import table, totals_before
+from gridtally.llm.common import discard, table, totals_before
 
 
 def _frames(spark, sf_dir, name):
@@ -467,3 +467,17 @@ def test_pipeline_runs_on_empty_tables(spark, sf_small, tmp_path):
     for name in ("documents", "labels", "benchmark"):
         table(spark, sf_small, name).limit(0).write.parquet(str(tmp_path / f"{name}.parquet"))
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_a_run_leaves_only_its_last_stage_behind(spark, sf_medium):
+    folder = Path(spark.sparkContext.getCheckpointDir().removeprefix("file:"))
+    before = {p for p in folder.rglob("*") if p.is_file()}
+    last = corpus_pipeline.run(spark, sf_medium)
+    left = {p for p in folder.rglob("*") if p.is_file()} - before
+    assert left and all("sharding-" in str(p) for p in left)
+    assert last.count() > 0
+
+
+def test_only_the_shared_folder_is_deleted_from(spark, tmp_path):
+    with pytest.raises(ValueError, match="shared folder"):
+        discard(spark, str(tmp_path))
