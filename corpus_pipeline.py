@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from gridtally.llm import decontamination_wm, hilbert_shards, quality_gam, simhash_ball, source_schedule
-from gridtally.llm.common import new_path, table
+from gridtally.llm.common import discard, new_path, scratch, table
 from gridtally.llm.queries import quality_labels
 
 
@@ -55,10 +55,17 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The rows of the last stage. Each stage is written to the shared folder and read by the next."""
-    docs = table(spark, sf_dir, "documents")
+    """The rows of the last stage. Each stage is written to the shared folder and read by the next.
+
+    When a stage is written, what it kept in between and what it read are deleted, so no more than two copies
+    of the documents are there at a time; the last one stays.
+    """
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
         path = new_path(spark, name)
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        with scratch(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
+        if before is not None:
+            discard(spark, before)
+        docs, before = spark.read.parquet(path), path
     return docs
