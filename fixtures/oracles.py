@@ -509,10 +509,10 @@ def oracles(given: tuple[str, ...] = ()) -> dict[str, str]:
         "reforecast_fallback": _all("chosen"),
         "daily_rollup": _all("rolled"),
         "zero_outside_agreement": _all("cut", cut_columns),
-        "latest_keys": _all("newest"),
+        **dict.fromkeys(("latest_keys", "latest_keys_by_day"), _all("newest")),
         "latest_cancellation": _all("newest", cut_columns + ", last_agreement_cancellation_date"),
         "any_cancelled": _all("newest", cut_columns + ", last_agreement_cancelled_flag"),
-        **dict.fromkeys(("contract_month_volumes", "contract_month_volumes_filtered"), _with("newest")
+        **dict.fromkeys(tuple(f"contract_month_volumes{way}" for way in ("", "_filtered", "_by_day")), _with("newest")
         + f"SELECT {_MONTH_KEYS}, "
         + ", ".join(
             f"CAST(sum({v}) * 0.001 AS DECIMAL(10,2)) AS {out}"

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 KEYS = ("contract_key", "meter_key", "customer_key", "product_key")
@@ -63,6 +63,59 @@ def latest_per_point(rows: DataFrame, day: str = "delivery_date") -> DataFrame:
     )
 
 
+def latest_per_point_by_day(rows: DataFrame, day: str = "delivery_date") -> DataFrame:
+    """``latest_per_point`` without a maximum of text, which Spark would sort for.
+
+    The newest day of a point is a maximum of numbers, so a hash aggregate finds it. Keys and cancellations are
+    then ranked among the distinct ones of the newest day's rows, of which each task hands on one a point. The
+    flag is 'Y' or 'N', any other raises. Needs ``rows`` to meet the newest days in a join of its own.
+    """
+    flag, cancelled = F.col("agreement_cancelled_flag"), F.col("agreement_cancellation_date")
+    recency = F.coalesce(F.unix_date(day), F.lit(2**31 - 1))  # a missing day is the newest
+    days = rows.groupBy(F.col("quote_mpan").alias(_POINT)).agg(
+        F.max(day).alias("_day"),
+        F.max(recency).alias("_recency"),
+        F.max(F.when(cancelled.isNotNull(), recency)).alias("_known"),
+        F.bool_or(flag == "Y").alias("_yes"),
+        F.bool_or(flag == "N").alias("_no"),
+        F.bool_or(~flag.isin("Y", "N")).alias("_other"),
+    )
+    newest = recency == F.col("_recency")
+    known = cancelled.isNotNull() & (recency == F.col("_known"))
+    candidates = (
+        rows.join(days.select(_POINT, "_recency", "_known"), _same_point())
+        .where(newest | known)
+        .select(_POINT, *KEYS, cancelled.alias("_cancelled"), newest.alias("_newest"), known.alias("_is_known"))
+        .distinct()
+    )
+
+    def first(chosen: Column, *order: str) -> DataFrame:
+        best = Window.partitionBy(_POINT).orderBy(*(F.col(name).desc_nulls_last() for name in order))
+        ranked = candidates.where(chosen).withColumn("_rank", F.row_number().over(best))
+        return ranked.where(F.col("_rank") == 1)
+
+    keys = first(F.col("_newest"), *KEYS, "_cancelled").select(
+        F.col(_POINT).alias("_of"), *(F.col(key).alias(f"last_{key}") for key in KEYS)
+    )
+    dates = first(F.col("_is_known"), *KEYS, "_cancelled").select(
+        F.col(_POINT).alias("_for"), F.col("_cancelled").alias("last_agreement_cancellation_date")
+    )
+    odd = F.raise_error(F.lit("agreement_cancelled_flag holds something other than Y and N"))
+    letter = F.when(F.col("_other"), odd).when(F.col("_yes"), "Y").when(F.col("_no"), "N")
+    point = F.col(_POINT)
+    return (
+        days.join(keys, point.eqNullSafe(F.col("_of")))
+        .join(dates, point.eqNullSafe(F.col("_for")), "left")
+        .select(
+            _POINT,
+            F.when(F.col("_recency") < 2**31 - 1, F.col("_day")).alias(_NEWEST_DAY),
+            *(f"last_{key}" for key in KEYS),
+            letter.alias("last_agreement_cancelled_flag"),
+            "last_agreement_cancellation_date",
+        )
+    )
+
+
 def attach_latest(rows: DataFrame, per_point: DataFrame, day: str = "delivery_date") -> DataFrame:
     """Rows plus the values of ``latest_per_point``.
 

@@ -21,7 +21,7 @@ from gridtally.operators.daily import (
     rows_of_needed_days,
     with_contract_days,
 )
-from gridtally.operators.latest import attach_latest, latest_per_point
+from gridtally.operators.latest import attach_latest, latest_per_point, latest_per_point_by_day
 from gridtally.operators.monthly import volumes_to_mwh
 from gridtally.operators.selection import select_mpans
 from gridtally.params import ContractVolumeParams
@@ -46,6 +46,7 @@ def contract_month_volumes(
     few_points: bool = False,
     few_copies: bool = False,
     laid_out: bool = False,
+    newest_by_day: bool = False,
 ) -> DataFrame:
     """24 columns: 11 keys, supply point, 6 volumes, 6 newest values of the supply point.
 
@@ -58,7 +59,8 @@ def contract_month_volumes(
     Two more ways to exchange less where they pay, which is where ``mpans`` is small: ``few_points`` leaves
     out the flags of contract-days that no selected point has, ``few_copies`` exchanges only rows that may be
     copies (and runs a job to find them). ``laid_out`` is for a daily fact stored by ``sources.layout``, which is
-    then not exchanged before the monthly sum. None changes the result.
+    then not exchanged before the monthly sum. ``newest_by_day`` finds the newest values by hash aggregates
+    alone, for one more join of the months. None changes the result.
     """
     mpans = select_mpans(warehouse.costs, params) if mpans is None else mpans
     volumes = (dedup_volumes_by_hash if few_copies else dedup_volumes)(warehouse.daily, mpans)
@@ -72,6 +74,7 @@ def contract_month_volumes(
     )
     # A sum of volumes without nulls is not null, so this drops nothing. It makes the newest keys read
     # the same columns as the months they are joined to, and so share the exchange of the monthly sum.
-    newest = latest_per_point(months.dropna(subset=list(VOLUMES)), day="last_day")
+    per_point = latest_per_point_by_day if newest_by_day else latest_per_point
+    newest = per_point(months.dropna(subset=list(VOLUMES)), day="last_day")
     reported = attach_latest(months, newest, day="last_day").drop("last_day")
     return volumes_to_mwh(reported, _MWH_NAMES, REPORT_MWH)

@@ -11,7 +11,7 @@ from test_plans import executed, loaded  # noqa: F401
 
 from fixtures.warehouse import CONTRACT_PARAMS, RENEWABLE_PARAMS, WINDOW, derive
 from gridtally import contract_month_volumes
-from gridtally.operators import contracts, daily, distinct, key_filter, ranks, selection, small_sides
+from gridtally.operators import contracts, daily, distinct, key_filter, latest, ranks, selection, small_sides
 from gridtally.plans import actual_volumes, forecast_volumes
 
 
@@ -141,6 +141,34 @@ def test_flags_of_few_points_read_few_rows(tables):
         assert spark_multiset(filtered) == plain and plain
 
 
+# Newest values.
+
+
+def test_newest_values_by_day_need_no_sorted_aggregate(loaded):  # noqa: F811
+    plan = executed(contract_month_volumes(loaded, CONTRACT_PARAMS, newest_by_day=True))
+    assert "SortAggregate" not in plan
+    assert "SortAggregate" in executed(contract_month_volumes(loaded, CONTRACT_PARAMS))
+
+
+def test_newest_values_by_day_of_odd_rows(spark):
+    rng = random.Random(8)
+    days = [None, *(datetime(2023, 1, 1 + n).date() for n in range(4))]
+    key = lambda: rng.choice([None, "a", "b", "c"])
+    rows = [
+        (rng.choice([None, "p", "q", "r"]), rng.choice(days), key(), key(), key(), key(), rng.choice([None, "Y", "N"]), rng.choice([None, *days]))
+        for _ in range(300)
+    ]
+    rows += [("lone", None, "a", None, None, None, None, None), ("never", days[1], "a", "a", "a", "a", "N", None)]
+    names = "quote_mpan string, delivery_date date, " + ", ".join(f"{k} string" for k in latest.KEYS)
+    frame = spark.createDataFrame(rows, names + ", agreement_cancelled_flag string, agreement_cancellation_date date")
+    for some in (frame.repartition(5), frame.limit(0)):
+        plain, by_day = latest.latest_per_point(some), latest.latest_per_point_by_day(some)
+        assert spark_multiset(by_day) == spark_multiset(plain.select(*by_day.columns))
+    odd = frame.withColumn("agreement_cancelled_flag", F.lit("yes"))
+    with pytest.raises(Exception, match="other than Y and N"):
+        latest.latest_per_point_by_day(odd).collect()
+
+
 # Merged intervals.
 
 
