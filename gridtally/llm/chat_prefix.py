@@ -8,6 +8,7 @@ stand already, so that reading takes off exactly what writing put on.
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 from hashlib import sha256
@@ -16,8 +17,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Longer conversations do not repeat in each example what earlier examples hold already.
-WHOLE_CHARACTERS = 1_000_000
 # About so many characters are handed on at once.
 _BATCH_CHARACTERS = 1 << 21
 
@@ -64,7 +63,7 @@ def read_turns(text: str) -> Iterator[tuple[str, str]]:
             yield ASSISTANT, unescape(found["reply"])
 
 
-def expand(turns: DataFrame, whole_characters: int = WHOLE_CHARACTERS) -> DataFrame:
+def expand(turns: DataFrame, whole_characters: int | None = None) -> DataFrame:
     """``conv_id``, ``example`` (from 1), ``start``, ``text``, ``loss_start``, ``loss_end`` of every example.
 
     ``turns`` has ``conv_id``, ``turn``, ``role`` and ``text``. Turns follow each other by ``turn``, then
@@ -73,8 +72,9 @@ def expand(turns: DataFrame, whole_characters: int = WHOLE_CHARACTERS) -> DataFr
     last one is an example with an empty mask, so that no turn is lost. The mask counts code points from the
     beginning of the conversation.
 
-    ``text`` is the whole example and ``start`` 0, as long as that is of ``whole_characters`` at most. In a
-    longer conversation ``text`` begins where the row before ended, at ``start``, so that rows do not grow
+    ``text`` is the whole example and ``start`` 0, however long the conversation is, so the characters written grow
+    with its number of replies times its length. A caller who cannot hold that may ask for parts: with
+    ``whole_characters``, in a longer conversation ``text`` begins where the row before ended, at ``start``, so that rows do not grow
     with their number and a task holds little more than ``whole_characters`` and one turn; turns of that size
     without any reply are rows without a mask. The rows of a conversation stand in one partition, in order.
     """
@@ -143,8 +143,8 @@ def read_back(examples: DataFrame, in_order: bool = False) -> DataFrame:
 class _Conversation:
     """The formatted text of a conversation so far, and the examples in it."""
 
-    def __init__(self, whole_characters: int):
-        self.limit = whole_characters
+    def __init__(self, whole_characters: int | None):
+        self.limit = math.inf if whole_characters is None else whole_characters
         self.pieces: list[str] = []  # the text from ``start`` on
         self.start = self.end = self.number = 0
         self.open = False  # whether turns follow the last row

@@ -252,3 +252,14 @@ def test_read_back_of_odd_turns(odd_turns, tmp_path):
 def test_own_columns_do_not_clash(odd_turns):
     named = odd_turns.withColumns({name: F.lit("own") for name in ("example", "start", "loss_start", "n_turns", "piece")})
     assert chat_prefix.expand(named).count() == chat_prefix.expand(odd_turns).count()
+
+
+def test_examples_of_a_long_conversation_are_whole(spark):
+    rows = [(1, t, "assistant" if t % 2 else "user", f"{t} " + "word " * 60_000) for t in range(10)]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    examples = sorted(chat_prefix.expand(turns).collect(), key=lambda r: r.example)
+    assert [r.start for r in examples] == [0] * 5
+    for r in examples:
+        assert list(chat_prefix.read_turns(r.text)) == [(role, text) for _, _, role, text in rows[: 2 * r.example]]
+    back = chat_prefix.read_back(chat_prefix.expand(turns), in_order=True).first()
+    assert (back.n_turns, back.n_examples, back.formatted_chars) == (10, 5, sum(len(r.text) for r in examples))
