@@ -13,6 +13,7 @@ from gridtally.operators.distinct import distinct_by_hash
 from gridtally.operators.key_filter import BITS, key_filter, pass_filter
 from gridtally.operators.rejects import Checked, check_date_keys
 from gridtally.operators.selection import mpan_semi_join, not_null_keys
+from gridtally.operators.shared import as_read
 
 POINTS = ("nbp", "gsp", "msp")
 QUOTED = tuple(f"{point}_volume_kwh" for point in POINTS)
@@ -21,6 +22,10 @@ VOLUMES = QUOTED + REFORECAST
 
 CONTRACT_DAY = ("contract_key", "delivery_date_key")
 
+# With ``by_month`` daily rows are dealt by these once, for copies, flags, sums and agreements. A hot contract is spread
+# over its months. ``session.configure(spark, by_month=True)`` lets joins and aggregates rely on it.
+CONTRACT_MONTH = ("contract_key", "calendarmonthkey")
+
 AGREEMENT = (
     "agreement_start_date",
     "agreement_end_date",
@@ -57,13 +62,22 @@ def ltf_flag(daily: DataFrame) -> DataFrame:
     )
 
 
-def dedup_volumes(daily: DataFrame, mpans: DataFrame) -> DataFrame:
+def dedup_volumes(daily: DataFrame, mpans: DataFrame, by_month: bool = False) -> DataFrame:
     """Distinct daily rows of the selected supply points.
 
     Distinct runs on the raw columns with a partial pass before the shuffle, so a row copied many
     times is collapsed where it is read; dates are parsed afterwards, once per kept row.
+
+    With ``by_month`` the rows are dealt by ``CONTRACT_MONTH`` instead, copies included. A bitmap then leaves out most
+    rows of other points before that. It also has the points counted by then, so AQE broadcasts them, if they
+    are small, instead of exchanging the rows.
     """
-    return _with_dates(_wide_rows(daily, mpans).distinct())
+    if not by_month:
+        return _with_dates(_wide_rows(daily, mpans).distinct())
+    near = pass_filter(not_null_keys(daily), key_filter(mpans, ["quote_mpan"]), ["quote_mpan"])
+    month = calendar_month_key(F.col("delivery_date_key"))
+    rows = _wide_rows(near, mpans).withColumn("calendarmonthkey", month).repartition(*CONTRACT_MONTH)
+    return _with_dates(rows.distinct())
 
 
 def dedup_volumes_by_hash(daily: DataFrame, mpans: DataFrame) -> DataFrame:
@@ -105,10 +119,11 @@ def _wide_rows(daily: DataFrame, mpans: DataFrame) -> DataFrame:
 
 
 def _with_dates(rows: DataFrame) -> DataFrame:
+    month = calendar_month_key(F.col("delivery_date_key")).alias("calendarmonthkey")
     return rows.select(
-        *(c for c in rows.columns if c != "contract_won_date_key"),
+        *(c for c in rows.columns if c not in ("contract_won_date_key", "calendarmonthkey")),
         parse_date_key(F.col("delivery_date_key")).alias("delivery_date"),
-        calendar_month_key(F.col("delivery_date_key")).alias("calendarmonthkey"),
+        F.col("calendarmonthkey") if "calendarmonthkey" in rows.columns else month,
         parse_date_key(F.col("contract_won_date_key")).alias("contract_won_date"),
     )
 
@@ -149,6 +164,26 @@ def with_contract_days(
     return _join_days(volumes, _days(flags, contract), day.eqNullSafe(F.col("_day")))
 
 
+def contract_day_parts(
+    volumes: DataFrame, daily: DataFrame, contract: DataFrame
+) -> tuple[DataFrame, DataFrame]:
+    """``with_contract_days`` of ``volumes`` dealt by ``CONTRACT_MONTH``, which stay where they are.
+
+    In two parts, rows with a day key and rows without, so that sums by month may follow in each.
+    """
+    day = F.col("delivery_date_key")
+    met = _join_months(volumes.where(day.isNotNull()), _days(ltf_flag(daily), contract))
+    undated = volumes.where(day.isNull()).withColumn("has_ltf", F.lit(None).cast("string"))
+    return met, undated.join(contract, "contract_key", "left").select(*met.columns)
+
+
+def _join_months(volumes: DataFrame, days: DataFrame) -> DataFrame:
+    """``volumes``, dealt by ``CONTRACT_MONTH``, with the row of ``days`` of their contract and day."""
+    dated = days.withColumn("_month", calendar_month_key(F.col("_day"))).repartition("_contract", "_month")
+    same_day = (F.col("delivery_date_key") == F.col("_day")) & (F.col("calendarmonthkey") == F.col("_month"))
+    return _join_days(volumes, dated, same_day).drop("_month")
+
+
 def _days(flags: DataFrame, contract: DataFrame) -> DataFrame:
     return flags.join(contract, "contract_key", "left").select(
         F.col("contract_key").alias("_contract"),
@@ -182,8 +217,15 @@ def choose_volumes(flagged: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     )
 
 
-def reforecast_fallback(volumes: DataFrame, ltf: DataFrame) -> DataFrame:
-    """``choose_volumes`` after attaching the flags of ``ltf`` by contract and day."""
+def reforecast_fallback(volumes: DataFrame, ltf: DataFrame, by_month: bool = False) -> DataFrame:
+    """``choose_volumes`` after attaching the flags of ``ltf`` by contract and day.
+
+    ``by_month`` is for volumes dealt by ``CONTRACT_MONTH``; the month, which is that of the day, says where rows meet.
+    """
+    if by_month:
+        day = F.col("delivery_date_key").alias("_day")
+        days = ltf.select(F.col("contract_key").alias("_contract"), day, "has_ltf")
+        return choose_volumes(_join_months(volumes, days))
     return choose_volumes(volumes.join(ltf, list(CONTRACT_DAY), "left"))
 
 
@@ -192,13 +234,29 @@ def daily_rollup(volumes: DataFrame) -> DataFrame:
     return volumes.groupBy(*DAY_KEYS).agg(*(F.sum(name).alias(name) for name in VOLUMES))
 
 
-def zero_outside_agreement(consumption: DataFrame, contract: DataFrame) -> DataFrame:
+def zero_outside_agreement(
+    consumption: DataFrame, contract: DataFrame, by_month: bool = False
+) -> DataFrame:
     """Reforecasts become zero on days outside the agreement; quoted volumes are left alone.
 
     Without a contract row, or with a bound missing that the other does not settle, the test is
     unknown and the reforecast stays. Several rows for one contract repeat the consumption.
+
+    With ``by_month`` the agreements go to the months their contract has consumption in, so consumption that was
+    dealt by ``CONTRACT_MONTH`` stays where its sums were made.
     """
-    return cut_volumes(consumption.join(contract, "contract_key", "left"))
+    if not by_month:
+        return cut_volumes(consumption.join(contract, "contract_key", "left"))
+    month = F.col("calendarmonthkey")
+    placed = month.isNotNull() & F.col("contract_key").isNotNull()
+    dated, undated = consumption.where(placed), consumption.where(~placed)
+    months = dated.where(as_read(dated)).select(*CONTRACT_MONTH).distinct()
+    terms = months.join(contract, "contract_key", "left").select(
+        F.col("contract_key").alias("_contract"), month.alias("_month"), *AGREEMENT
+    )
+    same = (F.col("contract_key") == F.col("_contract")) & (month == F.col("_month"))
+    met = dated.join(terms.repartition("_contract", "_month"), same, "left")
+    return cut_volumes(met).unionByName(cut_volumes(undated.join(contract, "contract_key", "left")))
 
 
 def cut_volumes(joined: DataFrame) -> DataFrame:

@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gridtally.operators.shared import as_read
+
 KEYS = ("contract_key", "meter_key", "customer_key", "product_key")
 
 _POINT = "_point"
@@ -38,7 +40,8 @@ def _newest_cancellation(day: str) -> Column:
 
 
 def _per_point(rows: DataFrame, values: Sequence[Column], outputs: Sequence[Column]) -> DataFrame:
-    return rows.groupBy(F.col("quote_mpan").alias(_POINT)).agg(*values).select(_POINT, *outputs)
+    kept = rows.where(as_read(rows))
+    return kept.groupBy(F.col("quote_mpan").alias(_POINT)).agg(*values).select(_POINT, *outputs)
 
 
 def _same_point() -> Column:
@@ -72,7 +75,7 @@ def latest_per_point_by_day(rows: DataFrame, day: str = "delivery_date") -> Data
     """
     flag, cancelled = F.col("agreement_cancelled_flag"), F.col("agreement_cancellation_date")
     recency = F.coalesce(F.unix_date(day), F.lit(2**31 - 1))  # a missing day is the newest
-    days = rows.groupBy(F.col("quote_mpan").alias(_POINT)).agg(
+    days = rows.where(as_read(rows)).groupBy(F.col("quote_mpan").alias(_POINT)).agg(
         F.max(day).alias("_day"),
         F.max(recency).alias("_recency"),
         F.max(F.when(cancelled.isNotNull(), recency)).alias("_known"),
@@ -80,10 +83,12 @@ def latest_per_point_by_day(rows: DataFrame, day: str = "delivery_date") -> Data
         F.bool_or(flag == "N").alias("_no"),
         F.bool_or(~flag.isin("Y", "N")).alias("_other"),
     )
-    newest = recency == F.col("_recency")
-    known = cancelled.isNotNull() & (recency == F.col("_known"))
+    # No day is newer than the newest. As inequalities these stay out of the keys that rows are exchanged by, and
+    # as one comparison each out of the reading of the rows, so keys, dates and the caller's join share an exchange.
+    newest = recency >= F.col("_recency")
+    known = F.coalesce(F.when(cancelled.isNotNull(), recency), F.lit(-(2**31))) >= F.col("_known")
     candidates = (
-        rows.join(days.select(_POINT, "_recency", "_known"), _same_point())
+        rows.join(days.select(_POINT, "_recency", "_known"), _same_point() & as_read(rows, _POINT))
         .where(newest | known)
         .select(_POINT, *KEYS, cancelled.alias("_cancelled"), newest.alias("_newest"), known.alias("_is_known"))
         .distinct()

@@ -9,12 +9,14 @@ from gridtally.functions.volumes import REPORT_MWH
 from gridtally.operators.contracts import contract_effective_dates
 from gridtally.operators.daily import (
     AGREEMENT,
+    CONTRACT_MONTH,
     DAY_KEYS,
     POINTS,
     QUOTED,
     REFORECAST,
     VOLUMES,
     choose_volumes,
+    contract_day_parts,
     cut_volumes,
     dedup_volumes,
     dedup_volumes_by_hash,
@@ -47,6 +49,7 @@ def contract_month_volumes(
     few_copies: bool = False,
     laid_out: bool = False,
     newest_by_day: bool = False,
+    by_month: bool = False,
 ) -> DataFrame:
     """24 columns: 11 keys, supply point, 6 volumes, 6 newest values of the supply point.
 
@@ -60,21 +63,33 @@ def contract_month_volumes(
     out the flags of contract-days that no selected point has, ``few_copies`` exchanges only rows that may be
     copies (and runs a job to find them). ``laid_out`` is for a daily fact stored by ``sources.layout``, which is
     then not exchanged before the monthly sum. ``newest_by_day`` finds the newest values by hash aggregates
-    alone, for one more join of the months. None changes the result.
+    alone, for one more join of the months. ``by_month`` deals the daily rows by contract and month once, for all that
+    follows up to the monthly sum, and needs ``configure(spark, by_month=True)``. None changes the result.
     """
     mpans = select_mpans(warehouse.costs, params) if mpans is None else mpans
-    volumes = (dedup_volumes_by_hash if few_copies else dedup_volumes)(warehouse.daily, mpans)
+    if few_copies:
+        volumes = dedup_volumes_by_hash(warehouse.daily, mpans)
+        volumes = volumes.repartition(*CONTRACT_MONTH) if by_month else volumes
+    else:
+        volumes = dedup_volumes(warehouse.daily, mpans, by_month)
     agreements = contract_effective_dates(warehouse.contracts)
     flagged = rows_of_needed_days(warehouse.daily, mpans) if few_points else warehouse.daily
-    joined = with_contract_days(volumes, flagged, agreements, laid_out)
-    cut = cut_volumes(choose_volumes(joined, keep=AGREEMENT))
-    months = cut.groupBy(*MONTH_KEYS).agg(
-        *(F.sum(name).alias(name) for name in VOLUMES),
-        F.max("delivery_date").alias("last_day"),
-    )
+    if by_month:
+        dated, undated = (_months(part) for part in contract_day_parts(volumes, flagged, agreements))
+        months = dated.unionByName(undated)
+    else:
+        months = _months(with_contract_days(volumes, flagged, agreements, laid_out))
     # A sum of volumes without nulls is not null, so this drops nothing. It makes the newest keys read
     # the same columns as the months they are joined to, and so share the exchange of the monthly sum.
     per_point = latest_per_point_by_day if newest_by_day else latest_per_point
     newest = per_point(months.dropna(subset=list(VOLUMES)), day="last_day")
     reported = attach_latest(months, newest, day="last_day").drop("last_day")
     return volumes_to_mwh(reported, _MWH_NAMES, REPORT_MWH)
+
+
+def _months(joined: DataFrame) -> DataFrame:
+    return (
+        cut_volumes(choose_volumes(joined, keep=AGREEMENT))
+        .groupBy(*MONTH_KEYS)
+        .agg(*(F.sum(name).alias(name) for name in VOLUMES), F.max("delivery_date").alias("last_day"))
+    )

@@ -42,21 +42,33 @@ _INITIAL = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 # be allowed to rely on them, or each would exchange its fact again.
 LAID_OUT = {"spark.sql.requireAllClusterKeysForDistribution": "false"}
 
+# Where a plan deals its daily rows by contract and month (``by_month``), joins and aggregates on more than those
+# keys must be allowed to rely on them, or each would exchange the rows again.
+BY_MONTH = {
+    "spark.sql.requireAllClusterKeysForDistribution": "false",
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
+}
+_RELIANCE = {name: "true" for name in BY_MONTH}
+
 
 def configure(
     spark: SparkSession,
     *frames: DataFrame,
     shuffle_bytes: int | None = None,
     laid_out: bool = False,
+    by_month: bool = False,
 ) -> SparkSession:
     """Apply the settings to ``spark``, and size its shuffles.
 
+    ``by_month`` is for plans and operators called with it; ask for it when they run, not only when they are built.
+
     ``laid_out`` is for tables written by ``sources.layout``, whose buckets the plans then rely on.
 
     ``shuffle_bytes`` is the expected size of the largest shuffle. Where it is not given it is taken
     from the size of the files that ``frames`` read; the loaders do the same for the tables they load.
     """
-    for key, value in {**SEMANTICS, **SCALE, **(LAID_OUT if laid_out else {})}.items():
+    wanted = {**SEMANTICS, **_RELIANCE, **SCALE, **(LAID_OUT if laid_out else {}), **(BY_MONTH if by_month else {})}
+    for key, value in wanted.items():
         spark.conf.set(key, value)
     if shuffle_bytes is None:
         shuffle_bytes = _EXPANSION * max((read_bytes(frame) for frame in frames), default=0)
