@@ -1,0 +1,83 @@
+"""Daily rows dealt by contract and month once: the same rows, and no other exchange of them before the newest values."""
+
+import re
+
+import pytest
+from helpers import spark_multiset, warehouse
+
+import __spark_entry__ as registry
+from fixtures.warehouse import CONTRACT_PARAMS
+from gridtally import configure, contract_month_volumes
+from gridtally.operators import contracts, daily, latest
+
+
+@pytest.fixture
+def by_month(spark):
+    configure(spark, by_month=True)
+    yield
+    configure(spark)
+
+
+@pytest.fixture
+def odd(spark):
+    """Rows without a day, copies, points not selected, a contract listed twice and one not listed."""
+    rows = []
+    for contract in ("A", "B", "C"):
+        for i, day in enumerate(("19990105", "19990106", "19990205", None)):
+            for point in ("p1", "p2", "p3"):
+                row = dict(
+                    contract_key=contract, contract_reference="Q", meter_key=f"m{i}", customer_key="c", product_key="r",
+                    quote_mpan=point, delivery_date_key=day, contract_won_date_key="19990101",
+                    itron_forecast_key_lt="k" if i or point != "p3" else None, nbp_volume_kwh=i + 1,
+                    reforecasted_nbp_volume_lt=10 * i,
+                )
+                rows += [row] * (2 if point == "p1" else 1)
+    rows.append(dict(rows[0], contract_key=None))
+    from datetime import datetime
+
+    start = dict(agreement_start_date=datetime(1999, 1, 6), agreement_end_date=datetime(1999, 3, 1))
+    agreements = [
+        dict(contract_key="A", agreement_cancelled_flag="N", **start),
+        dict(contract_key="B", agreement_cancelled_flag="N", **start),
+        dict(contract_key="B", agreement_cancelled_flag="Y", agreement_cancellation_date=datetime(1999, 2, 1), **start),
+    ]
+    costs = [
+        dict(quote_mpan=p, costcomponent_key="59b1", year=2001, contract_won_date_key="19990101") for p in ("p1", "p2")
+    ]
+    return warehouse(spark, daily=rows, contracts=agreements, costs=costs)
+
+
+def _cut(w, by_month):
+    volumes = daily.dedup_volumes(w.daily, w.costs.select("quote_mpan").distinct(), by_month=by_month)
+    chosen = daily.reforecast_fallback(volumes, daily.ltf_flag(w.daily), by_month=by_month)
+    terms = contracts.contract_effective_dates(w.contracts)
+    return daily.zero_outside_agreement(daily.daily_rollup(chosen), terms, by_month=by_month)
+
+
+@pytest.mark.parametrize("newest", [latest.latest_keys, latest.latest_cancellation, latest.any_cancelled])
+def test_odd_rows_by_month(odd, by_month, newest):
+    found, wanted = spark_multiset(newest(_cut(odd, True))), spark_multiset(newest(_cut(odd, False)))
+    assert found == wanted and found
+
+
+@pytest.mark.parametrize("options", [{}, {"few_copies": True}, {"few_points": True}, {"newest_by_day": True}])
+def test_odd_rows_of_the_plan_by_month(odd, by_month, options):
+    found = spark_multiset(contract_month_volumes(odd, CONTRACT_PARAMS, by_month=True, **options))
+    assert found == spark_multiset(contract_month_volumes(odd, CONTRACT_PARAMS, **options)) and found
+
+
+@pytest.mark.parametrize("name", ["daily_rollup", "zero_outside_agreement", "latest_keys", "contract_month_volumes"])
+def test_daily_rows_are_exchanged_once(spark, sf_small, name):
+    spark.conf.set("spark.sql.maxMetadataStringLength", "100000")
+    try:
+        result = registry.queries()[name](spark, sf_small)
+        result._jdf.queryExecution().toRdd().count()
+        plan = result._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+        configure(spark)
+    shuffles = [line for line in plan.splitlines() if re.search(r"- Exchange hashpartitioning", line)]
+    assert sum("hashpartitioning(l_orderkey#" in line for line in shuffles) == 1
+    # Copies, sums of days and sums of months have no exchange of their own.
+    assert not any(re.search(r"\(contract_key#\d+L?, quote#", line) for line in shuffles)
+    assert any("(contract_key#" in line and ", calendarmonthkey#" in line for line in shuffles)
