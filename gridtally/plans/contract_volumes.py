@@ -79,12 +79,11 @@ def contract_month_volumes(
         months = dated.unionByName(undated)
     else:
         months = _months(with_contract_days(volumes, flagged, agreements, laid_out))
-    # A sum of volumes without nulls is not null, so this drops nothing. It makes the newest keys read
-    # the same columns as the months they are joined to, and so share the exchange of the monthly sum.
+    # Volumes as they are reported take a third of the bytes of sums where the months are exchanged by supply point.
+    # The newest values read the very same rows, so that exchange runs once where they need it too.
+    reported = volumes_to_mwh(months, _MWH_NAMES, REPORT_MWH)
     per_point = latest_per_point_by_day if newest_by_day else latest_per_point
-    newest = per_point(months.dropna(subset=list(VOLUMES)), day="last_day")
-    reported = attach_latest(months, newest, day="last_day").drop("last_day")
-    return volumes_to_mwh(reported, _MWH_NAMES, REPORT_MWH)
+    return attach_latest(reported, per_point(reported, day="last_day"), day="last_day").drop("last_day")
 
 
 def _months(joined: DataFrame) -> DataFrame:
