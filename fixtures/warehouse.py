@@ -206,12 +206,12 @@ def with_bad_keys(rows: DataFrame, key: str) -> DataFrame:
     return rows.withColumn(key, bad.otherwise(F.col(key)))
 
 
-def derive(spark: SparkSession, sf_dir: str) -> Warehouse:
-    """The six tables at ``sf_dir``, lazily."""
+def derive(spark: SparkSession, sf_dir: str, costs_apart: bool = False) -> Warehouse:
+    """The six tables at ``sf_dir``, lazily. ``costs_apart`` is for plans that read the costs in a job of their own."""
     lines, shared = _lines(spark, sf_dir), _lines(spark, sf_dir, shared=True)
     return Warehouse(
         contracts=_contracts(spark, sf_dir),
-        costs=_costs(shared),
+        costs=_costs(lines if costs_apart else shared),
         daily=_daily(shared),
         settlement=_settlement(lines),
         monthly=_monthly(lines),

@@ -80,13 +80,20 @@ def dedup_volumes(daily: DataFrame, mpans: DataFrame, by_month: bool = False) ->
     return _with_dates(rows.distinct())
 
 
-def dedup_volumes_by_hash(daily: DataFrame, mpans: DataFrame) -> DataFrame:
+def dedup_volumes_by_hash(daily: DataFrame, mpans: DataFrame, by_month: bool = False) -> DataFrame:
     """``dedup_volumes`` where copies are rare: only rows that may be copies are exchanged.
 
     Runs a job that counts 128-bit hashes of the rows. ``daily`` is then read once for the rows without a
     copy and once for the others, so ``mpans`` should be small enough to be broadcast.
+
+    With ``by_month`` the result is dealt by ``CONTRACT_MONTH``. Where copies turn out to be common, that one
+    exchange serves them as well.
     """
-    return _with_dates(distinct_by_hash(_wide_rows(daily, mpans)))
+    rows = _wide_rows(daily, mpans)
+    if not by_month:
+        return _with_dates(distinct_by_hash(rows))
+    month = calendar_month_key(F.col("delivery_date_key"))
+    return _with_dates(distinct_by_hash(rows.withColumn("calendarmonthkey", month), deal=CONTRACT_MONTH))
 
 
 def dedup_volumes_lenient(daily: DataFrame, mpans: DataFrame) -> Checked:

@@ -18,13 +18,18 @@ def row_hashes(rows: DataFrame) -> list[Column]:
     return [F.xxhash64(*columns), F.xxhash64(nulls, *columns)]
 
 
-def distinct_by_hash(rows: DataFrame, hashes: Sequence[Column] | None = None) -> DataFrame:
+def distinct_by_hash(
+    rows: DataFrame, hashes: Sequence[Column] | None = None, deal: Sequence[str] = ()
+) -> DataFrame:
     """``rows.distinct()``, in two steps.
 
     The hashes alone are counted first, in a job of its own. Rows whose hash occurs once are distinct as they
     are and stay where they were read. The others are exchanged and compared in full, so rows that merely
     share a hash are both kept. The list of repeated hashes is stored and broadcast if it was measured small;
     if copies are so many that it is not, this is a plain distinct.
+
+    The result is dealt by the columns ``deal``. A plain distinct then compares rows where they were dealt to, for
+    which the session must let aggregates rely on that (``session.configure(spark, by_month=True)``).
     """
     hashes = row_hashes(rows) if hashes is None else hashes
     names = [free_name(f"_hash{i}", rows) for i in range(len(hashes))]
@@ -32,7 +37,8 @@ def distinct_by_hash(rows: DataFrame, hashes: Sequence[Column] | None = None) ->
     counted = hashed.groupBy(*names).agg(F.count("*").alias("_rows"))
     repeated = stored_if_small(counted.where(F.col("_rows") > 1).drop("_rows"))
     if repeated is None:
-        return rows.distinct()
+        return (rows.repartition(*deal) if deal else rows).distinct()
     single = hashed.join(repeated, names, "left_anti").select(*rows.columns)
     copied = hashed.join(repeated, names, "left_semi").select(*rows.columns)
-    return single.unionByName(copied.distinct())
+    kept = single.unionByName(copied.distinct())
+    return kept.repartition(*deal) if deal else kept

@@ -9,7 +9,6 @@ from gridtally.functions.volumes import REPORT_MWH
 from gridtally.operators.contracts import contract_effective_dates
 from gridtally.operators.daily import (
     AGREEMENT,
-    CONTRACT_MONTH,
     DAY_KEYS,
     POINTS,
     QUOTED,
@@ -68,8 +67,7 @@ def contract_month_volumes(
     """
     mpans = select_mpans(warehouse.costs, params) if mpans is None else mpans
     if few_copies:
-        volumes = dedup_volumes_by_hash(warehouse.daily, mpans)
-        volumes = volumes.repartition(*CONTRACT_MONTH) if by_month else volumes
+        volumes = dedup_volumes_by_hash(warehouse.daily, mpans, by_month)
     else:
         volumes = dedup_volumes(warehouse.daily, mpans, by_month)
     agreements = contract_effective_dates(warehouse.contracts)
