@@ -180,7 +180,9 @@ def contract_day_parts(
     """
     day = F.col("delivery_date_key")
     met = _join_months(volumes.where(day.isNotNull()), _days(ltf_flag(daily), contract))
-    undated = volumes.where(day.isNull()).withColumn("has_ltf", F.lit(None).cast("string"))
+    # Volumes have their contract. Said as for the flags, so that both parts read, and exchange, the same contracts.
+    undated = not_null_keys(volumes.where(day.isNull()), ["contract_key"])
+    undated = undated.withColumn("has_ltf", F.lit(None).cast("string"))
     return met, undated.join(contract, "contract_key", "left").select(*met.columns)
 
 
