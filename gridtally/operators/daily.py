@@ -230,10 +230,12 @@ def reforecast_fallback(volumes: DataFrame, ltf: DataFrame, by_month: bool = Fal
     """``choose_volumes`` after attaching the flags of ``ltf`` by contract and day.
 
     ``by_month`` is for volumes dealt by ``CONTRACT_MONTH``; the month, which is that of the day, says where rows meet.
+    An 'N' says what no flag says, so only the days of a 'Y' are exchanged.
     """
     if by_month:
         day = F.col("delivery_date_key").alias("_day")
-        days = ltf.select(F.col("contract_key").alias("_contract"), day, "has_ltf")
+        chosen = ltf.where(F.col("has_ltf") == "Y")
+        days = chosen.select(F.col("contract_key").alias("_contract"), day, "has_ltf")
         return choose_volumes(_join_months(volumes, days))
     return choose_volumes(volumes.join(ltf, list(CONTRACT_DAY), "left"))
 

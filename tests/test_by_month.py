@@ -6,9 +6,9 @@ import pytest
 from helpers import spark_multiset, warehouse
 
 import __spark_entry__ as registry
-from fixtures.warehouse import CONTRACT_PARAMS
+from fixtures.warehouse import CONTRACT_PARAMS, derive
 from gridtally import configure, contract_month_volumes
-from gridtally.operators import contracts, daily, latest
+from gridtally.operators import contracts, daily, distinct, latest
 
 
 @pytest.fixture
@@ -81,3 +81,65 @@ def test_daily_rows_are_exchanged_once(spark, sf_small, name):
     # Copies, sums of days and sums of months have no exchange of their own.
     assert not any(re.search(r"\(contract_key#\d+L?, quote#", line) for line in shuffles)
     assert any("(contract_key#" in line and ", calendarmonthkey#" in line for line in shuffles)
+
+
+def _executed(result) -> list[str]:
+    """The exchanges by hash of the plan as it ran, reused ones left out."""
+    result._jdf.queryExecution().toRdd().count()
+    plan = result._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    return [line for line in plan.splitlines() if re.search(r"- Exchange hashpartitioning", line)]
+
+
+@pytest.fixture
+def long_plans(spark, by_month):
+    names = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.maxMetadataStringLength", "100000")
+    for name in names:
+        spark.conf.set(name, "-1")
+    yield
+    for name in ("spark.sql.maxMetadataStringLength", *names):
+        spark.conf.unset(name)
+    configure(spark)
+
+
+def test_months_are_exchanged_once_by_day(odd, long_plans):
+    """The newest day, its rows and the report need the months of a point: one exchange of whole months."""
+    shuffles = _executed(contract_month_volumes(odd, CONTRACT_PARAMS, newest_by_day=True, by_month=True))
+    assert sum("hashpartitioning(coalesce(quote_mpan#" in line for line in shuffles) == 1
+
+
+def test_both_parts_read_the_contracts_once(odd, long_plans):
+    shuffles = _executed(contract_month_volumes(odd, CONTRACT_PARAMS, by_month=True))
+    assert sum("agreement_end_date#" in line for line in shuffles) == 1
+
+
+def test_days_of_no_forecast_are_not_exchanged(odd, long_plans):
+    """Only flags that change a volume are dealt by month."""
+    volumes = daily.dedup_volumes(odd.daily, odd.costs.select("quote_mpan").distinct(), by_month=True)
+    chosen = daily.reforecast_fallback(volumes, daily.ltf_flag(odd.daily), by_month=True)
+    plan = chosen._jdf.queryExecution().optimizedPlan().toString()
+    assert re.search(r"Filter .*has_ltf#\d+ = Y|Filter .*CASE WHEN bool_and.* = Y|Filter .*bool_and", plan)
+    plainly = daily.reforecast_fallback(volumes, daily.ltf_flag(odd.daily))
+    assert spark_multiset(chosen) == spark_multiset(plainly)
+
+
+def test_common_copies_are_exchanged_once(odd, long_plans, monkeypatch):
+    """Where a list of copies is too long, dealing and comparing share an exchange."""
+    monkeypatch.setattr(distinct, "stored_if_small", lambda side: None)
+    mpans = odd.costs.select("quote_mpan").distinct()
+    found = daily.dedup_volumes_by_hash(odd.daily, mpans, by_month=True)
+    assert not any(re.search(r"nbp_volume_kwh#\d+, .*\d+\), ", line) for line in _executed(found))
+    assert spark_multiset(found) == spark_multiset(daily.dedup_volumes(odd.daily, mpans))
+
+
+def test_dealt_rows_without_common_copies(odd, by_month):
+    mpans = odd.costs.select("quote_mpan").distinct()
+    found = daily.dedup_volumes_by_hash(odd.daily, mpans, by_month=True)
+    assert spark_multiset(found) == spark_multiset(daily.dedup_volumes(odd.daily, mpans))
+
+
+def test_points_are_stored_from_few_columns(spark, sf_small):
+    """Plans that store the points first read only the costs' columns of line items then."""
+    apart, together = derive(spark, sf_small, costs_apart=True).costs, derive(spark, sf_small).costs
+    assert "l_returnflag" not in re.findall(r"ReadSchema: (\S+)", apart._jdf.queryExecution().executedPlan().toString())[0]
+    assert spark_multiset(apart) == spark_multiset(together)
