@@ -40,3 +40,11 @@ def sf_small() -> str:
 @pytest.fixture(scope="session")
 def sf_medium() -> str:
     return str(TESTDATA / "sf0.01")
+
+
+@pytest.fixture(autouse=True)
+def without_reliance(spark):
+    """Registered queries dealt by contract and month leave their settings in the session: they end with the test."""
+    yield
+    if spark.conf.get("spark.sql.requireAllClusterKeysForCoPartition") == "false":
+        configure(spark)
