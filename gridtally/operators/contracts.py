@@ -14,22 +14,26 @@ from gridtally.params import FiscalWindow
 _OVERRIDE = "_override"
 
 
-def contract_effective_dates(contracts: DataFrame) -> DataFrame:
+def contract_effective_dates(contracts: DataFrame, by_contract: bool = False) -> DataFrame:
     """Agreement dates, ended early when cancelled.
 
     The cancellation keeps its time of day: two cancellations on one day are two rows.
+
+    ``by_contract`` deals them by contract before copies are collapsed, so that a join by contract needs no exchange
+    of its own. That too relies on ``configure(spark, by_month=True)``.
     """
     cancelled = F.col("agreement_cancelled_flag") == "Y"
     end = F.when(cancelled, F.col("agreement_cancellation_date").cast("date")).otherwise(
         F.col("agreement_end_date").cast("date")
     )
-    return contracts.select(
+    dates = contracts.select(
         "contract_key",
         F.col("agreement_start_date").cast("date").alias("agreement_start_date"),
         end.alias("agreement_end_date"),
         "agreement_cancelled_flag",
         "agreement_cancellation_date",
-    ).distinct()
+    )
+    return (dates.repartition("contract_key") if by_contract else dates).distinct()
 
 
 def agreements_in_window(contracts: DataFrame, window: FiscalWindow) -> DataFrame:

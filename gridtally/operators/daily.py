@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from gridtally.functions.dates import calendar_month_key, parse_date_key
 from gridtally.functions.volumes import KWH, zero_if_null
 from gridtally.operators.distinct import distinct_by_hash
-from gridtally.operators.key_filter import BITS, key_filter, pass_filter
+from gridtally.operators.key_filter import BITS, key_filter, pass_filter, semi_join_by_filter
 from gridtally.operators.rejects import Checked, check_date_keys
 from gridtally.operators.selection import mpan_semi_join, not_null_keys
 from gridtally.operators.shared import as_read
@@ -68,15 +68,14 @@ def dedup_volumes(daily: DataFrame, mpans: DataFrame, by_month: bool = False) ->
     Distinct runs on the raw columns with a partial pass before the shuffle, so a row copied many
     times is collapsed where it is read; dates are parsed afterwards, once per kept row.
 
-    With ``by_month`` the rows are dealt by ``CONTRACT_MONTH`` instead, copies included. A bitmap then leaves out most
-    rows of other points before that. It also has the points counted by then, so AQE broadcasts them, if they
-    are small, instead of exchanging the rows.
+    With ``by_month`` the rows are dealt by ``CONTRACT_MONTH`` instead, copies included. The points then are found by
+    ``semi_join_by_filter``, so that is the only exchange of the rows, however many points are selected.
     """
     if not by_month:
         return _with_dates(_wide_rows(daily, mpans).distinct())
-    near = pass_filter(not_null_keys(daily), key_filter(mpans, ["quote_mpan"]), ["quote_mpan"])
+    selected = semi_join_by_filter(not_null_keys(daily), mpans, "quote_mpan")
     month = calendar_month_key(F.col("delivery_date_key"))
-    rows = _wide_rows(near, mpans).withColumn("calendarmonthkey", month).repartition(*CONTRACT_MONTH)
+    rows = _volume_columns(selected).withColumn("calendarmonthkey", month).repartition(*CONTRACT_MONTH)
     return _with_dates(rows.distinct())
 
 
@@ -107,7 +106,11 @@ def dedup_volumes_lenient(daily: DataFrame, mpans: DataFrame) -> Checked:
 
 
 def _wide_rows(daily: DataFrame, mpans: DataFrame) -> DataFrame:
-    return mpan_semi_join(not_null_keys(daily), mpans).select(
+    return _volume_columns(mpan_semi_join(not_null_keys(daily), mpans))
+
+
+def _volume_columns(rows: DataFrame) -> DataFrame:
+    return rows.select(
         "contract_key",
         F.col("contract_reference").alias("quote"),
         "meter_key",

@@ -26,7 +26,10 @@ def key_filter(wanted: DataFrame, keys: Sequence[str], bits: int = BITS) -> Data
     """
     place = F.pmod(F.xxhash64(*keys), F.lit(bits))
     set_ = F.expr(f"shiftleft(1L, int(_place % {_WORD}))")
-    words = wanted.select(place.alias("_place")).select(F.floor(F.col("_place") / _WORD).alias("_word"), set_.alias("_bit"))
+    # A place is never null, which Spark does not know. Said so, the join with the bitmap adds no filter to what is
+    # read of ``wanted``, whose exchanges a plan that uses it once more then shares.
+    word = F.coalesce(F.floor(F.col("_place") / _WORD), F.lit(0))
+    words = wanted.select(place.alias("_place")).select(word.alias("_word"), set_.alias("_bit"))
     return words.groupBy("_word").agg(F.bit_or("_bit").alias("_bits"))
 
 
@@ -48,3 +51,20 @@ def pass_filter(rows: DataFrame, bitmap: DataFrame, keys: Sequence[str], bits: i
     """
     mark = free_name("_passes", rows)
     return mark_filter(rows, bitmap, keys, mark, bits).where(mark).drop(mark)
+
+
+def semi_join_by_filter(rows: DataFrame, wanted: DataFrame, key: str, bits: int = BITS) -> DataFrame:
+    """``rows.join(wanted, key, "left_semi")`` without an exchange of ``rows``, though ``wanted`` be too long to broadcast.
+
+    The bitmap of ``wanted`` lets few other keys pass. These are listed from ``rows``, of which the key alone is
+    read and exchanged for that, and rows that have a listed key are left out. The second bitmap, that of the list,
+    has the list counted before the rows are joined to it, so AQE broadcasts the list. Only if that is too long, too,
+    which takes many more wanted keys than ``bits``, rows are exchanged by the key, as they would be by the plain join.
+    """
+    near = pass_filter(rows.where(F.col(key).isNotNull()), key_filter(wanted, [key], bits), [key], bits)
+    # Dealt once more, for that exchange is what AQE measures; by a hash, since Spark would leave out one by the key.
+    others = near.select(key).distinct().join(wanted, key, "left_anti").repartition(F.xxhash64(key))
+    mark, other = free_name("_listed", rows), free_name("_other", rows)
+    marked = mark_filter(near, key_filter(others, [key], bits), [key], mark, bits)
+    is_other = F.col(mark) & (F.col(key) == F.col(other))
+    return marked.join(others.withColumnRenamed(key, other), is_other, "left_anti").select(*rows.columns)

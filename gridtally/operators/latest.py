@@ -31,7 +31,8 @@ def _ranked(day: str, *carried: Column) -> Column:
 
 
 def _newest_row(day: str) -> Column:
-    return F.max(_ranked(day, F.col(day).alias("day"), *(F.col(key) for key in KEYS)))
+    """The greatest order of a row, which holds its day and keys: said once, they are exchanged once."""
+    return F.max(_ranked(day))
 
 
 def _newest_cancellation(day: str) -> Column:
@@ -58,8 +59,8 @@ def latest_per_point(rows: DataFrame, day: str = "delivery_date") -> DataFrame:
             _newest_cancellation(day).alias("_cancellation"),
         ],
         [
-            F.col(f"{_NEWEST}.day").alias(_NEWEST_DAY),
-            *(F.col(f"{_NEWEST}.{key}").alias(f"last_{key}") for key in KEYS),
+            F.col(f"{_NEWEST}.by_1").alias(_NEWEST_DAY),
+            *(F.col(f"{_NEWEST}.by_{i}").alias(f"last_{key}") for i, key in enumerate(KEYS, 2)),
             F.col("last_agreement_cancelled_flag"),
             F.col("_cancellation.cancelled").alias("last_agreement_cancellation_date"),
         ],

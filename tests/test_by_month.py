@@ -8,7 +8,7 @@ from helpers import spark_multiset, warehouse
 import __spark_entry__ as registry
 from fixtures.warehouse import CONTRACT_PARAMS, derive
 from gridtally import configure, contract_month_volumes
-from gridtally.operators import contracts, daily, distinct, latest
+from gridtally.operators import contracts, daily, distinct, key_filter, latest
 
 
 @pytest.fixture
@@ -143,3 +143,71 @@ def test_points_are_stored_from_few_columns(spark, sf_small):
     apart, together = derive(spark, sf_small, costs_apart=True).costs, derive(spark, sf_small).costs
     assert "l_returnflag" not in re.findall(r"ReadSchema: (\S+)", apart._jdf.queryExecution().executedPlan().toString())[0]
     assert spark_multiset(apart) == spark_multiset(together)
+
+
+def _exchanged(result) -> list[tuple[str, str]]:
+    """What the plan, as it ran, exchanged and by what; reused exchanges left out."""
+    result._jdf.queryExecution().toRdd().count()
+    mode = result.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    plan = result._jdf.queryExecution().explainString(mode)
+    final = plan.split("== Initial Plan ==")[0]
+    ids = set(re.findall(r"- Exchange \((\d+)\)", final))
+    found = re.findall(r"\((\d+)\) Exchange\nInput \[\d+\]: \[(.*)\]\nArguments: (\w+\(.*?\)), ", plan)
+    return [(columns, by) for i, columns, by in found if i in ids]
+
+
+@pytest.fixture
+def many_points(spark):
+    """Selected points that are too many to be broadcast where 2,000 bytes are, others, copies, and a null."""
+    rows = [
+        dict(
+            contract_key=f"C{i % 7}", contract_reference="Q", meter_key="m", customer_key="c", product_key="r",
+            quote_mpan=f"p{i:03d}" if i else None, delivery_date_key=f"1999010{1 + i % 9}", contract_won_date_key="19990101",
+            itron_forecast_key_lt="k", nbp_volume_kwh=i,
+        )
+        for i in [*range(300), *range(20)]
+    ]
+    terms = [dict(contract_key=f"C{i}", agreement_cancelled_flag="N") for i in (0, 1, 1, 2, 9)]
+    costs = [dict(quote_mpan=f"p{i:03d}") for i in [*range(0, 300, 2), *range(0, 300, 2)]]
+    return warehouse(spark, daily=rows, contracts=terms, costs=costs)
+
+
+def test_rows_of_many_points_are_exchanged_once(spark, many_points, long_plans):
+    """Points too many for a broadcast do not have the daily rows exchanged by supply point."""
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "2000")
+    mpans = many_points.costs.select("quote_mpan").distinct()
+    found = daily.dedup_volumes(many_points.daily, mpans, by_month=True)
+    exchanges = _exchanged(found)
+    assert sum("nbp_volume_kwh" in columns for columns, _ in exchanges) == 1
+    assert any("nbp_volume_kwh" in columns and by.startswith("hashpartitioning(contract_key#") for columns, by in exchanges)
+    # The bitmap and the list of others share the exchange of the points; the points that pass may need another.
+    assert sum(by.startswith("hashpartitioning(quote_mpan#") for _, by in exchanges) <= 2
+    assert spark_multiset(found) == spark_multiset(daily.dedup_volumes(many_points.daily, mpans))
+
+
+@pytest.mark.parametrize("threshold", ["-1", "2000", "64MB"])
+@pytest.mark.parametrize("bits", [64, 1024, key_filter.BITS])
+def test_semi_join_by_filter_is_exact(spark, many_points, long_plans, threshold, bits):
+    """However many other keys the bitmap lets pass; a null is selected by none."""
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", threshold)
+    rows, wanted = many_points.daily, many_points.costs.select("quote_mpan").where("quote_mpan <> 'p004'")
+    wanted = wanted.unionByName(spark.createDataFrame([(None,), ("absent",)], "quote_mpan string"))
+    found = spark_multiset(key_filter.semi_join_by_filter(rows, wanted, "quote_mpan", bits))
+    assert found == spark_multiset(rows.join(wanted, "quote_mpan", "left_semi").select(*rows.columns)) and found
+
+
+def test_agreements_are_exchanged_once(many_points, long_plans):
+    """Dealt by contract, copies are compared where the join reads them."""
+    dates = contracts.contract_effective_dates(many_points.contracts, by_contract=True)
+    plainly = contracts.contract_effective_dates(many_points.contracts)
+    assert spark_multiset(dates) == spark_multiset(plainly) and dates.count() == 4
+    met = many_points.daily.select("contract_key").join(dates, "contract_key", "left")
+    assert sum("agreement_end_date" in columns for columns, _ in _exchanged(met)) == 1
+
+
+def test_newest_day_and_keys_are_exchanged_once(odd, long_plans):
+    """The order of a row holds its day and keys; they are not carried beside it."""
+    newest = latest.latest_per_point(_cut(odd, True))
+    plan = newest._jdf.queryExecution().optimizedPlan().toString()
+    ranked = re.search(r"max\(struct\(by_0.*?\)\)? AS _newest", plan).group(0)
+    assert "by_5" in ranked and ", contract_key, contract_key" not in ranked
