@@ -211,3 +211,13 @@ def test_newest_day_and_keys_are_exchanged_once(odd, long_plans):
     plan = newest._jdf.queryExecution().optimizedPlan().toString()
     ranked = re.search(r"max\(struct\(by_0.*?\)\)? AS _newest", plan).group(0)
     assert "by_5" in ranked and ", contract_key, contract_key" not in ranked
+
+
+def test_listed_others_are_counted_before_the_rows_are_exchanged(spark, many_points, long_plans):
+    """Points of which the bitmap tells little: the list of others is broadcast as it was measured, rows stay."""
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "4000")
+    wanted = many_points.costs.select("quote_mpan").distinct()
+    found = key_filter.semi_join_by_filter(many_points.daily, wanted, "quote_mpan", bits=512)
+    exchanges = _exchanged(found)
+    assert any("xxhash64" in by for _, by in exchanges)
+    assert not any("nbp_volume_kwh" in columns for columns, _ in exchanges)
