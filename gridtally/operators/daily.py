@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 from gridtally.functions.dates import calendar_month_key, parse_date_key
 from gridtally.functions.volumes import KWH, zero_if_null
 from gridtally.operators.distinct import distinct_by_hash
-from gridtally.operators.key_filter import BITS, key_filter, pass_filter, semi_join_by_filter
+from gridtally.operators.key_filter import BITS, key_filter, pass_filter, same_type, semi_join_by_filter
 from gridtally.operators.rejects import Checked, check_date_keys
-from gridtally.operators.selection import mpan_semi_join, not_null_keys
+from gridtally.operators.selection import ROW_KEYS, mpan_semi_join, not_null_keys
 from gridtally.operators.shared import as_read
 
 POINTS = ("nbp", "gsp", "msp")
@@ -73,10 +73,7 @@ def dedup_volumes(daily: DataFrame, mpans: DataFrame, by_month: bool = False) ->
     """
     if not by_month:
         return _with_dates(_wide_rows(daily, mpans).distinct())
-    selected = semi_join_by_filter(not_null_keys(daily), mpans, "quote_mpan")
-    month = calendar_month_key(F.col("delivery_date_key"))
-    rows = _volume_columns(selected).withColumn("calendarmonthkey", month).repartition(*CONTRACT_MONTH)
-    return _with_dates(rows.distinct())
+    return _with_dates(_rows_with_month(daily, mpans).repartition(*CONTRACT_MONTH).distinct())
 
 
 def dedup_volumes_by_hash(daily: DataFrame, mpans: DataFrame, by_month: bool = False) -> DataFrame:
@@ -85,14 +82,12 @@ def dedup_volumes_by_hash(daily: DataFrame, mpans: DataFrame, by_month: bool = F
     Runs a job that counts 128-bit hashes of the rows. ``daily`` is then read once for the rows without a
     copy and once for the others, so ``mpans`` should be small enough to be broadcast.
 
-    With ``by_month`` the result is dealt by ``CONTRACT_MONTH``. Where copies turn out to be common, that one
-    exchange serves them as well.
+    With ``by_month`` the result is dealt by ``CONTRACT_MONTH``, by the only exchange of the rows, however many copies
+    there are and points are selected. No job is run then.
     """
-    rows = _wide_rows(daily, mpans)
     if not by_month:
-        return _with_dates(distinct_by_hash(rows))
-    month = calendar_month_key(F.col("delivery_date_key"))
-    return _with_dates(distinct_by_hash(rows.withColumn("calendarmonthkey", month), deal=CONTRACT_MONTH))
+        return _with_dates(distinct_by_hash(_wide_rows(daily, mpans)))
+    return _with_dates(distinct_by_hash(_rows_with_month(daily, mpans), deal=CONTRACT_MONTH))
 
 
 def dedup_volumes_lenient(daily: DataFrame, mpans: DataFrame) -> Checked:
@@ -109,6 +104,12 @@ def _wide_rows(daily: DataFrame, mpans: DataFrame) -> DataFrame:
     return _volume_columns(mpan_semi_join(not_null_keys(daily), mpans))
 
 
+def _rows_with_month(daily: DataFrame, mpans: DataFrame) -> DataFrame:
+    """``_wide_rows`` with their month, and without an exchange of them, however many points there are."""
+    selected = semi_join_by_filter(not_null_keys(daily), mpans, "quote_mpan")
+    return _volume_columns(selected).withColumn("calendarmonthkey", calendar_month_key(F.col("delivery_date_key")))
+
+
 def _volume_columns(rows: DataFrame) -> DataFrame:
     return rows.select(
         "contract_key",
@@ -144,9 +145,13 @@ def rows_of_needed_days(daily: DataFrame, mpans: DataFrame, bits: int = BITS) ->
     Flags count all supply points of a contract, so rows are left out by contract and day, never by supply
     point. The contract-days of the selected points become a bitmap of fixed size, which is broadcast; the
     rows it leaves out are not aggregated or exchanged. That pays where the points are few: their rows are
-    read once more, so ``mpans`` should be broadcast too.
+    read once more. The points, too, are found by a bitmap, so no rows are exchanged for it, however many they are.
     """
-    needed = mpan_semi_join(not_null_keys(daily), mpans)
+    if same_type(daily, mpans, "quote_mpan"):
+        points = key_filter(mpans, ["quote_mpan"], bits)
+        needed = pass_filter(not_null_keys(daily, [*ROW_KEYS, "quote_mpan"]), points, ["quote_mpan"], bits)
+    else:
+        needed = mpan_semi_join(not_null_keys(daily), mpans)
     return pass_filter(daily, key_filter(needed, CONTRACT_DAY, bits), CONTRACT_DAY, bits)
 
 

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gridtally.operators.key_filter import key_filter, mark_filter
 from gridtally.operators.small_sides import stored_if_small
 from gridtally.storage import free_name
 
@@ -28,17 +29,27 @@ def distinct_by_hash(
     share a hash are both kept. The list of repeated hashes is stored and broadcast if it was measured small;
     if copies are so many that it is not, this is a plain distinct.
 
-    The result is dealt by the columns ``deal``. A plain distinct then compares rows where they were dealt to, for
-    which the session must let aggregates rely on that (``session.configure(spark, by_month=True)``).
+    With ``deal`` the result is dealt by these columns, and all rows are exchanged once, for that. Hashes are counted
+    when the result runs, so tables are exchanged once for them and for the rows, and the repeated ones become a bitmap
+    of fixed size, however many copies there are. The rows it lets pass are compared where they were dealt to, for which
+    the session must let aggregates rely on that (``session.configure(spark, by_month=True)``). One hash will do then:
+    others that set the same bit are compared in full as well.
     """
     hashes = row_hashes(rows) if hashes is None else hashes
+    hashes = hashes[:1] if deal else hashes
     names = [free_name(f"_hash{i}", rows) for i in range(len(hashes))]
     hashed = rows.select("*", *(F.coalesce(value, F.lit(0)).alias(name) for name, value in zip(names, hashes)))
     counted = hashed.groupBy(*names).agg(F.count("*").alias("_rows"))
-    repeated = stored_if_small(counted.where(F.col("_rows") > 1).drop("_rows"))
+    repeated = counted.where(F.col("_rows") > 1).drop("_rows")
+    if deal:
+        mark = free_name("_copied", hashed)
+        marked = mark_filter(hashed, key_filter(repeated, names), names, mark)
+        single = marked.where(~F.col(mark)).select(*rows.columns).repartition(*deal)
+        copied = marked.where(mark).select(*rows.columns).repartition(*deal)
+        return single.unionByName(copied.distinct())
+    repeated = stored_if_small(repeated)
     if repeated is None:
-        return (rows.repartition(*deal) if deal else rows).distinct()
+        return rows.distinct()
     single = hashed.join(repeated, names, "left_anti").select(*rows.columns)
     copied = hashed.join(repeated, names, "left_semi").select(*rows.columns)
-    kept = single.unionByName(copied.distinct())
-    return kept.repartition(*deal) if deal else kept
+    return single.unionByName(copied.distinct())

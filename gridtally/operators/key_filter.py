@@ -53,14 +53,22 @@ def pass_filter(rows: DataFrame, bitmap: DataFrame, keys: Sequence[str], bits: i
     return mark_filter(rows, bitmap, keys, mark, bits).where(mark).drop(mark)
 
 
+def same_type(rows: DataFrame, wanted: DataFrame, key: str) -> bool:
+    """Whether ``key`` has the same type in both, so that equal keys have equal hashes."""
+    return rows.schema[key].dataType == wanted.schema[key].dataType
+
+
 def semi_join_by_filter(rows: DataFrame, wanted: DataFrame, key: str, bits: int = BITS) -> DataFrame:
     """``rows.join(wanted, key, "left_semi")`` without an exchange of ``rows``, though ``wanted`` be too long to broadcast.
 
     The bitmap of ``wanted`` lets few other keys pass. These are listed from ``rows``, of which the key alone is
     read and exchanged for that, and rows that have a listed key are left out. The second bitmap, that of the list,
     has the list counted before the rows are joined to it, so AQE broadcasts the list. Only if that is too long, too,
-    which takes many more wanted keys than ``bits``, rows are exchanged by the key, as they would be by the plain join.
+    which takes many more wanted keys than ``bits``, rows are exchanged by the key, as they would be by the plain join,
+    which is taken where the key has two types.
     """
+    if not same_type(rows, wanted, key):
+        return rows.join(wanted.select(key), key, "left_semi").select(*rows.columns)
     near = pass_filter(rows.where(F.col(key).isNotNull()), key_filter(wanted, [key], bits), [key], bits)
     # Dealt once more, for that exchange is what AQE measures; by a hash, since Spark would leave out one by the key.
     others = near.select(key).distinct().join(wanted, key, "left_anti").repartition(F.xxhash64(key))

@@ -19,20 +19,24 @@ _ROW_OVERHEAD = 48  # a hash table's bytes per row besides its values
 def prepare_side(side: DataFrame) -> DataFrame:
     """Run ``side``, store it and mark it for broadcast if it takes at most ``MAX_BROADCAST_BYTES``.
 
-    A larger side is returned as it was given, still lazy: Spark then sees its filters and may build a
-    runtime filter from them. The stored rows stay in the session's checkpoint folder until that is
+    A larger side is returned as it was stored, without the mark, so that what it is made of is not read and exchanged
+    once more for each use. The stored rows stay in the session's checkpoint folder until that is
     deleted, or until Spark's cleaner drops them where
     ``spark.cleaner.referenceTracking.cleanCheckpoints`` is set. The folder must be one that all
     executors share: without one, or with a folder of this machine on a cluster, this raises.
     """
-    small = stored_if_small(side)
-    return side if small is None else small
+    kept = store(side)
+    return F.broadcast(kept) if _is_small(kept) else kept
 
 
 def stored_if_small(side: DataFrame) -> DataFrame | None:
     """``side``, run, stored and marked for broadcast; nothing if it takes more than ``MAX_BROADCAST_BYTES``."""
     kept = store(side)
+    return F.broadcast(kept) if _is_small(kept) else None
+
+
+def _is_small(kept: DataFrame) -> bool:
     widest = [F.max(F.octet_length(F.col(name).cast("string"))) for name in kept.columns]
     rows, *widths = kept.agg(F.count("*"), *widest).first()
     size = rows * (_ROW_OVERHEAD + sum(width or 0 for width in widths))
-    return F.broadcast(kept) if size <= MAX_BROADCAST_BYTES else None
+    return size <= MAX_BROADCAST_BYTES

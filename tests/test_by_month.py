@@ -4,11 +4,12 @@ import re
 
 import pytest
 from helpers import spark_multiset, warehouse
+from pyspark.sql import functions as F
 
 import __spark_entry__ as registry
 from fixtures.warehouse import CONTRACT_PARAMS, derive
 from gridtally import configure, contract_month_volumes
-from gridtally.operators import contracts, daily, distinct, key_filter, latest
+from gridtally.operators import contracts, daily, distinct, key_filter, latest, small_sides
 
 
 @pytest.fixture
@@ -221,3 +222,60 @@ def test_listed_others_are_counted_before_the_rows_are_exchanged(spark, many_poi
     exchanges = _exchanged(found)
     assert any("xxhash64" in by for _, by in exchanges)
     assert not any("nbp_volume_kwh" in columns for columns, _ in exchanges)
+
+
+def test_hashes_are_counted_where_the_rows_run(odd, by_month, monkeypatch):
+    """Dealing serves all rows, so hashes are counted in the same plan: no job of their own reads the tables before."""
+
+    def stored(side):
+        raise AssertionError("a job was run")
+
+    monkeypatch.setattr(distinct, "stored_if_small", stored)
+    mpans = odd.costs.select("quote_mpan").distinct()
+    found = daily.dedup_volumes_by_hash(odd.daily, mpans, by_month=True)
+    wanted = spark_multiset(daily.dedup_volumes(odd.daily, mpans))
+    assert spark_multiset(found) == wanted and max(wanted.values()) == 1
+
+
+def test_dealt_rows_by_colliding_hashes(odd, by_month):
+    """Rows that only share a hash, or a bit, are compared in full where they were dealt to."""
+    rows = odd.daily.where("contract_key is not null")
+    wanted = spark_multiset(rows.distinct())
+    day = F.coalesce(F.col("delivery_date_key"), F.lit("none"))
+    for hashes in ([F.lit(1)], [F.xxhash64(day)], [F.lit(None).cast("long")], None):
+        assert spark_multiset(distinct.distinct_by_hash(rows, hashes, deal=["contract_key", "delivery_date_key"])) == wanted
+    nothing = distinct.distinct_by_hash(rows.limit(0), deal=["contract_key"])
+    assert nothing.columns == rows.columns and nothing.count() == 0
+
+
+def test_filtered_rows_of_many_points_are_exchanged_once(spark, many_points, long_plans):
+    """Points too many for a broadcast: rows, with or without copies, are only dealt, and contract-days stay."""
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "2000")
+    mpans = many_points.costs.select("quote_mpan").distinct()
+    plan = contract_month_volumes(many_points, CONTRACT_PARAMS, mpans, few_points=True, few_copies=True, by_month=True)
+    exchanges = _exchanged(plan)
+    rows = [(columns, by) for columns, by in exchanges if "snapshot_date" in columns and "nbp_volume_kwh" in columns]
+    assert rows and all(by.startswith("hashpartitioning(contract_key#") for _, by in rows)
+    # Before the months, only lists of points are exchanged by point.
+    by_point = [columns for columns, by in exchanges if by.startswith("hashpartitioning(quote_mpan#")]
+    assert by_point and not any("delivery_date_key" in columns for columns in by_point)
+    plainly = contract_month_volumes(many_points, CONTRACT_PARAMS, mpans)
+    found = spark_multiset(plan)
+    assert found == spark_multiset(plainly) and found
+
+
+def test_needed_days_by_points_of_another_type(spark, odd, by_month):
+    """Equal keys of two types have other hashes, so they are joined."""
+    rows = odd.daily.withColumn("quote_mpan", F.substring("quote_mpan", 2, 3).cast("int"))
+    points = spark.createDataFrame([(1,), (2,)], "quote_mpan bigint")
+    same = points.selectExpr("int(quote_mpan) AS quote_mpan")
+    days = [spark_multiset(daily.rows_of_needed_days(rows, side)) for side in (points, same)]
+    volumes = [spark_multiset(daily.dedup_volumes_by_hash(rows, side, by_month=True)) for side in (points, same)]
+    assert days[0] == days[1] and days[0] and volumes[0] == volumes[1] and volumes[0]
+
+
+def test_large_sides_are_read_as_stored(spark, monkeypatch):
+    """A side too large for a broadcast was run already: what it is made of is not read and exchanged again."""
+    monkeypatch.setattr(small_sides, "MAX_BROADCAST_BYTES", 0)
+    side = small_sides.prepare_side(spark.range(1000).selectExpr("id % 300 AS quote_mpan").distinct())
+    assert "Aggregate" not in side._jdf.queryExecution().optimizedPlan().toString() and side.count() == 300
