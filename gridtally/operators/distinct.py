@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridtally.operators.key_filter import key_filter, mark_filter
+from gridtally.operators.shared import as_dealt, as_read
 from gridtally.operators.small_sides import stored_if_small
 from gridtally.storage import free_name
 
@@ -30,10 +31,10 @@ def distinct_by_hash(
     if copies are so many that it is not, this is a plain distinct.
 
     With ``deal`` the result is dealt by these columns, and all rows are exchanged once, for that. Hashes are counted
-    when the result runs, so tables are exchanged once for them and for the rows, and the repeated ones become a bitmap
+    when the result runs, so what the rows are made of is exchanged once for both, and the repeated ones become a bitmap
     of fixed size, however many copies there are. The rows it lets pass are compared where they were dealt to, for which
-    the session must let aggregates rely on that (``session.configure(spark, by_month=True)``). One hash will do then:
-    others that set the same bit are compared in full as well.
+    the session must let aggregates rely on that (``session.configure(spark, by_month=True)``), and Spark the union on
+    that of its parts, as it does from 4.1 on. One hash will do then: others that set the same bit are compared as well.
     """
     hashes = row_hashes(rows) if hashes is None else hashes
     hashes = hashes[:1] if deal else hashes
@@ -44,9 +45,9 @@ def distinct_by_hash(
     if deal:
         mark = free_name("_copied", hashed)
         marked = mark_filter(hashed, key_filter(repeated, names), names, mark)
-        single = marked.where(~F.col(mark)).select(*rows.columns).repartition(*deal)
-        copied = marked.where(mark).select(*rows.columns).repartition(*deal)
-        return single.unionByName(copied.distinct())
+        dealt = marked.select(*rows.columns, mark).repartition(*deal)
+        single = dealt.where(as_dealt(~F.col(mark) & as_read(dealt))).drop(mark)
+        return single.unionByName(dealt.where(as_dealt(F.col(mark))).drop(mark).distinct())
     repeated = stored_if_small(repeated)
     if repeated is None:
         return rows.distinct()

@@ -14,3 +14,12 @@ def as_read(rows: DataFrame, *others: str) -> Column:
     """
     columns = [*(rows[name] for name in rows.columns), *(F.col(name) for name in others)]
     return F.xxhash64(*columns) >= F.lit(-(2**63))
+
+
+def as_dealt(condition: Column) -> Column:
+    """``condition``, tested after the exchange under it, so that parts of the rows come from one exchange.
+
+    Spark would test it before, and make the rows, and exchange its share of them, for each part anew. It moves nothing
+    that hangs on a row's place, as this seems to.
+    """
+    return F.when(F.monotonically_increasing_id() >= 0, condition)

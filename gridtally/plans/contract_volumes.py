@@ -60,7 +60,8 @@ def contract_month_volumes(
 
     Two more ways to exchange less where they pay, which is where ``mpans`` is small: ``few_points`` leaves
     out the flags of contract-days that no selected point has, ``few_copies`` exchanges only rows that may be
-    copies (and runs a job to find them). ``laid_out`` is for a daily fact stored by ``sources.layout``, which is
+    copies (and runs a job to find them). With ``by_month`` all rows are dealt, so ``few_copies`` then runs no job and
+    saves no exchange, only the comparing of rows without a copy, and both serve any number of points. ``laid_out`` is for a daily fact stored by ``sources.layout``, which is
     then not exchanged before the monthly sum. ``newest_by_day`` finds the newest values by hash aggregates
     alone, for one more join of the months. ``by_month`` deals the daily rows by contract and month once, for all that
     follows up to the monthly sum, and needs ``configure(spark, by_month=True)``. None changes the result.
